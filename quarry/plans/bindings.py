@@ -73,7 +73,9 @@ def _role_columns() -> dict[str, tuple[set[str], Column]]:
     }
 
 
-ROLES = tuple(_role_columns())
+ROLES = ("order_key", "line_number", "part_key", "incident_date", "primary_type", "description",
+         "location_description", "arrest", "domestic", "beat", "district", "ward",
+         "community_area", "fbi_code", "latitude", "longitude", "block")
 KEY_ROLES = ("order_key", "line_number", "part_key", "beat", "latitude", "longitude")
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",

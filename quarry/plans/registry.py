@@ -7,6 +7,7 @@ import importlib
 # plan modules, each exporting QUERIES (and ORACLE for SQL-expressible keys)
 MODULES = [
     "quarry.plans.suite",
+    "quarry.plans.declared",
 ]
 
 

@@ -354,7 +354,7 @@ SELECT primary_type, count(*) AS count FROM incidents WHERE arrest GROUP BY prim
     "q2_m_arrest_share_year": INC + f"""
 SELECT primary_type, arrest, count, total_count, count / total_count AS share FROM (
   SELECT primary_type, arrest, count(*) AS count,
-         sum(count(*)) OVER (PARTITION BY primary_type) AS total_count
+         CAST(sum(count(*)) OVER (PARTITION BY primary_type) AS BIGINT) AS total_count
   FROM incidents WHERE year(incident_date) = {P.SHARE_YEAR} GROUP BY primary_type, arrest)
 WHERE arrest""",
     "q3_m_weekday_weekend_district": INC + """
@@ -390,7 +390,7 @@ SELECT primary_type, count(*) AS count FROM timed
 WHERE hour(incident_ts) >= {P.DAY_HOURS[0]} AND hour(incident_ts) < {P.DAY_HOURS[1]}
 GROUP BY primary_type""",
     "q4_v_cumulative_by_year": INC + """
-SELECT year, count, sum(count) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_arrests
+SELECT year, count, CAST(sum(count) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_arrests
 FROM (SELECT strftime(incident_date, '%Y') AS year, count(*) AS count FROM incidents WHERE arrest GROUP BY 1)""",
     "q5_v_beats_above_avg": with_sql(INCIDENTS_SQL, "b AS (SELECT beat, count(*) AS count FROM incidents WHERE beat IS NOT NULL GROUP BY beat)") + """
 SELECT beat, count, avg_count FROM b, (SELECT avg(count) AS avg_count FROM b)
