@@ -8,6 +8,7 @@ import importlib
 MODULES = [
     "quarry.plans.suite",
     "quarry.plans.declared",
+    "quarry.plans.preprocess",
 ]
 
 
