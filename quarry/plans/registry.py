@@ -9,6 +9,7 @@ MODULES = [
     "quarry.plans.suite",
     "quarry.plans.declared",
     "quarry.plans.preprocess",
+    "quarry.plans.basics",
 ]
 
 
