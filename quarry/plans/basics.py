@@ -312,9 +312,9 @@ def q_top_value_ratio(spark, sf):
     df = incidents(spark, sf, _STR_COLS)
     long = long_values(df, _STR_COLS)
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    w_total = Window.partitionBy("feature")
-    ranked = counts.withColumn("total", F.sum("count").over(w_total))
-    top = top_per_group(ranked, ["feature"], [F.desc("count"), F.asc("value")], 1, out=None)
+    totals = counts.groupBy("feature").agg(F.sum("count").alias("total"))   # one row per column
+    top = top_per_group(counts, ["feature"], [F.desc("count"), F.asc("value")], 1, out=None)
+    top = top.join(F.broadcast(totals), "feature")
     return top.select("feature", F.col("value").alias("top_value"), F.col("count").alias("top_count"),
                       F.round(F.col("count") / F.col("total"), 4).alias("ratio"))
 

@@ -10,6 +10,7 @@ MODULES = [
     "quarry.plans.declared",
     "quarry.plans.preprocess",
     "quarry.plans.basics",
+    "quarry.plans.stats",
 ]
 
 
