@@ -11,6 +11,7 @@ MODULES = [
     "quarry.plans.preprocess",
     "quarry.plans.basics",
     "quarry.plans.stats",
+    "quarry.plans.analysis",
 ]
 
 
