@@ -12,6 +12,7 @@ MODULES = [
     "quarry.plans.basics",
     "quarry.plans.stats",
     "quarry.plans.analysis",
+    "quarry.plans.feeds",
 ]
 
 
