@@ -1,0 +1,7 @@
+"""Streaming surface.
+
+The reference workload is batch only (no readStream, watermark, windowed
+state or late data), so nothing is built here. Every operator in
+``quarry.operators`` is a plain DataFrame transformation and can be applied
+inside ``foreachBatch`` of a caller's stream unchanged.
+"""
