@@ -86,22 +86,29 @@ def impute_from_parent(df: DataFrame, target: str, parent: str, zero_is_missing:
     return df.filter(ok & F.col(target).isNotNull()).unionByName(todo.select(*df.columns))
 
 
-def impute_mean_hierarchy(df: DataFrame, values: list[str], levels: list[str]) -> DataFrame:
+def impute_mean_hierarchy(df: DataFrame, values: list[str], levels: list[str],
+                          decimal_scale: int | None = None) -> DataFrame:
     """NULL ``values`` -> mean over rows with ALL values present, by the first
     of ``levels`` (single key columns, tried in order; NULL and 0 keys
     excluded) that has a mean, else the global mean.
 
     Sums and counts come from one aggregate per level over the complete rows
-    and a one-row global aggregate attached by broadcast (no collect)."""
+    and a one-row global aggregate attached by broadcast (no collect).
+    ``decimal_scale`` averages in DECIMAL(38, scale): exact sums, so the means
+    do not depend on the order in which partitions are added."""
     complete = reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in values])
     base = df.filter(complete)
     any_missing = ~complete
     todo = df.filter(any_missing)
+
+    def avg(v: str) -> Column:
+        return F.avg(F.col(v).cast(f"decimal(38,{decimal_scale})")).cast("double") if decimal_scale \
+            else F.avg(v)
     for i, key in enumerate(levels):
         means = (base.filter(F.col(key).isNotNull() & (F.col(key) != 0)).groupBy(key)
-                 .agg(*[F.avg(v).alias(f"__m{i}_{v}") for v in values]))
+                 .agg(*[avg(v).alias(f"__m{i}_{v}") for v in values]))
         todo = todo.join(means, key, "left")
-    glob = base.agg(*[F.avg(v).alias(f"__g_{v}") for v in values])
+    glob = base.agg(*[avg(v).alias(f"__g_{v}") for v in values])
     todo = attach_scalar(todo, glob)
     for v in values:
         fills = [F.col(f"__m{i}_{v}") for i in range(len(levels))] + [F.col(f"__g_{v}")]

@@ -62,7 +62,7 @@ def profile_table(df: DataFrame) -> DataFrame:
     return per.select(
         "feature", types[F.col("feature")].alias("dtype"), "rows", "nulls",
         F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("null_pct"), "distinct",
-        F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"), "min", "max",
+        F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max",
         "top_value", "top_count", F.round(F.col("top_count") / F.col("rows"), 4).alias("top_ratio"))
 
 

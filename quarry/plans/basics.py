@@ -201,7 +201,8 @@ def q_join_inner_counts(spark, sf):
 
 def q_join_left_lookup(spark, sf):
     df = incidents(spark, sf, KEYS + ["district", "latitude"])
-    means = group_mean(df, ["district"], ["latitude"])   # one row per district
+    means = df.groupBy("district").agg(   # one row per district; exact decimal mean
+        F.avg(F.col("latitude").cast("decimal(38,8)")).cast("double").alias("latitude_mean"))
     return df.join(means, "district", "left").withColumn("latitude_mean", F.round("latitude_mean", 6))
 
 
@@ -237,15 +238,19 @@ def q_filtered_count(spark, sf):
 
 def q_global_aggregate(spark, sf):
     df = incidents(spark, sf, ["latitude", "longitude"])
-    return global_aggregate(df, {"rows": F.count(F.lit(1)), "lat_mean": F.round(F.avg("latitude"), 6),
-                                 "lon_mean": F.round(F.avg("longitude"), 6)})
+    dec = "decimal(38,8)"   # exact sums: order-independent means
+    return global_aggregate(df, {"rows": F.count(F.lit(1)),
+                                 "lat_mean": F.round(F.avg(F.col("latitude").cast(dec)).cast("double"), 6),
+                                 "lon_mean": F.round(F.avg(F.col("longitude").cast(dec)).cast("double"), 6)})
 
 
 def q_group_mean(spark, sf):
-    g = group_mean(incidents(spark, sf, ["community_area", "latitude", "longitude"]), ["community_area"],
-                   ["latitude", "longitude"])
-    return g.select("community_area", F.round("latitude_mean", 6).alias("latitude_mean"),
-                    F.round("longitude_mean", 6).alias("longitude_mean"))
+    df = incidents(spark, sf, ["community_area", "latitude", "longitude"])
+    g = group_mean(df.select("community_area", *[F.col(c).cast("decimal(38,8)").alias(c)
+                                                 for c in ("latitude", "longitude")]),
+                   ["community_area"], ["latitude", "longitude"])
+    return g.select("community_area", F.round(F.col("latitude_mean").cast("double"), 6).alias("latitude_mean"),
+                    F.round(F.col("longitude_mean").cast("double"), 6).alias("longitude_mean"))
 
 
 def q_group_first(spark, sf):
@@ -294,14 +299,14 @@ def _unpivot_numeric(df: DataFrame) -> DataFrame:
 def q_describe_numeric(spark, sf):
     long = _unpivot_numeric(incidents(spark, sf, _NUM_COLS))
     return long.groupBy("feature").agg(
-        F.count("x").alias("count"), F.round(F.avg("x"), 6).alias("mean"),
-        F.round(F.stddev_samp("x"), 6).alias("stddev"), F.min("x").alias("min"), F.max("x").alias("max"))
+        F.count("x").alias("count"), F.round(F.avg("x"), 4).alias("mean"),
+        F.round(F.stddev_samp("x"), 4).alias("stddev"), F.min("x").alias("min"), F.max("x").alias("max"))
 
 
 def q_variance_stddev(spark, sf):
     long = _unpivot_numeric(incidents(spark, sf, _NUM_COLS))
     return long.groupBy("feature").agg(F.round(F.var_samp("x"), 4).alias("variance"),
-                                      F.round(F.stddev_samp("x"), 6).alias("stddev"))
+                                      F.round(F.stddev_samp("x"), 4).alias("stddev"))
 
 
 def q_duplicate_rows(spark, sf):
@@ -459,7 +464,7 @@ ORACLE = {
         ON a.district = d.district""",
     "join_left_lookup": INC + f"""SELECT i.district, {', '.join('i.' + k for k in KEYS)}, i.latitude,
         round(m.latitude_mean, 6) AS latitude_mean FROM incidents i
-        LEFT JOIN (SELECT district, avg(latitude) AS latitude_mean FROM incidents GROUP BY 1) m ON i.district = m.district""",
+        LEFT JOIN (SELECT district, avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE AS latitude_mean FROM incidents GROUP BY 1) m ON i.district = m.district""",
     "join_broadcast_semi": INC + """SELECT primary_type, count(*) AS count FROM incidents
         WHERE primary_type IN (SELECT primary_type FROM incidents GROUP BY 1 ORDER BY count(*) DESC, primary_type LIMIT 5)
         GROUP BY 1""",
@@ -470,9 +475,10 @@ ORACLE = {
         """SELECT * FROM d WHERE ward IN (SELECT ward FROM d GROUP BY ward ORDER BY sum(count) DESC, ward LIMIT 10)""",
     "group_count": INC + "SELECT district, ward, fbi_code, arrest, domestic, count(*) AS count FROM incidents GROUP BY ALL",
     "filtered_count": INC + f"SELECT district, count(*) AS count_a FROM incidents WHERE primary_type = '{P.TYPE_A}' GROUP BY 1",
-    "global_aggregate": INC + "SELECT count(*) AS rows, round(avg(latitude), 6) AS lat_mean, round(avg(longitude), 6) AS lon_mean FROM incidents",
-    "group_mean": INC + """SELECT community_area, round(avg(latitude), 6) AS latitude_mean,
-        round(avg(longitude), 6) AS longitude_mean FROM incidents GROUP BY 1""",
+    "global_aggregate": INC + "SELECT count(*) AS rows, round(avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE, 6) AS lat_mean, "
+                               "round(avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE, 6) AS lon_mean FROM incidents",
+    "group_mean": INC + """SELECT community_area, round(avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE, 6) AS latitude_mean,
+        round(avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE, 6) AS longitude_mean FROM incidents GROUP BY 1""",
     "group_first": _RAW + """SELECT beat, district FROM (SELECT beat, district, row_number() OVER
         (PARTITION BY beat ORDER BY count(*) DESC, district) AS rn FROM raw WHERE district IS NOT NULL AND district <> 0
         GROUP BY beat, district) WHERE rn = 1""",
@@ -490,9 +496,9 @@ ORACLE = {
         f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
         f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 6) AS null_pct FROM raw" for c in _NULL_COLS),
     "distinct_count": INC + "SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in _STR_COLS) + " FROM incidents",
-    "describe_numeric": INC + f"""SELECT feature, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev,
+    "describe_numeric": INC + f"""SELECT feature, count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS stddev,
         min(x) AS min, max(x) AS max FROM ({_UNPIV}) GROUP BY feature""",
-    "variance_stddev": INC + f"""SELECT feature, round(var_samp(x), 4) AS variance, round(stddev_samp(x), 6) AS stddev
+    "variance_stddev": INC + f"""SELECT feature, round(var_samp(x), 4) AS variance, round(stddev_samp(x), 4) AS stddev
         FROM ({_UNPIV}) GROUP BY feature""",
     "duplicate_rows": INC + """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (
         SELECT count(*) AS n FROM incidents GROUP BY district, ward, primary_type)""",

@@ -46,6 +46,7 @@ BLOCK_LEVELS = [["street_name", "street_type", "direction", "district"],
                 ["street_name", "street_type"]]
 LOCATION_KEYS = ["primary_type", "description"]
 MEAN_LEVELS = ["community_area", "ward", "district"]
+MEAN_SCALE = 8   # exact (order-independent) means of the 2-decimal coordinates
 SENTINEL_COLS = ["ward", "community_area", "district"]
 CRITICAL = ["incident_date", "primary_type", "district", "latitude", "longitude"]
 
@@ -84,7 +85,7 @@ def stage_district(spark, sf) -> DataFrame:
 
 def stage_coordinates(spark, sf) -> DataFrame:
     df = impute_mean_hierarchy(materialize(stage_district(spark, sf), "district"),
-                               ["latitude", "longitude"], MEAN_LEVELS)
+                               ["latitude", "longitude"], MEAN_LEVELS, decimal_scale=MEAN_SCALE)
     return df.withColumns({"latitude": F.round("latitude", 6), "longitude": F.round("longitude", 6)})
 
 
@@ -205,12 +206,12 @@ CTES = [
                                  AS district)
           FROM loc l LEFT JOIN dm ON l.beat = dm.beat)""",
     "base AS (SELECT * FROM dist WHERE latitude IS NOT NULL AND longitude IS NOT NULL)",
-    """ca AS (SELECT community_area, avg(latitude) AS la, avg(longitude) AS lo FROM base
+    """ca AS (SELECT community_area, avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE AS la, avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE AS lo FROM base
           WHERE community_area IS NOT NULL AND community_area <> 0 GROUP BY 1)""",
-    "wa AS (SELECT ward, avg(latitude) AS la, avg(longitude) AS lo FROM base WHERE ward IS NOT NULL AND ward <> 0 GROUP BY 1)",
-    """di AS (SELECT district, avg(latitude) AS la, avg(longitude) AS lo FROM base
+    "wa AS (SELECT ward, avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE AS la, avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE AS lo FROM base WHERE ward IS NOT NULL AND ward <> 0 GROUP BY 1)",
+    """di AS (SELECT district, avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE AS la, avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE AS lo FROM base
           WHERE district IS NOT NULL AND district <> 0 GROUP BY 1)""",
-    "gl AS (SELECT avg(latitude) AS la, avg(longitude) AS lo FROM base)",
+    "gl AS (SELECT avg(CAST(latitude AS DECIMAL(38,8)))::DOUBLE AS la, avg(CAST(longitude AS DECIMAL(38,8)))::DOUBLE AS lo FROM base)",
     """geo AS (SELECT d.* REPLACE (round(coalesce(d.latitude, ca.la, wa.la, di.la, gl.la), 6) AS latitude,
                                   round(coalesce(d.longitude, ca.lo, wa.lo, di.lo, gl.lo), 6) AS longitude)
           FROM dist d LEFT JOIN ca ON d.community_area = ca.community_area LEFT JOIN wa ON d.ward = wa.ward

@@ -56,8 +56,8 @@ def _profile_sql() -> str:
     parts = []
     for c in PROFILE_COLS:
         num = c in _NUMERIC
-        mean = f"round(avg({c}), 6)" if num else "CAST(NULL AS DOUBLE)"
-        sd = f"round(stddev_samp({c}), 6)" if num else "CAST(NULL AS DOUBLE)"
+        mean = f"round(avg({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
+        sd = f"round(stddev_samp({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
         mn = f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
         mx = f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
         parts.append(f"""SELECT '{c}' AS feature, '{_DTYPES[c]}' AS dtype, s.rows, s.nulls,
