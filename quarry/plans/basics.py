@@ -24,7 +24,8 @@ from quarry.operators.quality import anomaly_filter, collapse_top_categories
 from quarry.operators.windows import (cumulative_sum, moving_average, rank_prefix,
                                       share_of_partition, top_per_group, topk)
 from quarry.plans import params as P
-from quarry.plans.bindings import INCIDENTS_SQL, TIMED_SQL, incidents, timed_incidents, with_sql
+from quarry.plans.bindings import (INCIDENTS_SQL, TIMED_SQL, district_counts, incidents, timed_incidents,
+                                   with_sql)
 from quarry.plans.preprocess import INJECT
 from quarry.plans.preprocess import raw as raw_incidents
 from quarry.session import scratch_path
@@ -195,8 +196,9 @@ def q_format_percent(spark, sf):
 # --- joins -----------------------------------------------------------------
 
 def q_join_inner_counts(spark, sf):
-    return conditional_counts(incidents(spark, sf, ["district", "arrest", "domestic"]), ["district"],
-                              {"arrests": F.col("arrest"), "domestic": F.col("domestic")})
+    # both counts in one eager aggregate; inner-join semantics: both > 0
+    g = district_counts(spark, sf, {"arrests": F.col("arrest"), "domestic": F.col("domestic")})
+    return g.filter((F.col("arrests") > 0) & (F.col("domestic") > 0))
 
 
 def q_join_left_lookup(spark, sf):

@@ -20,7 +20,7 @@ from quarry.operators.joins import checked_broadcast
 from quarry.operators.windows import sequence_within_groups, top_per_group, topk
 from quarry.plans import params as P
 from quarry.plans.bindings import (DISTRICTS_SQL, INCIDENTS_SQL, SEVERITY_SQL, TIMED_SQL,
-                                   district_lookup, incidents, severity_lookup,
+                                   district_counts, district_lookup, incidents, severity_lookup,
                                    timed_incidents, with_sql)
 
 INC = with_sql(INCIDENTS_SQL)
@@ -81,9 +81,7 @@ def bq9_count_by_type(spark, sf):
 
 
 def bq10_rate_by_district(spark, sf):
-    df = incidents(spark, sf, ["district", "arrest"])
-    g = df.groupBy("district").agg(F.count_if(F.col("arrest")).alias("arrests"),
-                                   F.count(F.lit(1)).alias("total"))
+    g = district_counts(spark, sf, {"arrests": F.col("arrest"), "total": F.lit(True)})
     return g.select("district", ratio("arrests", "total", 100.0).alias("arrest_rate"))
 
 

@@ -9,7 +9,8 @@ from quarry.functions.formatting import ratio
 from quarry.operators.agg import group_count
 from quarry.operators.joins import attach_scalar
 from quarry.operators.windows import topk
-from quarry.plans.bindings import INCIDENTS_SQL, TIMED_SQL, incidents, timed_incidents, with_sql
+from quarry.plans.bindings import (INCIDENTS_SQL, TIMED_SQL, district_counts, incidents, timed_incidents,
+                                   with_sql)
 from quarry.plans.declared import ORDER_KEYS, interval_seconds
 
 INC = with_sql(INCIDENTS_SQL)
@@ -51,8 +52,7 @@ def feed_boolean_share(spark, sf):
 
 
 def feed_rate_vs_volume(spark, sf):
-    g = incidents(spark, sf, ["district", "arrest"]).groupBy("district").agg(
-        F.count_if(F.col("arrest")).alias("arrests"), F.count(F.lit(1)).alias("count"))
+    g = district_counts(spark, sf, {"arrests": F.col("arrest"), "count": F.lit(True)})
     return g.select("district", ratio("arrests", "count", 100.0).alias("arrest_rate"), "count")
 
 
