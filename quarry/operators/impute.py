@@ -55,13 +55,13 @@ def impute_mode_audit(df: DataFrame, target: str, levels: list[list[str]],
                       row_keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """``impute_mode`` plus an audit: one row per originally missing row with
     status 'imputed' / 'missing', and the counts (status, rows)."""
-    filled = impute_mode(df, target, levels)
-    flagged = df.select(*row_keys, F.col(target).isNull().alias("__was_null"))
-    audit = (filled.join(flagged, row_keys)
-             .select(*row_keys, F.col(target).alias("value"),
-                     F.when(~F.col("__was_null"), "original")
-                      .when(F.col(target).isNotNull(), "imputed").otherwise("missing").alias("status")))
-    return filled, audit
+    # the flag travels with each row through the imputation: no join back on
+    # row keys (which need not be unique), no extra shuffle
+    filled = impute_mode(df.withColumn("__was_null", F.col(target).isNull()), target, levels)
+    audit = filled.select(*row_keys, F.col(target).alias("value"),
+                          F.when(~F.col("__was_null"), "original")
+                           .when(F.col(target).isNotNull(), "imputed").otherwise("missing").alias("status"))
+    return filled.drop("__was_null"), audit
 
 
 def impute_dominant_mode(df: DataFrame, target: str, keys: list[str], min_share: float = 0.8,
