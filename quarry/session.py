@@ -8,6 +8,7 @@ of session state the library reads (the shared checkpoint folder).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,16 +55,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a single-process session (``local[...]``, as in tests and the bench),
+    whose tasks all run in the driver, gets a folder of its own when the
+    setting is missing. On a cluster a machine-local folder would scatter the
+    intermediate tables, so a missing setting is an error there."""
     current = checkpoint_dir(spark)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not current:
+        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="quarry-local-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

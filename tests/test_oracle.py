@@ -6,11 +6,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans import registry
 from tools.oracle_check import compare, duck
 
 SF = os.environ.get("QUARRY_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
