@@ -66,7 +66,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="quarry-local-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
