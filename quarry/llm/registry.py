@@ -7,6 +7,8 @@ import importlib
 MODULES = [
     "quarry.llm.exact_dedup",
     "quarry.llm.url_filters",
+    "quarry.llm.warc",
+    "quarry.llm.mixing",
 ]
 
 
