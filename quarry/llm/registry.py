@@ -9,6 +9,9 @@ MODULES = [
     "quarry.llm.url_filters",
     "quarry.llm.warc",
     "quarry.llm.mixing",
+    "quarry.llm.language_id",
+    "quarry.llm.packing",
+    "quarry.llm.token_binary",
 ]
 
 
