@@ -12,6 +12,8 @@ MODULES = [
     "quarry.llm.language_id",
     "quarry.llm.packing",
     "quarry.llm.token_binary",
+    "quarry.llm.ngram_join",
+    "quarry.llm.neighbours",
 ]
 
 
