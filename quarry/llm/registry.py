@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
+    "quarry.llm.line_dedup",
     "quarry.llm.exact_dedup",
     "quarry.llm.url_filters",
     "quarry.llm.warc",
