@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
+import quarry
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,25 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BITMAP_BITS = 32768  # positions of one bitmap row, fixed by bitmap_bit_position
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per session.
+
+    Spark's own file server distributes the archive, so workers import the
+    functions they run wherever they are started."""
+    context = spark.sparkContext
+    if getattr(context, "_quarry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(quarry.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), "quarry_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._quarry_shipped = True
+
+
 class Scratch:
     """Intermediate tables of one run in the shared checkpoint folder.
 
@@ -25,6 +48,7 @@ class Scratch:
     removes those that no returned plan reads."""
 
     def __init__(self, spark: SparkSession, label: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = scratch_path(spark, f"quarry-llm/{label}-{uuid.uuid4().hex}")
 

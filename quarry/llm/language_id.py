@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.arrow import one_chunk, utf8_slices
-from quarry.llm.common import table
+from quarry.llm.common import ship_package, table
 
 BUCKETS = 8192
 DIM = 16
@@ -164,6 +164,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         per_language: int = PER_LANGUAGE, min_score: float = MIN_SCORE) -> Model | None:
     """Learn from at most ``per_language`` documents of each language; None
     if there is nothing to learn from."""
+    ship_package(docs.sparkSession)
     usable = F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)
     ids = docs.where(usable & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
@@ -192,6 +193,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def annotate(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None,
              lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` (the ``keep`` columns) with the predicted language and score."""
+    ship_package(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     given = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"),
                         F.coalesce(F.rlike(text_col, F.lit(r"\p{L}")), F.lit(False)).alias("__letter"))

@@ -32,6 +32,7 @@ result; only the id and text columns are read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +41,21 @@ from pyspark.sql import functions as F
 
 from quarry.llm import signature_tree as tree
 from quarry.llm.arrow import utf8_slices
-from quarry.llm.common import Scratch, hash_filter, table
+from quarry.llm.common import Scratch, hash_filter, maybe_in, table
 from quarry.llm.components import components
 from quarry.llm.shingles import mix, shingle_set
 
 WIDTH = 5
 PERCENT = 75
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SLOT_BITS = 12
 FILTER_BITS = 22
 FREQUENT_SETS = 1000
 ENTRIES_PER_TASK = 2_000_000
 BLOCK = 512
 
-_PASS1 = "doc_id long, n int, sid long, sig binary, slot int, counts binary, bytes int"
-_PASS1_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()), ("sig", pa.binary()),
+_PASS1 = "doc_id long, content long, n int, sid long, sig binary, slot int, counts binary, bytes int"
+_PASS1_ARROW = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()), ("sig", pa.binary()),
                           ("slot", pa.int32()), ("counts", pa.binary()), ("bytes", pa.int32())])
 
 
@@ -92,7 +93,7 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
                     waiting, size = [], 0
             blank = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
-                [ids, ns, sids, sigs, blank, blank, blank], _PASS1_ARROW)], schema=_PASS1_ARROW)
+                [ids, batch.column(2), ns, sids, sigs, blank, blank, blank], _PASS1_ARROW)], schema=_PASS1_ARROW)
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS).astype(np.uint32)
         slots = counts.reshape(-1, 1 << SLOT_BITS)
@@ -100,10 +101,11 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
         kinds = [np.min_scalar_type(int(slots[i].max())) for i in used]
         blank = [None] * len(used)
         yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
-            [blank, blank, blank, blank, used, [slots[i].astype(k).tobytes() for i, k in zip(used, kinds)],
+            [blank, blank, blank, blank, blank, used, [slots[i].astype(k).tobytes() for i, k in zip(used, kinds)],
              [k.itemsize for k in kinds]], _PASS1_ARROW)], schema=_PASS1_ARROW)
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(F.col(text_col)).alias("content"))
     return scratch.save(source.mapInArrow(scan, _PASS1), "pass1")
 
 
@@ -238,7 +240,8 @@ def star_pairs(groups: DataFrame, nodes: DataFrame, scratch: Scratch, percent: i
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch, name: str, id_col: str,
              text_col: str, width: int, percent: int) -> DataFrame:
     """The links (u, v) among candidate pairs, decided on the whole sets. Sets
-    are recomputed for documents in a size-bounded bitmap of those concerned."""
+    are recomputed for documents in a size-bounded bitmap of those concerned; what
+    else hits the bitmap finds no pair. Both sides of the join read one exchange."""
     spark = docs.sparkSession
     sids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     needed = scratch.save(nodes.join(sids, "sid", "left_semi").select("sid", "rep"), f"{name}-needed")
@@ -261,8 +264,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
     doc_id = F.col(id_col).cast("long")
     source = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(
         F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)), F.lit(0)).alias("at"))
-    whole = scratch.save(source.mapInArrow(sets, "sid long, tokens binary")
-                         .join(needed, "sid", "left_semi").dropDuplicates(["sid"]), f"{name}-sets")
+    whole = source.mapInArrow(sets, "sid long, tokens binary")
 
     def decide(batches):
         for batch in batches:
@@ -277,7 +279,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
 
     sided = (pairs.join(whole.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
              .join(whole.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b"))
-    return scratch.save(sided.select("a", "b", "ta", "tb").mapInArrow(decide, "u long, v long"), f"{name}-links")
+    return scratch.save(sided.select("a", "b", "ta", "tb").mapInArrow(decide, "u long, v long").distinct(), f"{name}-links")
 
 
 def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: int, scratch: Scratch,
@@ -312,9 +314,10 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
     rows = members.join(sides, ["gh", "class", "block"]).select("work", "side", "sid", "label", "n", "sig")
 
     def search(batches):
-        batch = pa.Table.from_batches(list(batches))
-        if not batch.num_rows:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        batch = pa.Table.from_batches(batches)
         work_id, side, sid, label, n = (batch.column(k).to_numpy() for k in ("work", "side", "sid", "label", "n"))
         n = n.astype(np.int64)
         order = np.lexsort((sid, n, side, work_id))
@@ -335,11 +338,11 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
     return scratch.save(found.distinct(), "tree-pairs")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                       percent: int = PERCENT) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id."""
+def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
+                       width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row per input row: doc_id, content (a hash of the text), n (shingles)
+    and label (equal for linked rows, null without shingles)."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-join")
     pass1 = describe_sets(docs, scratch, id_col, text_col, width)
     counts = rarity(pass1)
     rows = pass1.where("slot is null")
@@ -359,13 +362,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # contract what is known, then complete it
     known = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
     labels = components(known.unionByName(more), scratch, "all")
-    return _with_component(rows, labels, scratch)
+    return scratch.save(
+        rows.select("doc_id", "content", "n", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+        .select("doc_id", "content", "n", F.coalesce("label", "sid").alias("label")), "placed")
 
 
-def _with_component(rows: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    placed = scratch.save(
-        rows.select("doc_id", "n", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-        .select("doc_id", "n", F.coalesce("label", "sid").alias("label")), "placed")
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                       percent: int = PERCENT) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id."""
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    placed = labelled_documents(docs, scratch, id_col, text_col, width, percent)
     # only components of several rows are looked up; a component's rows are combined before the shuffle
     least = scratch.save(placed.where("label is not null").groupBy("label").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("label", "least"), "least")
@@ -374,6 +380,32 @@ def _with_component(rows: DataFrame, labels: DataFrame, scratch: Scratch) -> Dat
                     F.coalesce("least", "doc_id").alias("component_id")))
 
 
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                      percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id
+    (null ids last, then the smallest hash of the text). Texts without shingles
+    link with nothing and stay."""
+    scratch = Scratch(docs.sparkSession, "one-per-component")
+    placed = labelled_documents(docs, scratch, id_col, text_col, width, percent).where("label is not null")
+    placed = placed.withColumn("me", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "content"))
+    winners = scratch.save(placed.groupBy("label").agg(F.min("me").alias("winner"), F.count(F.lit(1)).alias("rows"))
+                           .where("rows > 1").select("label", "winner"), "winners")
+    # rows that go, and rows that repeat the one that stays
+    found = (placed.join(winners, "label").groupBy("doc_id", "content")
+             .agg(F.max(F.col("me") != F.col("winner")).alias("__goes"), F.count(F.lit(1)).alias("times"))
+             .where("__goes or times > 1").select(F.col("doc_id").alias("__id"), F.col("content").alias("__text"), "__goes"))
+    found = scratch.save(found.withColumn("__h", F.xxhash64("__id", "__text")), "found")
+    bits = scratch.save(hash_filter(found.select("__h"), FILTER_BITS), "found-bits")
+    rows = docs.withColumn("__content", F.xxhash64(F.col(text_col)))
+    rows = maybe_in(rows.withColumn("__key", F.xxhash64(F.col(id_col).cast("long"), "__content")), "__key", bits,
+                    "__maybe", FILTER_BITS)
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__text"))
+    met = rows.where("__maybe").join(found.drop("__h"), same, "left").where("__goes is null or not __goes")
+    repeated = met.where("__goes is not null").dropDuplicates(["__id", "__text"])
+    parts = [rows.where("not __maybe"), met.where("__goes is null"), repeated]
+    return reduce(DataFrame.unionByName, [p.select(*docs.columns) for p in parts])
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 

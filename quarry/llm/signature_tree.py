@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS = 1024
+BITS = 2048
 FANOUT = 8
 _PAIRS_AT_ONCE = 1024
 
