@@ -31,7 +31,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, table
@@ -146,7 +145,7 @@ def plan_blocks(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.nda
 
 def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, counts: np.ndarray, tables: int,
             probes: int, k: int, block_rows: int) -> DataFrame:
-    """(query_id, vec_id, score): the best ``k`` per query and block."""
+    """(query_id, vec_ids, scores): the best ``k`` per query and block."""
     spark = vectors.sparkSession
     first, number, blocks = plan_blocks(counts[:tables], block_rows)
     shared = spark.sparkContext.broadcast((hasher, first, number))  # two numbers per cell, a fixed number of cells
@@ -224,7 +223,7 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
                     ready = (np.concatenate(cells)[order], np.concatenate(ids)[order], np.concatenate(rows)[order])
                 known, vec_ids, vecs = ready
                 query_ids, lists = part.column("id").to_numpy(), part.column("cells")
-                out_q, out_v, out_s = [], [], []
+                found = []
                 for i in range(len(query_ids)):
                     want = lists[i].values.to_numpy()
                     lo, hi = np.searchsorted(known, want, "left"), np.searchsorted(known, want, "right")
@@ -235,17 +234,14 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
                         continue
                     got, own = vec_ids[at], np.einsum("ij,j->i", vecs[at], matrix[i])
                     top = best_of(own, got, k)
-                    out_q.append(np.full(len(top), query_ids[i]))
-                    out_v.append(got[top])
-                    out_s.append(own[top])
-                if out_q:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)],
-                                                     names=["query_id", "vec_id", "score"])
+                    found.append((query_ids[i], got[top], own[top]))
+                if found:
+                    yield _lists(found)
 
     rows = vectors.mapInArrow(place_vectors, schema).unionByName(queries.mapInArrow(place_queries, schema))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks // 4))
     return (rows.repartition(n, "block").sortWithinPartitions("block", "side")
-            .mapInArrow(score, "query_id long, vec_id long, score double"))
+            .mapInArrow(score, _FOUND))
 
 
 def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
@@ -287,10 +283,51 @@ def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     return merged.join(enough, "query_id", "left_semi").select(*again.columns).unionByName(again)
 
 
+_FOUND = "query_id long, vec_ids array<long>, scores array<double>"
+
+
+def _lists(found: list[tuple]) -> pa.RecordBatch:
+    starts = pa.array(np.cumsum([0] + [len(f[1]) for f in found]).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([f[0] for f in found], pa.int64()),
+         pa.ListArray.from_arrays(starts, pa.array(np.concatenate([f[1] for f in found]))),
+         pa.ListArray.from_arrays(starts, pa.array(np.concatenate([f[2] for f in found])))],
+        names=["query_id", "vec_ids", "scores"])
+
+
 def _top(found: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    """Merge the blocks' lists, a query at a time: rows come ordered by query."""
+
+    def merged(query, ids, scores):
+        ids, first = np.unique(np.concatenate(ids), return_index=True)
+        scores = np.concatenate(scores)[first]
+        top = best_of(scores, ids, k)
+        return np.full(len(top), query), np.arange(1, len(top) + 1, dtype=np.int32), ids[top], scores[top]
+
+    def merge(batches):
+        query, ids, scores = None, [], []
+        for batch in batches:
+            out = []
+            for q, i, s in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if q != query:
+                    if ids:
+                        out.append(merged(query, ids, scores))
+                    query, ids, scores = q, [], []
+                ids.append(i.values.to_numpy())
+                scores.append(s.values.to_numpy())
+            if out:
+                yield _ranked(out)
+        if ids:
+            yield _ranked([merged(query, ids, scores)])
+
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (found.repartition(n, "query_id").sortWithinPartitions("query_id")
+            .mapInArrow(merge, "query_id long, rank int, vec_id long, score double"))
+
+
+def _ranked(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
+                                      names=["query_id", "rank", "vec_id", "score"])
 
 
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
