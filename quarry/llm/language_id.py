@@ -166,9 +166,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if there is nothing to learn from."""
     ship_package(docs.sparkSession)
     usable = F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)
-    ids = docs.where(usable & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
-        F.xxhash64(F.lit(SEED), F.col(id_col)).alias("h")).distinct()
+    known = docs.where(usable & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.lit(SEED), F.col(id_col)).alias("h"))
+    # a hash cut leaves about 2 * per_language ids of each language, so that ranking
+    # them never brings a frequent language together
+    share = [(r["lang"], min(1.0, 2 * per_language / r["n"]))
+             for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
+    cuts = docs.sparkSession.createDataFrame(share, "lang string, share double")
+    ids = (known.join(F.broadcast(cuts), "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("share"))
+           .select("id", "lang", "h").distinct())
     first = F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))
     chosen = ids.withColumn("rank", first).where(F.col("rank") <= per_language).drop("rank")
     texts = docs.where(usable & F.col(text_col).isNotNull()).select(
