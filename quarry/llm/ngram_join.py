@@ -44,11 +44,10 @@ from quarry.llm.arrow import utf8_slices
 from quarry.llm.common import Scratch, hash_filter, maybe_in, table
 from quarry.llm.components import components
 from quarry.llm.shingles import mix, shingle_set
+from quarry.llm.sketch import Counter, rarity, sketch_bucket
 
 WIDTH = 5
 PERCENT = 75
-SKETCH_BITS = 22
-SLOT_BITS = 12
 FILTER_BITS = 22
 FREQUENT_SETS = 1000
 ENTRIES_PER_TASK = 2_000_000
@@ -63,10 +62,6 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sketch_bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-
-
 def _sets(batch, width: int):
     """(doc_id, tokens) of each row."""
     for doc_id, text in zip(batch.column(0).to_pylist(), utf8_slices(batch.column(1))):
@@ -77,8 +72,7 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
     """First pass: rows of documents (slot null) and of the sketch (doc columns null)."""
 
     def scan(batches):
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        waiting, size = [], 0
+        counter = Counter()
         for batch in batches:
             ids, ns, sids, sigs = [], [], [], []
             for doc_id, tokens in _sets(batch, width):
@@ -86,51 +80,20 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
                 ns.append(len(tokens))
                 sids.append(set_id(tokens) if len(tokens) else None)
                 sigs.append(tree.signature(tokens).tobytes() if len(tokens) else None)
-                waiting.append(_sketch_bucket(tokens))
-                size += len(tokens)
-                if size > 1 << SKETCH_BITS:
-                    counts += np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS).astype(np.uint32)
-                    waiting, size = [], 0
+                counter.add(tokens)
             blank = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
                 [ids, batch.column(2), ns, sids, sigs, blank, blank, blank], _PASS1_ARROW)], schema=_PASS1_ARROW)
-        if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS).astype(np.uint32)
-        slots = counts.reshape(-1, 1 << SLOT_BITS)
-        used = [int(i) for i in np.flatnonzero(slots.any(axis=1))]
-        kinds = [np.min_scalar_type(int(slots[i].max())) for i in used]
-        blank = [None] * len(used)
+        slots = counter.columns()
+        blank = [None] * len(slots[0])
         yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
-            [blank, blank, blank, blank, blank, used, [slots[i].astype(k).tobytes() for i, k in zip(used, kinds)],
-             [k.itemsize for k in kinds]], _PASS1_ARROW)], schema=_PASS1_ARROW)
+            [blank, blank, blank, blank, blank, *slots], _PASS1_ARROW)], schema=_PASS1_ARROW)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(F.col(text_col)).alias("content"))
     return scratch.save(source.mapInArrow(scan, _PASS1), "pass1")
 
 
-def rarity(pass1: DataFrame) -> np.ndarray:
-    """How often each sketch bucket occurs over all texts; a fixed number of
-    buckets, summed on the executors slot by slot."""
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                part = np.frombuffer(r["counts"], dtype=f"<u{r['bytes']}").astype(np.int64)
-                sums[r["slot"]] = sums[r["slot"]] + part if r["slot"] in sums else part
-        yield pa.RecordBatch.from_pydict(
-            {"slot": list(sums), "counts": [np.minimum(v, 0xFFFFFFFF).astype("<u4").tobytes() for v in sums.values()]},
-            schema=pa.schema([("slot", pa.int32()), ("counts", pa.binary())]))
-
-    rows = (pass1.where("slot is not null").select("slot", "counts", "bytes").repartition("slot")
-            .mapInArrow(add, "slot int, counts binary").collect())
-    out = np.zeros((1 << (SKETCH_BITS - SLOT_BITS), 1 << SLOT_BITS), dtype=np.uint32)
-    for r in rows:
-        out[r["slot"]] = np.frombuffer(r["counts"], dtype="<u4")
-    return out.reshape(-1)
-
-
 def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: int, scratch: Scratch,
                   id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """(gh, sid): sets that share a prefix token, a group per member list."""
@@ -168,7 +131,7 @@ def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: in
                 sid = set_id(own)
                 if winners.get((sid, n), doc_id) != doc_id:
                     continue
-                order = np.lexsort((own, rare[_sketch_bucket(own)]))
+                order = np.lexsort((own, rare[sketch_bucket(own)]))
                 prefix = own[order[:n - (percent * n + 99) // 100 + 1]]
                 tokens.append(prefix)
                 sids.append(np.full(len(prefix), sid, dtype="<i8"))
@@ -344,7 +307,7 @@ def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id"
     and label (equal for linked rows, null without shingles)."""
     spark = docs.sparkSession
     pass1 = describe_sets(docs, scratch, id_col, text_col, width)
-    counts = rarity(pass1)
+    counts = rarity(pass1.where("slot is not null"))
     rows = pass1.where("slot is null")
     nodes = scratch.save(rows.where("n > 0").groupBy("sid", "n").agg(
         F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "nodes")

@@ -48,20 +48,19 @@ def _hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return mix((total[ends] - total[starts]) * _INV[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """Hashes of the words of one lower-cased UTF-8 text, in order."""
-    raw = np.frombuffer(text, dtype=np.uint8)
-    if not len(raw):
-        return np.empty(0, dtype=np.uint64)
-    data = _LOWER[raw]
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end offsets of the words of UTF-8 bytes."""
     gap = np.ones(len(data) + 2, dtype=bool)
     gap[1:-1] = _SPACE[data]
-    starts = np.flatnonzero(gap[:-2] & ~gap[1:-1])
-    ends = np.flatnonzero(~gap[1:-1] & gap[2:]) + 1
+    return np.flatnonzero(gap[:-2] & ~gap[1:-1]), np.flatnonzero(~gap[1:-1] & gap[2:]) + 1
+
+
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word; a slice of whole words at a time keeps powers and sums small."""
     if len(data) <= _CHUNK:
         return _hash_runs(data, starts, ends)
     out, i = [], 0
-    while i < len(starts):  # a slice of whole words at a time keeps powers and sums small
+    while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _CHUNK, side="right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         if hi - lo > _CHUNK:  # one word longer than the slice: chain its pieces
@@ -77,6 +76,46 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of one UTF-8 text, A-Z lower-cased, in order."""
+    raw = np.frombuffer(text, dtype=np.uint8)
+    if not len(raw):
+        return np.empty(0, dtype=np.uint64)
+    data = _LOWER[raw]
+    return hash_words(data, *word_spans(data))
+
+
+def chained(words: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each position in ``first``."""
+    with np.errstate(over="ignore"):
+        acc = np.full(len(first), width, dtype=np.uint64)
+        for i in range(width):
+            acc = mix(acc * _BASE + words[first + i])
+    return acc
+
+
+def line_shingles(text: bytes, width: int = 5) -> tuple[np.ndarray, np.ndarray, int]:
+    """All shingles of all lines of a text at once: hashes, the line of each
+    (not in order), and the number of lines. Words are taken as they are."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    breaks = np.flatnonzero(data == 10)
+    starts, ends = word_spans(data)
+    words = hash_words(data, starts, ends)
+    line = np.searchsorted(breaks, starts)
+    count = np.bincount(line, minlength=len(breaks) + 1)
+    first = np.cumsum(count) - count
+    hashes, lines = [], []
+    if len(words) >= width:
+        full = np.flatnonzero(line[width - 1:] == line[:len(line) - width + 1])
+        hashes.append(chained(words, full, width))
+        lines.append(line[full])
+    for k in range(1, width):  # shorter lines are one shingle
+        short = np.flatnonzero(count == k)
+        hashes.append(chained(words, first[short], k))
+        lines.append(short)
+    return np.concatenate(hashes), np.concatenate(lines), len(breaks) + 1
+
+
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of one text. With fewer words than
     ``width`` the whole sequence is one shingle; no words give none."""
