@@ -255,13 +255,13 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
     mixed = scratch.save(labelled.groupBy("gh").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
         .where("low <> high").select("gh", "members"), "mixed")
-    members = labelled.join(mixed, "gh").join(nodes.select("sid", "n", "sig"), "sid")
+    members = labelled.join(mixed, "gh").join(nodes.select("sid", "n"), "sid")
     # sizes of linked sets differ by less than one class
     large = F.col("members") > BLOCK
     klass = F.when(large, F.floor(F.log("n") / np.log(100 / percent) + 1e-9)).otherwise(0).cast("int")
     blocks = F.ceil(F.col("members") / BLOCK)
     block = F.when(large, F.pmod(F.xxhash64("sid"), blocks)).otherwise(0).cast("int")
-    members = scratch.save(members.select("gh", "sid", "label", "n", "sig", klass.alias("class"), block.alias("block")),
+    members = scratch.save(members.select("gh", "sid", "label", "n", klass.alias("class"), block.alias("block")),
                            "members")
     held = members.groupBy("gh", "class", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     other = held.select("gh", *[F.col(c).alias(f"{c}2") for c in ("class", "block", "low", "high")])
@@ -274,7 +274,10 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
     second = (work.where(twice).select("gh", F.col("class2").alias("class"), F.col("block2").alias("block"), "work")
               .withColumn("side", F.lit(1)))
     sides = work.select("gh", "class", "block", "work").withColumn("side", F.lit(0)).unionByName(second)
-    rows = members.join(sides, ["gh", "class", "block"]).select("work", "side", "sid", "label", "n", "sig")
+    placed = members.join(sides, ["gh", "class", "block"]).select("work", "side", "sid", "label", "n")
+    # signatures come last, so that they are moved once
+    rows = scratch.save(placed, "sides").join(nodes.select("sid", "sig"), "sid").select(
+        "work", "side", "sid", "label", "n", "sig")
 
     def search(batches):
         batches = [b for b in batches if b.num_rows]
