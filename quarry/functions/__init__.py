@@ -14,4 +14,4 @@ from quarry.functions.calendar import (  # noqa: F401
     weekend_label,
     year_range_filter,
 )
-from quarry.functions.formatting import format_percent, ratio, round6  # noqa: F401
+from quarry.functions.formatting import format_percent, ratio  # noqa: F401

@@ -23,7 +23,3 @@ def format_percent(pct: str | Column) -> Column:
     return (F.when(p >= 0.1, F.format_string("~%.1f%%", p))
             .when(p > 0, F.format_string("%.5f%%", p))
             .otherwise(F.lit("0.0%")))
-
-
-def round6(c: str | Column) -> Column:
-    return F.round(_c(c), 6)

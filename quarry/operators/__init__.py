@@ -14,7 +14,6 @@ from quarry.operators.agg import (  # noqa: F401
 from quarry.operators.joins import (  # noqa: F401
     attach_scalar,
     bounded_broadcast,
-    checked_broadcast,
     lookup_join,
     semi_join_top,
 )

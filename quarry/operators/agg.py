@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.formatting import ratio
+from quarry.operators.joins import attach_scalar
+
+# Equal-width ranges in which ``quantiles`` counts before it orders anything.
+QUANTILE_CELLS = 65_536
 
 
 def _c(col: str | Column) -> Column:
@@ -100,11 +104,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def heatmap_pivot(df: DataFrame, row_key: str, col_key: str, col_values: list) -> DataFrame:
-    """``row_key x col_key`` count matrix; missing cells are 0. The explicit
-    value list avoids the extra distinct job of an open pivot."""
-    return (df.groupBy(row_key).pivot(col_key, col_values).agg(F.count(F.lit(1)))
-            .na.fill(0))
+def heatmap_pivot(df: DataFrame, row_key: str, col_key: str) -> DataFrame:
+    """``row_key x col_key`` count matrix; missing cells are 0. The columns are
+    the values that occur (NULL included, as ``null``), found by one distinct
+    aggregate over the grouped counts; more of them than Spark's
+    ``spark.sql.pivotMaxValues`` are an error, never a cut."""
+    counts = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.groupBy(row_key).pivot(col_key).agg(F.sum("__n")).na.fill(0)
 
 
 def long_values(df: DataFrame, columns: list[str], feature: str = "feature",
@@ -115,3 +121,43 @@ def long_values(df: DataFrame, columns: list[str], feature: str = "feature",
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias(feature), F.col(c).cast("string").alias(value)) for c in columns]))
     return df.select(pairs.alias("__p")).select(f"__p.{feature}", f"__p.{value}")
+
+
+def quantiles(df: DataFrame, value: str, at: dict[str, float]) -> DataFrame:
+    """One row of exact interpolated quantiles (as ``percentile``) of the
+    non-NULL values, without gathering the values: counts per distinct value,
+    counts per range of values, and only the ranges that hold a wanted position
+    are ordered.
+
+    A quantile q lies at position q * (n - 1) of the ordered values; it is
+    interpolated between the values at the positions around it."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    ends = counts.agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__all"))
+    cell = F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor(
+        (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * QUANTILE_CELLS), F.lit(QUANTILE_CELLS - 1))).otherwise(0)
+    placed = attach_scalar(counts, ends).withColumn("__cell", cell.cast("int"))
+    # at most QUANTILE_CELLS rows in the ordered pass
+    before = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = placed.groupBy("__cell").agg(F.sum("__n").alias("__c")).withColumn(
+        "__start", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+    marks = []
+    for name, q in at.items():
+        p = F.lit(float(q)) * (F.col("__all") - 1)
+        marks += [F.floor(p).alias(f"__p_{name}_0"), F.ceil(p).alias(f"__p_{name}_1")]
+    wanted = ends.select("__all", *marks)
+    spots = [f"__p_{n}_{i}" for n in at for i in (0, 1)]
+    hit = [(F.col(s) >= F.col("__start")) & (F.col(s) < F.col("__start") + F.col("__c")) for s in spots]
+    chosen = attach_scalar(cells, wanted).where(reduce(lambda a, b: a | b, hit)).select("__cell", "__start", *spots)
+    inside = Window.partitionBy("__cell").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (placed.select("__v", "__n", "__cell").join(F.broadcast(chosen), "__cell")   # at most two cells per quantile
+            .withColumn("__first", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0))))
+    found = rows.agg(*[F.max(F.when((F.col(s) >= F.col("__first")) & (F.col(s) < F.col("__first") + F.col("__n")),
+                                    F.col("__v"))).alias(f"__v{s}") for s in spots])
+    both = attach_scalar(found, ends.select("__all"))
+    out = []
+    for name, q in at.items():
+        p = F.lit(float(q)) * (F.col("__all") - 1)
+        low, high = F.col(f"__v__p_{name}_0"), F.col(f"__v__p_{name}_1")
+        out.append((low + (high - low) * (p - F.floor(p))).alias(name))
+    return both.select(*out)

@@ -1,51 +1,47 @@
-"""Join helpers: size-checked broadcast, scalar attach, lookups, semi joins."""
+"""Join helpers: bounded broadcast, scalar attach, lookups, semi joins."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup that is shipped to every executor after a check.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is a bounded job (``limit(max_rows + 1).count()``). Above the
-    bound the frame is returned unhinted: the planner shuffles both sides
-    (sort-merge) and AQE may still switch to broadcast from runtime sizes."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# Largest frame that may be broadcast because its size is bounded by construction.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, bound: int) -> DataFrame:
     """Broadcast a frame whose size is bounded by construction (a top-k with
     ``k = bound``, a one-row aggregate, a fixed lookup). ``bound`` documents
     the proof; it is checked to be small."""
-    if bound > DEFAULT_BROADCAST_ROWS:
+    if bound > MAX_BROADCAST_ROWS:
         raise ValueError(f"bound {bound} too large to broadcast")
     return F.broadcast(df)
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row of ``df``.
-
-    Broadcast hash join on a constant key: the aggregate stays in the plan
-    (no collect to the driver, no literal round trip), one row is shipped."""
-    key = "__scalar_key"
-    left = df.withColumn(key, F.lit(1))
-    right = F.broadcast(one_row.limit(1).withColumn(key, F.lit(1)))
-    return left.join(right, key).drop(key)
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-                broadcast_rows: int | None = None) -> DataFrame:
-    """Equi-join a lookup table; NULL keys never match. With
-    ``broadcast_rows`` the lookup is broadcast behind a size check."""
-    if broadcast_rows is not None:
-        lookup = checked_broadcast(lookup, broadcast_rows)
-    return df.join(lookup, keys, how)
+    """Attach the columns of a one-row aggregate to every row of ``df`` as a
+    scalar subquery: it runs once, in the plan (no collect, no join), and a frame
+    of more than one row is an error at run time. No row gives NULLs."""
+    value = one_row.select(F.struct(*one_row.columns).alias("__scalar")).scalar()
+    out = df.withColumn("__scalar", value)
+    return out.select(*df.columns, *[F.col(f"__scalar.`{c}`").alias(c) for c in one_row.columns])
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], out: list[str]) -> DataFrame:
+    """Left join of a lookup with unique keys; NULL keys never match.
+
+    Rows with a NULL key would all meet in one task of a shuffled join, so they
+    carry a spreading number that no lookup row has. The planner broadcasts the
+    lookup when it is small."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    spread = F.when(whole, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(1024)))
+    right = lookup.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *out, F.lit(0).cast("long").alias("__r_spread"))
+    left = df.withColumn("__spread", spread.cast("long"))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys])
+    joined = left.join(right, cond & (F.col("__spread") == F.col("__r_spread")), "left")
+    return joined.select(*df.columns, *out)
 
 
 def semi_join_top(df: DataFrame, key: str, k: int, count_name: str = "count") -> DataFrame:

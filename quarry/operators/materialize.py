@@ -1,23 +1,42 @@
 """Cut lineage by writing a table to the cluster's shared checkpoint folder.
 
-Used where a frame feeds several branches of a plan (an imputer reads its
-input for statistics, for complete rows and for rows to fill): without a
-cut, every stage would recompute every earlier stage once per branch. The
-table is written as Parquet (column pruning and pushdown on re-read) under
-``spark.checkpoint.dir``, which survives executor loss; never a
-machine-local temporary folder."""
+Used where a frame feeds several branches of a plan that must agree row by row
+or would each recompute it. The table is written as Parquet (column pruning
+and pushdown on re-read) under ``spark.checkpoint.dir``, which survives
+executor loss; never a machine-local folder on a cluster. ``release`` removes
+the tables of a session once their readers are done."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import scratch_path
 
+_written: dict[str, list[str]] = {}
+
+
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, known to ``release``."""
+    path = scratch_path(spark, f"quarry/{label}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, f"quarry/{label}-{uuid.uuid4().hex}")
+    path = scratch_table(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table written by this session; returns their number. Call
+    it when the frames returned so far have been consumed."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

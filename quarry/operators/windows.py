@@ -7,9 +7,8 @@ Two regimes:
   per-group top-n becomes Catalyst's ``WindowGroupLimit`` (partial top-n
   before the shuffle);
 * global ranks ("top k by rank") never put all groups in one partition:
-  the top rows are found with a distributed ``orderBy().limit()``
-  (per-partition top-k, then merge), and the rank is computed inside that
-  prefix, where it equals the global rank;
+  the k best values are found with a distributed ``orderBy().limit()``
+  (per-partition top-k, then merge) and only those are ranked;
 * windows over the **fact** partitioned by a low-cardinality key (row number
   of an incident inside its District, running totals, lag) use
   ``sequence_within_groups``: a range-partitioned prefix sum that splits
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.operators.joins import bounded_broadcast
+from quarry.operators.materialize import materialize
 
 
 def _c(col: str | Column) -> Column:
@@ -50,29 +50,26 @@ def rank_prefix(df: DataFrame, value: str, k: int, kind: str, tiebreak: list[str
                 descending: bool = True, out: str = "rank", limit_rows: int | None = None) -> DataFrame:
     """Rows with global ``rank``/``dense_rank`` <= k over ``value``, with the rank.
 
-    Exact without a single-partition window over all groups:
-    * ``rank <= k`` keeps the rows whose value is at least the k-th value;
-    * ``dense_rank <= k`` keeps the rows whose value is among the k largest
-      distinct values.
-    Both sets are a prefix of the order, so the rank computed inside the
-    prefix equals the global rank. ``limit_rows`` additionally cuts the
-    ordered prefix (rank, tiebreak) to that many rows."""
+    Exact without a window over the rows: the k best entries of the order (rows
+    for ``rank``, distinct values for ``dense_rank``) are found by a distributed
+    top-k; a window numbers those k entries, which gives every value its rank, and
+    the at most k ranked values are joined to the rows. NULL values have no rank.
+    ``limit_rows`` additionally cuts the result, ordered by (rank, tiebreak)."""
     v = F.col(value)
     order_v = v.desc() if descending else v.asc()
+    known = df.where(v.isNotNull()).select(value)
     if kind == "rank":
-        kth = df.select(value).orderBy(order_v).limit(k)
-        agg = F.min(value) if descending else F.max(value)
+        first = known.orderBy(order_v).limit(k)
+        fn = F.rank
     elif kind == "dense_rank":
-        kth = df.select(value).distinct().orderBy(order_v).limit(k)
-        agg = F.min(value) if descending else F.max(value)
+        first = known.distinct().orderBy(order_v).limit(k)
+        fn = F.dense_rank
     else:
         raise ValueError(kind)
-    cut = bounded_broadcast(kth.agg(agg.alias("__cut")), 1)
-    cond = (v >= F.col("__cut")) if descending else (v <= F.col("__cut"))
-    prefix = df.join(cut, cond, "inner").drop("__cut")
-    fn = F.rank if kind == "rank" else F.dense_rank
-    # window over the (small) prefix only
-    ranked = prefix.withColumn(out, fn().over(Window.orderBy(order_v)).cast("int"))
+    # a window over at most k rows
+    ranks = first.withColumn(out, fn().over(Window.orderBy(order_v)).cast("int")).distinct()
+    ranked = df.join(bounded_broadcast(ranks, k), value)
+    ranked = ranked.select(*df.columns, out)
     if limit_rows is not None:
         ranked = ranked.orderBy(F.col(out), *[F.col(t) for t in tiebreak]).limit(limit_rows)
     return ranked
@@ -102,34 +99,34 @@ def share_of_partition(df: DataFrame, keys: list[str], value: str, out: str = "s
               .withColumn(out, F.col(value) / F.col(total)))
 
 
+SLICE_ROWS_LOG2 = 20   # rows of one slice at most: 2 ** SLICE_ROWS_LOG2
+
+
 def sequence_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                            out: str = "row_num", num_partitions: int | None = None,
-                           groups_bounded: bool = True, lag_cols: list[str] | None = None) -> DataFrame:
+                           lag_cols: list[str] | None = None,
+                           slice_rows_log2: int = SLICE_ROWS_LOG2) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)`` (and
     optionally ``lag(c)`` for ``lag_cols``) computed without putting a group in
-    one task.
+    one task. NULL groups are groups; ``df`` may have any further columns.
 
     ``order_cols`` must make the order total (end with a unique key).
 
-    1. ``repartitionByRange(group + order)`` cuts the global order into
-       contiguous slices of similar size (a hot group spans many slices);
-       sorting within each slice gives each row a position
-       ``monotonically_increasing_id`` (slice id in the high bits).
-    2. A small table per (slice, group): first position, row count, last row
-       values. A window over that table (one row per slice and group) gives
-       the rows of the same group in earlier slices.
+    1. The rows are range-partitioned by (group, order), sorted, numbered
+       (``monotonically_increasing_id``: task in the high bits, row in the low
+       ones) and written once, so everything below reads the same numbers.
+       Blocks of ``2 ** slice_rows_log2`` rows of a task are slices; their size
+       does not depend on the number of partitions.
+    2. A small table per (slice, group): first position, row count, last
+       values. A window over that table gives the rows of the same group in
+       earlier slices. It is joined back NULL-safe; the planner picks the join.
     3. row_number = position - first position in slice + earlier rows + 1.
-       ``lag`` inside a slice is the previous position; at a slice start it is
-       the last row of the group in the previous slice.
-
-    The range exchange is used twice in one plan and is reused
-    (``ReusedExchange``), so both uses see the same slices."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+       ``lag`` inside a slice is the previous row; at a slice start it is the
+       last row of the group in the previous slice."""
     keys = [*group_cols, *order_cols]
-    sliced = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("__slice", F.spark_partition_id())
-              .withColumn("__pos", F.monotonically_increasing_id()))
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    sliced = materialize(ranged.sortWithinPartitions(*keys).withColumn("__pos", F.monotonically_increasing_id()), "sliced")
+    sliced = sliced.withColumn("__slice", F.shiftright("__pos", slice_rows_log2))
     lag_cols = lag_cols or []
     stat_aggs = [F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n")]
     stat_aggs += [F.max_by(c, "__pos").alias(f"__last_{c}") for c in lag_cols]
@@ -138,20 +135,16 @@ def sequence_within_groups(df: DataFrame, group_cols: list[str], order_cols: lis
     stats = stats.withColumn("__before", F.sum("__n").over(w) - F.col("__n"))
     for c in lag_cols:
         stats = stats.withColumn(f"__prev_{c}", F.lag(f"__last_{c}").over(w))
-    stats = stats.drop("__n", *[f"__last_{c}" for c in lag_cols])
-    if groups_bounded:
-        # one row per (slice, group): <= slices + groups rows
-        stats = F.broadcast(stats)
-    res = sliced.join(stats, ["__slice", *group_cols])
+    stats = stats.select(F.col("__slice").alias("__s"), *[F.col(g).alias(f"__g_{g}") for g in group_cols],
+                         "__first", "__before", *[f"__prev_{c}" for c in lag_cols])
+    same = F.col("__slice") == F.col("__s")
+    for g in group_cols:
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    res = sliced.join(stats, same)
     res = res.withColumn(out, (F.col("__pos") - F.col("__first") + F.col("__before") + 1).cast("long"))
-    if lag_cols:
-        # previous row in the same slice: a window keyed by (slice, group)
-        # (split by slice, so a hot group is spread over many tasks)
-        wl = Window.partitionBy("__slice", *group_cols).orderBy("__pos")
-        for c in lag_cols:
-            res = res.withColumn(
-                f"lag_{c}",
-                F.when(F.col("__pos") == F.col("__first"), F.col(f"__prev_{c}"))
-                 .otherwise(F.lag(c).over(wl)))
-            res = res.drop(f"__prev_{c}")
-    return res.drop("__slice", "__pos", "__first", "__before")
+    # a window keyed by (slice, group), so that a hot group is spread over many tasks
+    wl = Window.partitionBy("__slice", *group_cols).orderBy("__pos")
+    for c in lag_cols:
+        res = res.withColumn(f"lag_{c}", F.when(F.col("__pos") == F.col("__first"), F.col(f"__prev_{c}"))
+                             .otherwise(F.lag(c).over(wl)))
+    return res.select(*df.columns, out, *[f"lag_{c}" for c in lag_cols])

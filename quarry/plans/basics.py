@@ -3,7 +3,6 @@ scalars, joins, aggregations, windows, sorts and sets)."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +18,8 @@ from quarry.functions.formatting import format_percent, ratio
 from quarry.operators.agg import (conditional_counts, distinct_counts, duplicate_rows,
                                   global_aggregate, group_count, group_mean, group_mode,
                                   heatmap_pivot, long_values, null_counts, null_percent)
-from quarry.operators.joins import attach_scalar, semi_join_top
+from quarry.operators.joins import attach_scalar, lookup_join, semi_join_top
+from quarry.operators.materialize import scratch_table
 from quarry.operators.quality import anomaly_filter, collapse_top_categories
 from quarry.operators.windows import (cumulative_sum, moving_average, rank_prefix,
                                       share_of_partition, top_per_group, topk)
@@ -28,7 +28,6 @@ from quarry.plans.bindings import (INCIDENTS_SQL, TIMED_SQL, district_counts, in
                                    with_sql)
 from quarry.plans.preprocess import INJECT
 from quarry.plans.preprocess import raw as raw_incidents
-from quarry.session import scratch_path
 from quarry.sources.io import rewrite_versioned, scan_csv, sink_csv, sink_parquet
 from quarry.sources.tables import read_table
 
@@ -39,7 +38,7 @@ _K = ", ".join(KEYS)
 
 
 def _scratch(spark, label: str) -> str:
-    return scratch_path(spark, f"quarry/{label}-{uuid.uuid4().hex}")
+    return scratch_table(spark, label)
 
 
 # --- sources and sinks ----------------------------------------------------
@@ -83,10 +82,6 @@ def q_in_place_update(spark, sf):
     return rewrite_versioned(spark, path, lambda d: d.withColumn("street_name", street_name("block")), 1)
 
 
-def q_collect_bounded(spark, sf):
-    return incidents(spark, sf, KEYS + ["district"]).orderBy(*KEYS).limit(200_000)
-
-
 # --- columns and predicates --------------------------------------------------
 
 def q_drop_columns(spark, sf):
@@ -205,7 +200,8 @@ def q_join_left_lookup(spark, sf):
     df = incidents(spark, sf, KEYS + ["district", "latitude"])
     means = df.groupBy("district").agg(   # one row per district; exact decimal mean
         F.avg(F.col("latitude").cast("decimal(38,8)")).cast("double").alias("latitude_mean"))
-    return df.join(means, "district", "left").withColumn("latitude_mean", F.round("latitude_mean", 6))
+    return lookup_join(df, means, ["district"], ["latitude_mean"]).withColumn(
+        "latitude_mean", F.round("latitude_mean", 6))
 
 
 def q_join_broadcast_semi(spark, sf):
@@ -292,23 +288,24 @@ def q_distinct_count(spark, sf):
 _NUM_COLS = ["beat", "district", "ward", "community_area", "latitude", "longitude"]
 
 
-def _unpivot_numeric(df: DataFrame) -> DataFrame:
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in _NUM_COLS])).alias("p")
-    ).select("p.feature", "p.x")
+def _per_column(df: DataFrame, stats: dict) -> DataFrame:
+    """Statistics of every numeric column in one wide aggregate, one row per
+    column afterwards."""
+    wide = df.agg(*[fn(F.col(c).cast("double")).alias(f"{c}__{s}") for c in _NUM_COLS for s, fn in stats.items()])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}__{s}").alias(s) for s in stats])
+                               for c in _NUM_COLS]))
+    return wide.select(rows.alias("r")).select("r.*")
 
 
 def q_describe_numeric(spark, sf):
-    long = _unpivot_numeric(incidents(spark, sf, _NUM_COLS))
-    return long.groupBy("feature").agg(
-        F.count("x").alias("count"), F.round(F.avg("x"), 4).alias("mean"),
-        F.round(F.stddev_samp("x"), 4).alias("stddev"), F.min("x").alias("min"), F.max("x").alias("max"))
+    return _per_column(incidents(spark, sf, _NUM_COLS), {
+        "count": F.count, "mean": lambda x: F.round(F.avg(x), 4), "stddev": lambda x: F.round(F.stddev_samp(x), 4),
+        "min": F.min, "max": F.max})
 
 
 def q_variance_stddev(spark, sf):
-    long = _unpivot_numeric(incidents(spark, sf, _NUM_COLS))
-    return long.groupBy("feature").agg(F.round(F.var_samp("x"), 4).alias("variance"),
-                                      F.round(F.stddev_samp("x"), 4).alias("stddev"))
+    return _per_column(incidents(spark, sf, _NUM_COLS), {
+        "variance": lambda x: F.round(F.var_samp(x), 4), "stddev": lambda x: F.round(F.stddev_samp(x), 4)})
 
 
 def q_duplicate_rows(spark, sf):
@@ -326,11 +323,8 @@ def q_top_value_ratio(spark, sf):
                       F.round(F.col("count") / F.col("total"), 4).alias("ratio"))
 
 
-WARDS = list(range(25))
-
-
 def q_heatmap_pivot(spark, sf):
-    return heatmap_pivot(incidents(spark, sf, ["district", "ward"]), "district", "ward", WARDS)
+    return heatmap_pivot(incidents(spark, sf, ["district", "ward"]), "district", "ward")
 
 
 # --- windows -------------------------------------------------------------------
@@ -413,8 +407,7 @@ ORACLE = {
     "sink_parquet": INC + f"SELECT {_K}, incident_date, district FROM incidents",
     "sink_csv": INC + "SELECT district, count(*) AS count FROM incidents WHERE domestic GROUP BY 1",
     "in_place_update": INC + f"SELECT {_K}, block, {sql_street_name('block')} AS street_name FROM incidents",
-    "collect_bounded": INC + f"SELECT {_K}, district FROM incidents ORDER BY {_K} LIMIT 200000",
-    "drop_columns": INC + f"SELECT {_K}, district, ward FROM incidents",
+"drop_columns": INC + f"SELECT {_K}, district, ward FROM incidents",
     "derive_calendar": TIMED + """SELECT incident_id, incident_ts, incident_ts AS ts,
         CAST(hour(incident_ts) AS INTEGER) AS hour, CAST(year(incident_ts) AS INTEGER) AS year,
         CAST(month(incident_ts) AS INTEGER) AS month, strftime(incident_ts, '%a') AS day_of_week FROM timed""",
@@ -509,8 +502,7 @@ ORACLE = {
           row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, value) AS rn,
           sum(count(*)) OVER (PARTITION BY feature) AS total
         FROM ({_LONG}) GROUP BY 1, 2) WHERE rn = 1""",
-    "heatmap_pivot": INC + "SELECT district, " + ", ".join(
-        f'count(*) FILTER (WHERE ward = {w}) AS "{w}"' for w in WARDS) + " FROM incidents GROUP BY district",
+    "heatmap_pivot": INC + "PIVOT (SELECT district, ward FROM incidents) ON ward USING count(*) GROUP BY district",
     "win_row_number_top1": INC + """SELECT district, block, count FROM (
         SELECT district, block, count(*) AS count, row_number() OVER (PARTITION BY district ORDER BY count(*) DESC, block) AS rn
         FROM incidents GROUP BY 1, 2) WHERE rn = 1""",

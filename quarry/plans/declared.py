@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from quarry.functions.calendar import seconds_between, year_range_filter
 from quarry.functions.formatting import ratio
 from quarry.operators.agg import group_count
-from quarry.operators.joins import checked_broadcast
 from quarry.operators.windows import sequence_within_groups, top_per_group, topk
 from quarry.plans import params as P
 from quarry.plans.bindings import (DISTRICTS_SQL, INCIDENTS_SQL, SEVERITY_SQL, TIMED_SQL,
@@ -28,7 +27,6 @@ KEYS = ["order_key", "line_number", "part_key", "beat"]
 ORDER_KEYS = ["order_key", "line_number", "part_key", "beat", "latitude", "longitude"]
 _K = ", ".join(KEYS)
 _OK = ", ".join(ORDER_KEYS)
-LOOKUP_ROWS = 100_000   # lookups are broadcast only below this, after a check
 
 
 def _rows(spark, sf, cols: list[str], cond: Column) -> DataFrame:
@@ -55,10 +53,10 @@ def bq4_filter_year(spark, sf):
 
 
 def bq5_filter_street_night(spark, sf):
-    h = F.hour("incident_date")
+    # needs a time of day, which the dates of the star lack: bound to ``events``
+    h = F.hour("incident_ts")
     start, end = P.LATE_NIGHT_HOURS
-    return _rows(spark, sf, ["location_description", "incident_date"],
-                 (F.col("location_description") == P.STREET_LOCATION) & ((h >= start) | (h < end)))
+    return timed_incidents(spark, sf).filter((F.col("primary_type") == P.STREET_EVENT) & ((h >= start) | (h < end)))
 
 
 def bq6_filter_type(spark, sf):
@@ -116,19 +114,18 @@ def bq16_pair_counts(spark, sf):
 # --- lookups ---------------------------------------------------------------
 
 def bq17_severity_join(spark, sf):
-    sev = checked_broadcast(severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT), LOOKUP_ROWS)
+    sev = severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT)
     return incidents(spark, sf, KEYS + ["primary_type"]).join(sev, "primary_type", "left")
 
 
 def bq18_named_districts(spark, sf):
-    names = checked_broadcast(district_lookup(spark, sf).drop("is_central"), LOOKUP_ROWS)
+    names = district_lookup(spark, sf).drop("is_central")
     return incidents(spark, sf, KEYS + ["district"]).join(names, "district", "inner")
 
 
 def bq19_two_lookup_join(spark, sf):
-    sev = checked_broadcast(severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT)
-                            .filter(F.col("severity") == "critical"), LOOKUP_ROWS)
-    names = checked_broadcast(district_lookup(spark, sf).filter(F.col("is_central")), LOOKUP_ROWS)
+    sev = severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT).filter(F.col("severity") == "critical")
+    names = district_lookup(spark, sf).filter(F.col("is_central"))
     df = incidents(spark, sf, KEYS + ["primary_type", "district"])
     return (df.join(sev, "primary_type").join(names, "district")
             .select(*KEYS, "primary_type", "severity", "district", "district_name"))
@@ -142,15 +139,25 @@ def bq20_anti_join(spark, sf):
 
 # --- row windows over the fact -------------------------------------------
 
+# The source data has rows without District or Ward; the tables have none, so
+# some are injected here by a key rule, the same in the oracle.
+NO_GROUP = "order_key % 13 = 0"
+
+
+def _grouped(spark, sf, group: str) -> DataFrame:
+    df = incidents(spark, sf, [*ORDER_KEYS, group, "incident_date", "description"])
+    return df.withColumn(group, F.when(~F.expr(NO_GROUP), F.col(group)))
+
+
 def bq21_row_number_by_date(spark, sf):
-    df = incidents(spark, sf, ORDER_KEYS + ["district", "incident_date"])
+    df = _grouped(spark, sf, "district")
     out = sequence_within_groups(df, ["district"], ["incident_date", *ORDER_KEYS], out="row_num")
     return out.select("district", "incident_date", *KEYS, "row_num")
 
 
 def bq22_running_total(spark, sf):
     # running count over a ROWS frame == position in the ordered group
-    df = incidents(spark, sf, ORDER_KEYS + ["ward", "incident_date"])
+    df = _grouped(spark, sf, "ward")
     out = sequence_within_groups(df, ["ward"], ["incident_date", *ORDER_KEYS], out="running_total")
     return out.select("ward", "incident_date", *KEYS, "running_total")
 
@@ -163,7 +170,7 @@ def interval_seconds(df: DataFrame, group: str, date: str, order_keys: list[str]
 
 
 def bq23_lag_diff(spark, sf):
-    df = incidents(spark, sf, ORDER_KEYS + ["district", "incident_date"])
+    df = _grouped(spark, sf, "district")
     return interval_seconds(df, "district", "incident_date", ORDER_KEYS).select(
         "district", "incident_date", *KEYS, "diff_seconds")
 
@@ -180,7 +187,10 @@ QUERIES = {name: fn for name, fn in list(globals().items())
 
 # --- oracle ---------------------------------------------------------------
 
-_LATE = f"(hour(incident_date) >= {P.LATE_NIGHT_HOURS[0]} OR hour(incident_date) < {P.LATE_NIGHT_HOURS[1]})"
+GAPS_SQL = f"""gaps AS (SELECT * REPLACE (CASE WHEN NOT ({NO_GROUP}) THEN district END AS district,
+    CASE WHEN NOT ({NO_GROUP}) THEN ward END AS ward) FROM incidents)"""
+INC_GAPS = with_sql(INCIDENTS_SQL, GAPS_SQL)
+_LATE = f"(hour(incident_ts) >= {P.LATE_NIGHT_HOURS[0]} OR hour(incident_ts) < {P.LATE_NIGHT_HOURS[1]})"
 
 ORACLE = {
     "bq1_filter_two_eq": INC + f"SELECT {_K}, primary_type, description FROM incidents "
@@ -189,8 +199,8 @@ ORACLE = {
     "bq3_filter_location": INC + f"SELECT {_K}, location_description FROM incidents "
                                  f"WHERE location_description = '{P.BQ_LOCATION}'",
     "bq4_filter_year": INC + f"SELECT {_K}, incident_date FROM incidents WHERE year(incident_date) = {P.BQ_YEAR}",
-    "bq5_filter_street_night": INC + f"SELECT {_K}, location_description, incident_date FROM incidents "
-                                     f"WHERE location_description = '{P.STREET_LOCATION}' AND {_LATE}",
+    "bq5_filter_street_night": with_sql(TIMED_SQL) + "SELECT incident_id, incident_ts, primary_type FROM timed "
+                                                     f"WHERE primary_type = '{P.STREET_EVENT}' AND {_LATE}",
     "bq6_filter_type": INC + f"SELECT {_K}, primary_type FROM incidents WHERE primary_type = '{P.BQ_NARCOTICS_TYPE}'",
     "bq7_valid_coordinates": INC + f"SELECT {_K}, latitude, longitude FROM incidents "
                                    "WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
@@ -220,14 +230,14 @@ ORACLE = {
         "JOIN districts d ON i.district = d.district WHERE s.severity = 'critical' AND d.is_central",
     "bq20_anti_join": with_sql(INCIDENTS_SQL, SEVERITY_SQL) +
         "SELECT DISTINCT primary_type FROM incidents WHERE primary_type NOT IN (SELECT primary_type FROM severity)",
-    "bq21_row_number_by_date": INC + f"SELECT district, incident_date, {_K}, "
-        f"row_number() OVER (PARTITION BY district ORDER BY incident_date, {_OK}) AS row_num FROM incidents",
-    "bq22_running_total": INC + f"SELECT ward, incident_date, {_K}, "
+    "bq21_row_number_by_date": INC_GAPS + f"SELECT district, incident_date, {_K}, "
+        f"row_number() OVER (PARTITION BY district ORDER BY incident_date, {_OK}) AS row_num FROM gaps",
+    "bq22_running_total": INC_GAPS + f"SELECT ward, incident_date, {_K}, "
         f"count(*) OVER (PARTITION BY ward ORDER BY incident_date, {_OK} "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total FROM incidents",
-    "bq23_lag_diff": INC + f"SELECT district, incident_date, {_K}, "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total FROM gaps",
+    "bq23_lag_diff": INC_GAPS + f"SELECT district, incident_date, {_K}, "
         "(epoch_us(incident_date) - epoch_us(lag(incident_date) OVER "
-        f"(PARTITION BY district ORDER BY incident_date, {_OK}))) / 1000000.0 AS diff_seconds FROM incidents",
+        f"(PARTITION BY district ORDER BY incident_date, {_OK}))) / 1000000.0 AS diff_seconds FROM gaps",
     "bq24_top_type_per_district": INC + "SELECT district, primary_type, count FROM ("
         "SELECT district, primary_type, count(*) AS count, row_number() OVER "
         "(PARTITION BY district ORDER BY count(*) DESC, primary_type) AS rn "

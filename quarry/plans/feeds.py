@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.formatting import ratio
-from quarry.operators.agg import group_count
+from quarry.operators.agg import group_count, quantiles
 from quarry.operators.joins import attach_scalar
 from quarry.operators.windows import topk
 from quarry.plans.bindings import (INCIDENTS_SQL, TIMED_SQL, district_counts, incidents, timed_incidents,
                                    with_sql)
-from quarry.plans.declared import ORDER_KEYS, interval_seconds
+from quarry.plans.declared import INC_GAPS, ORDER_KEYS, _grouped, interval_seconds
 
 INC = with_sql(INCIDENTS_SQL)
 BINS = 40
@@ -57,7 +57,7 @@ def feed_rate_vs_volume(spark, sf):
 
 
 def _intervals(spark, sf):
-    df = incidents(spark, sf, ORDER_KEYS + ["district", "incident_date"])
+    df = _grouped(spark, sf, "district")
     return interval_seconds(df, "district", "incident_date", ORDER_KEYS).filter(F.col("diff_seconds").isNotNull())
 
 
@@ -80,11 +80,9 @@ def feed_interval_hist(spark, sf):
 
 def feed_interval_box(spark, sf):
     x = _intervals(spark, sf)
-    return x.agg(F.min("diff_seconds").alias("min"),
-                 F.percentile("diff_seconds", 0.25).alias("q1"),
-                 F.percentile("diff_seconds", 0.5).alias("median"),
-                 F.percentile("diff_seconds", 0.75).alias("q3"),
-                 F.max("diff_seconds").alias("max"))
+    ends = x.agg(F.min("diff_seconds").alias("min"), F.max("diff_seconds").alias("max"))
+    marks = quantiles(x, "diff_seconds", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return attach_scalar(ends, marks).select("min", "q1", "median", "q3", "max")
 
 
 def feed_cumulative_top_groups(spark, sf):
@@ -107,8 +105,8 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("
 
 
 _OK = ", ".join(ORDER_KEYS)
-_IV = INC + f""", iv AS (SELECT (epoch_us(incident_date) - epoch_us(lag(incident_date) OVER
-    (PARTITION BY district ORDER BY incident_date, {_OK}))) / 1000000.0 AS diff_seconds FROM incidents)
+_IV = INC_GAPS + f""", iv AS (SELECT (epoch_us(incident_date) - epoch_us(lag(incident_date) OVER
+    (PARTITION BY district ORDER BY incident_date, {_OK}))) / 1000000.0 AS diff_seconds FROM gaps)
 """
 _IV = _IV.replace("\n, iv", ",\niv")
 

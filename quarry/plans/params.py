@@ -9,6 +9,7 @@ TYPE_A = "STANDARD"          # first type of the ratio question
 TYPE_B = "ECONOMY"           # second type of the ratio question
 THEFT_TYPE = "PROMO"         # "top districts for one type"
 DAMAGE_TYPE = "LARGE"        # "top locations for one type"
+STREET_EVENT = "click"        # "at one location type, late at night": needs a time of day
 STREET_LOCATION = "Brand#4"  # "crimes at one location type"
 SHARE_YEAR = 1998            # arrest share within one year
 AREA = 40                    # one community area

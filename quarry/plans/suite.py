@@ -20,7 +20,7 @@ from quarry.functions.address import sql_street_name, street_name
 from quarry.functions.calendar import is_weekend, weekend_label, year_range_filter
 from quarry.functions.formatting import ratio
 from quarry.operators.agg import conditional_counts, global_aggregate, group_count
-from quarry.operators.joins import attach_scalar, semi_join_top
+from quarry.operators.joins import attach_scalar, bounded_broadcast, semi_join_top
 from quarry.operators.windows import (cumulative_sum, moving_average, rank_prefix,
                                       top_per_group, topk)
 from quarry.plans import params as P
@@ -70,12 +70,14 @@ def rate_rank(df: DataFrame, key: str, flag: str, k: int, total_name: str, hits_
     # distinct rates (of all keys) at or above their rate.
     passing = counts.filter(F.col(total_name) > min_total)
     out = topk(passing, [F.desc(rate_name), F.asc(key)], k)
-    cut = out.agg(F.min(rate_name).alias("__cut"))
-    rates = counts.select(rate_name).distinct()
-    higher = rates.join(F.broadcast(cut), F.col(rate_name) >= F.col("__cut")).drop("__cut")
-    ranked_rates = higher.withColumn(
-        "rank", F.dense_rank().over(Window.orderBy(F.desc(rate_name))).cast("int"))
-    return out.join(F.broadcast(ranked_rates), rate_name)
+    # for each of the k rates, count the distinct rates above it: k conditional
+    # counts in one aggregate, no ordering of all rates
+    marks = out.agg(F.sort_array(F.collect_set(rate_name)).alias("__marks"))   # at most k values
+    rates = attach_scalar(counts.select(rate_name).distinct(), marks)
+    above = (rates.select(F.explode(F.filter("__marks", lambda m: m < F.col(rate_name))).alias("__mark"))
+             .groupBy("__mark").agg(F.count(F.lit(1)).alias("__above")))
+    ranked = out.join(bounded_broadcast(above, k), F.col(rate_name) == F.col("__mark"), "left")
+    return ranked.select(*out.columns, (F.coalesce("__above", F.lit(0)) + 1).cast("int").alias("rank"))
 
 
 def monthly_moving_average(df: DataFrame, date: str, rows: int = 3) -> DataFrame:

@@ -1,8 +1,6 @@
 from quarry.sources.io import (  # noqa: F401
     INCIDENT_SCHEMA,
-    collect_bounded,
     rewrite_versioned,
-    round_trip_csv,
     scan_csv,
     scan_parquet,
     sink_csv,

@@ -1,9 +1,8 @@
-"""Scans and sinks (CSV / Parquet), versioned rewrite, bounded collect."""
+"""Scans and sinks (CSV / Parquet), versioned rewrite."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Fixed values of the incident CSV format (must match the source files).
@@ -91,25 +90,3 @@ def rewrite_versioned(spark: SparkSession, path: str, transform, version: int) -
     target = f"{path.rstrip('/')}.v{version}"
     transform(spark.read.parquet(path)).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
-
-
-def collect_bounded(df: DataFrame, n: int = 200_000, order_by: list[str | Column] | None = None) -> DataFrame:
-    """Deterministic bounded head for presentation: explicit order, then limit.
-
-    The caller collects; the limit is the feature (a presentation cap)."""
-    ordered = df.orderBy(*order_by) if order_by else df.orderBy(*df.columns)
-    return ordered.limit(n)
-
-
-def round_trip_csv(df: DataFrame, path: str, schema: T.StructType,
-                   timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """Write as CSV and read back with the explicit schema (format check)."""
-    (df.write.mode("overwrite").option("header", True).option("sep", CSV_SEPARATOR)
-       .option("timestampFormat", timestamp_format)
-       .option("timestampNTZFormat", timestamp_format).csv(path))
-    return scan_csv(df.sparkSession, path, schema=schema, timestamp_format=timestamp_format)
-
-
-def to_ntz(c: str | Column) -> Column:
-    """Normalise a timestamp column to TIMESTAMP_NTZ (wall clock)."""
-    return F.to_timestamp_ntz(F.col(c) if isinstance(c, str) else c)
