@@ -5,8 +5,9 @@
    shared again by weight (water filling on one row per source).
 2. A keyed hash permutes each source's documents. Their running word count
    lays the source out as a line that repeats once per epoch; a source takes
-   the documents that lie wholly before its target, and then those whose size
-   comes closest to the words still missing. Running counts are taken inside
+   the documents that lie wholly before its target; then, one at a time, the
+   document whose size comes closest to the words still missing is added, or to
+   those too many left out. Running counts are taken inside
    hash slices of bounded size plus the slices' prefix sums, so a hot source is
    spread over many tasks.
 3. The line is cut into blocks of words. From the exact block quotas of the
@@ -35,7 +36,7 @@ from quarry.llm.common import Scratch, table, word_count
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_EPOCHS = 2
-FILL_ROUNDS = 3
+FILL_ROUNDS = 6
 SEED = 17
 
 
@@ -130,29 +131,34 @@ def plan_mix(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share
     taken = {r["index"]: r["words"] for r in
              placed.where(inside).groupBy("index").agg(F.sum("size").alias("words")).collect()}
     gap = {p["index"]: p["rest"] - taken.get(p["index"], 0) for p in plan}
-    fillers: list[tuple[int, int]] = []
-    open_rows = placed.where(~inside & (F.col("size") > 0))
+    # documents added or left out again to close the gaps: at most one per source and round
+    turned: list[tuple[int, int]] = []
+    chosen = placed.where("size > 0").withColumn("inside", inside)
     for _ in range(fill_rounds):
-        need = spark.createDataFrame([(i, float(g)) for i, g in gap.items() if g > 0] or [(-1, 0.0)], "index int, gap double")
-        off = F.abs(F.col("size") - F.col("gap"))
-        near = (open_rows.join(F.broadcast(need), "index").where(off < F.col("gap"))
+        need = spark.createDataFrame([(i, float(g)) for i, g in gap.items() if g] or [(-1, 0.0)], "index int, gap double")
+        off = F.abs(F.col("size") - F.abs("gap"))
+        near = (chosen.join(F.broadcast(need), "index").where((F.col("inside") == (F.col("gap") < 0)) & (off < F.abs("gap")))
                 .groupBy("index").agg(F.min(F.struct(off.alias("off"), "h", "doc_id", "row", "size")).alias("m")).collect())
         if not near:
             break
         for r in near:
-            fillers.append((r["index"], r["m"]["row"]))
-            gap[r["index"]] -= r["m"]["size"]
-        # at most one row per source and round
-        used = spark.createDataFrame(fillers, "index int, row long")
-        open_rows = placed.where(~inside & (F.col("size") > 0)).join(F.broadcast(used), ["index", "row"], "left_anti")
-    used = spark.createDataFrame(fillers or [(-1, -1)], "index int, row long").withColumn("filler", F.lit(1))
-    out = (placed.join(F.broadcast(used), ["index", "row"], "left")
-           .withColumn("copies", F.when(F.col("size") > 0, F.col("full") + F.when(inside, 1).otherwise(
-               F.coalesce("filler", F.lit(0)))).otherwise(0))
-           .drop("filler", "full", "rest"))
+            turned.append((r["index"], r["m"]["row"]))
+            gap[r["index"]] -= r["m"]["size"] * (1 if gap[r["index"]] > 0 else -1)
+        chosen = _turned(placed.where("size > 0").withColumn("inside", inside), turned)
+    out = _turned(placed.withColumn("inside", inside), turned).withColumn(
+        "copies", F.when(F.col("size") > 0, F.col("full") + F.col("inside").cast("int")).otherwise(0))
+    out = out.drop("inside", "full", "rest")
     return out, plan
 
 
+def _turned(rows: DataFrame, turned: list[tuple[int, int]]) -> DataFrame:
+    """Switch ``inside`` once for each time that a row is listed."""
+    times = [(*k, sum(t == k for t in turned)) for k in set(turned)] or [(-1, -1, 0)]
+    known = rows.sparkSession.createDataFrame(times, "index int, row long, times int")
+    met = rows.join(F.broadcast(known), ["index", "row"], "left")
+    return met.withColumn("inside", F.col("inside") != (F.coalesce("times", F.lit(0)) % 2 == 1)).drop("times")
+
+
 def draw(rows: DataFrame, plan: list[dict], shards: int | None = None, block_words: int = 100_000,
          shard_words: int = 100_000_000, max_blocks: int = 65_536, seed: int = SEED) -> DataFrame:
     """One row per copy: the plan's rows with ``copy``, ``shard`` and ``shard_order``."""
@@ -203,11 +209,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
 QUERIES = {"op3_mixing": op3_mixing}
 
 _FILL = """
-fill{k} AS (
-  SELECT i, arg_min(doc_id, (abs(size - gap), h, doc_id)) AS doc_id, arg_min(size, (abs(size - gap), h, doc_id)) AS size
-  FROM open{j} JOIN gap{j} USING (i) WHERE gap > 0 AND abs(size - gap) < gap GROUP BY i),
-gap{k} AS (SELECT i, gap - coalesce(size, 0) AS gap FROM gap{j} LEFT JOIN fill{k} USING (i)),
-open{k} AS (SELECT * FROM open{j} WHERE doc_id NOT IN (SELECT doc_id FROM fill{k})),"""
+turn{k} AS (
+  SELECT i, arg_min(doc_id, (abs(size - abs(gap)), h, doc_id)) AS doc_id, arg_min(size, (abs(size - abs(gap)), h, doc_id)) AS size
+  FROM state{j} JOIN gap{j} USING (i) WHERE inside = (gap < 0) AND abs(size - abs(gap)) < abs(gap) GROUP BY i),
+gap{k} AS (SELECT i, gap - coalesce(size, 0) * sign(gap) AS gap FROM gap{j} LEFT JOIN turn{k} USING (i)),
+state{k} AS (SELECT * REPLACE (inside <> (doc_id IN (SELECT doc_id FROM turn{k})) AS inside) FROM state{j}),"""
 
 ORACLE = {"op3_mixing": r"""
 WITH d AS (
@@ -229,11 +235,10 @@ p AS (
   SELECT d.*, g.i, g.t, g.target, g.whole, g.target - g.whole * g.t AS rest,
          coalesce(sum(size) OVER (PARTITION BY g.i ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
-open0 AS (SELECT * FROM p WHERE size > 0 AND start + size > rest),
+state0 AS (SELECT *, start + size <= rest AS inside FROM p WHERE size > 0),
 gap0 AS (SELECT i, any_value(rest) - coalesce(sum(size) FILTER (size > 0 AND start + size <= rest), 0) AS gap FROM p GROUP BY i),
 """ + "".join(_FILL.format(k=k, j=k - 1) for k in range(1, FILL_ROUNDS + 1)).lstrip() + r"""
-f AS (""" + " UNION ALL ".join(f"SELECT doc_id FROM fill{k}" for k in range(1, FILL_ROUNDS + 1)) + r""")
+f AS (SELECT * FROM state""" + str(FILL_ROUNDS) + r""")
 SELECT doc_id, size, t AS source_size, target, (size * copies)::BIGINT AS taken, copies::BIGINT AS copies
-FROM (SELECT *, CASE WHEN size = 0 THEN 0 ELSE whole + CASE WHEN start + size <= rest OR doc_id IN (SELECT doc_id FROM f)
-                                                            THEN 1 ELSE 0 END END AS copies FROM p)
+FROM (SELECT p.*, coalesce(p.whole + f.inside::INTEGER, 0) AS copies FROM p LEFT JOIN f USING (doc_id))
 """}
