@@ -198,9 +198,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def annotate(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None,
              lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` (the ``keep`` columns) with the predicted language and score."""
+    """``docs`` (the ``keep`` columns) with the predicted language and score;
+    columns that already have those names are replaced."""
     ship_package(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (lang, score)]
     given = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"),
                         F.coalesce(F.rlike(text_col, F.lit(r"\p{L}")), F.lit(False)).alias("__letter"))
     schema = T.StructType([docs.schema[c] for c in keep] + [
