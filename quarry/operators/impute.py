@@ -1,12 +1,15 @@
 """Imputers: hierarchical mode, dominant mode, parent lookup, hierarchical
 mean, sentinels.
 
+Each imputer is a lookup (``*_lookup(s)``, built from counts or sums) and a fill
+that streams rows past the lookups, so that a chain of imputers can build all
+its lookups from one table and fill in one pass.
+
 Scale design (same results as joining every lookup to every row):
 * statistics are computed from ONE aggregate at the finest level; coarser
-  levels are sums of the finer counts / sums (no re-scan per level);
-* only the rows that need a value go through the lookup joins; complete
-  rows pass straight to the union, so the fact is not shuffled once per
-  lookup level;
+  levels are sums of the finer counts (no re-scan per level);
+* only rows that need a value meet the lookups (``lookup_join``): complete rows
+  and rows with a NULL key are spread over all tasks;
 * lookups are not broadcast-hinted (a mode per street grows with the data);
   AQE turns a join into a broadcast when the runtime side is small.
 """
@@ -17,44 +20,48 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quarry.operators.agg import group_mode
-from quarry.operators.joins import attach_scalar
+from quarry.operators.joins import attach_scalar, lookup_join
 
 
-def _missing(c: str, zero_is_missing: bool = False) -> Column:
+def missing(c: str, zero_is_missing: bool = False) -> Column:
     m = F.col(c).isNull()
     return (m | (F.col(c) == 0)) if zero_is_missing else m
 
 
-def impute_mode(df: DataFrame, target: str, levels: list[list[str]]) -> DataFrame:
-    """Fill NULL ``target`` with the mode of ``target`` at the first level
-    (list of key columns, finest first) whose group has a non-NULL value.
-    Levels must be nested (each one a subset of the previous). NULL keys
-    never match. Mode ties go to the smallest value."""
+def mode_lookups(df: DataFrame, target: str, levels: list[list[str]]) -> list[DataFrame]:
+    """The mode of ``target`` per group of each level, as ``__fill0``, ... One
+    aggregate at the finest level feeds all of them."""
     finest = levels[0]
     for lv in levels[1:]:
         if not set(lv) <= set(finest):
             raise ValueError("levels must be nested: finest first")
     counts = (df.filter(F.col(target).isNotNull())
               .groupBy(*finest, target).agg(F.count(F.lit(1)).alias("_n")))
-    todo = df.filter(F.col(target).isNull())
-    done = df.filter(F.col(target).isNotNull())
-    fills = []
-    for i, keys in enumerate(levels):
-        mode = group_mode(None, keys, target, out=f"__fill{i}", counts=counts)
-        todo = todo.join(mode, keys, "left")
-        fills.append(F.col(f"__fill{i}"))
-    todo = (todo.withColumn(target, F.coalesce(*fills).cast(df.schema[target].dataType))
-            .drop(*[f"__fill{i}" for i in range(len(levels))]))
-    return done.unionByName(todo.select(*df.columns))
+    return [group_mode(None, keys, target, out=f"__fill{i}", counts=counts) for i, keys in enumerate(levels)]
+
+
+def fill_mode(df: DataFrame, target: str, levels: list[list[str]], lookups: list[DataFrame]) -> DataFrame:
+    out = df
+    for i, (keys, lookup) in enumerate(zip(levels, lookups)):
+        out = lookup_join(out, lookup, keys, [f"__fill{i}"], needed=F.col(target).isNull())
+    fill = F.coalesce(target, *[f"__fill{i}" for i in range(len(levels))]).cast(df.schema[target].dataType)
+    return out.withColumn(target, fill).select(*df.columns)
+
+
+def impute_mode(df: DataFrame, target: str, levels: list[list[str]]) -> DataFrame:
+    """Fill NULL ``target`` with the mode of ``target`` at the first level
+    (list of key columns, finest first) whose group has a non-NULL value.
+    Levels must be nested (each one a subset of the previous). NULL keys
+    never match. Mode ties go to the smallest value."""
+    return fill_mode(df, target, levels, mode_lookups(df, target, levels))
 
 
 def impute_mode_audit(df: DataFrame, target: str, levels: list[list[str]],
                       row_keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``impute_mode`` plus an audit: one row per originally missing row with
-    status 'imputed' / 'missing', and the counts (status, rows)."""
+    """``impute_mode`` plus an audit: a row per input row with its value and
+    status 'original', 'imputed' or 'missing'."""
     # the flag travels with each row through the imputation: no join back on
     # row keys (which need not be unique), no extra shuffle
     filled = impute_mode(df.withColumn("__was_null", F.col(target).isNull()), target, levels)
@@ -64,59 +71,79 @@ def impute_mode_audit(df: DataFrame, target: str, levels: list[list[str]],
     return filled.drop("__was_null"), audit
 
 
+def dominant_lookup(df: DataFrame, target: str, keys: list[str], min_share: float = 0.8) -> DataFrame:
+    return group_mode(df, keys, target, out="__dom", min_share=min_share)
+
+
+def fill_dominant(df: DataFrame, target: str, keys: list[str], lookup: DataFrame, default: str | None) -> DataFrame:
+    out = lookup_join(df, lookup, keys, ["__dom"], needed=F.col(target).isNull())
+    values = [F.col(target), F.col("__dom"), *([F.lit(default)] if default is not None else [])]
+    return out.withColumn(target, F.coalesce(*values)).select(*df.columns)
+
+
 def impute_dominant_mode(df: DataFrame, target: str, keys: list[str], min_share: float = 0.8,
                          default: str | None = "Unknown") -> DataFrame:
     """NULL ``target`` -> mode by ``keys`` if its share of the group is at
     least ``min_share``, else ``default``."""
-    mode = group_mode(df, keys, target, out="__dom", min_share=min_share)
-    todo = df.filter(F.col(target).isNull()).join(mode, keys, "left")
-    fill = F.coalesce(F.col("__dom"), F.lit(default)) if default is not None else F.col("__dom")
-    todo = todo.withColumn(target, fill).drop("__dom")
-    return df.filter(F.col(target).isNotNull()).unionByName(todo.select(*df.columns))
+    return fill_dominant(df, target, keys, dominant_lookup(df, target, keys, min_share), default)
+
+
+def parent_lookup(df: DataFrame, target: str, parent: str, zero_is_missing: bool = True) -> DataFrame:
+    return group_mode(df.filter(~missing(target, zero_is_missing)), [parent], target, out="__par")
+
+
+def fill_parent(df: DataFrame, target: str, parent: str, lookup: DataFrame, zero_is_missing: bool = True) -> DataFrame:
+    needs = F.coalesce(missing(target, zero_is_missing), F.lit(True))
+    out = lookup_join(df, lookup, [parent], ["__par"], needed=needs)
+    fill = F.when(needs, F.col("__par")).otherwise(F.col(target)).cast(df.schema[target].dataType)
+    return out.withColumn(target, fill).select(*df.columns)
 
 
 def impute_from_parent(df: DataFrame, target: str, parent: str, zero_is_missing: bool = True) -> DataFrame:
     """Missing ``target`` (NULL, or 0 when ``zero_is_missing``) -> the value
     of ``target`` for the same ``parent`` (deterministic: most frequent,
     ties -> smallest; the source rule takes an arbitrary one)."""
-    ok = ~_missing(target, zero_is_missing)
-    mapping = group_mode(df.filter(ok), [parent], target, out="__par")
-    todo = df.filter(~ok | F.col(target).isNull()).join(mapping, parent, "left")
-    todo = todo.withColumn(target, F.col("__par").cast(df.schema[target].dataType)).drop("__par")
-    return df.filter(ok & F.col(target).isNotNull()).unionByName(todo.select(*df.columns))
-
+    return fill_parent(df, target, parent, parent_lookup(df, target, parent, zero_is_missing), zero_is_missing)
 
-def impute_mean_hierarchy(df: DataFrame, values: list[str], levels: list[str],
-                          decimal_scale: int | None = None) -> DataFrame:
-    """NULL ``values`` -> mean over rows with ALL values present, by the first
-    of ``levels`` (single key columns, tried in order; NULL and 0 keys
-    excluded) that has a mean, else the global mean.
 
-    Sums and counts come from one aggregate per level over the complete rows
-    and a one-row global aggregate attached by broadcast (no collect).
-    ``decimal_scale`` averages in DECIMAL(38, scale): exact sums, so the means
-    do not depend on the order in which partitions are added."""
-    complete = reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in values])
-    base = df.filter(complete)
-    any_missing = ~complete
-    todo = df.filter(any_missing)
+def mean_lookup(df: DataFrame, values: list[str], key: str | None, decimal_scale: int | None = None,
+                tag: str = "g") -> DataFrame:
+    """Means over rows with ALL values present, per ``key`` (NULL and 0
+    excluded) or, without a key, as one row. ``decimal_scale`` averages in
+    DECIMAL(38, scale): exact sums, whatever the order of the partitions."""
+    base = df.filter(reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in values]))
 
     def avg(v: str) -> Column:
         return F.avg(F.col(v).cast(f"decimal(38,{decimal_scale})")).cast("double") if decimal_scale \
             else F.avg(v)
-    for i, key in enumerate(levels):
-        means = (base.filter(F.col(key).isNotNull() & (F.col(key) != 0)).groupBy(key)
-                 .agg(*[avg(v).alias(f"__m{i}_{v}") for v in values]))
-        todo = todo.join(means, key, "left")
-    glob = base.agg(*[avg(v).alias(f"__g_{v}") for v in values])
-    todo = attach_scalar(todo, glob)
+
+    aggs = [avg(v).alias(f"__m{tag}_{v}") for v in values]
+    if key is None:
+        return base.agg(*aggs)
+    return base.filter(F.col(key).isNotNull() & (F.col(key) != 0)).groupBy(key).agg(*aggs)
+
+
+def fill_mean(df: DataFrame, values: list[str], levels: list[str], lookups: list[DataFrame], overall: DataFrame) -> DataFrame:
+    needs = reduce(lambda a, b: a | b, [F.col(v).isNull() for v in values])
+    out = df
+    for i, (key, lookup) in enumerate(zip(levels, lookups)):
+        out = lookup_join(out, lookup, [key], [f"__m{i}_{v}" for v in values], needed=needs)
+    out = attach_scalar(out, overall)
     for v in values:
-        fills = [F.col(f"__m{i}_{v}") for i in range(len(levels))] + [F.col(f"__g_{v}")]
-        todo = todo.withColumn(v, F.when(F.col(v).isNull(), F.coalesce(*fills)).otherwise(F.col(v)))
-    return df.filter(complete).unionByName(todo.select(*df.columns))
+        out = out.withColumn(v, F.coalesce(v, *[f"__m{i}_{v}" for i in range(len(levels))], f"__mg_{v}"))
+    return out.select(*df.columns)
+
+
+def impute_mean_hierarchy(df: DataFrame, values: list[str], levels: list[str],
+                          decimal_scale: int | None = None) -> DataFrame:
+    """NULL ``values`` -> mean over rows with ALL values present, by the first
+    of ``levels`` (single key columns, tried in order; NULL and 0 keys
+    excluded) that has a mean, else the global mean (a scalar subquery)."""
+    lookups = [mean_lookup(df, values, key, decimal_scale, str(i)) for i, key in enumerate(levels)]
+    return fill_mean(df, values, levels, lookups, mean_lookup(df, values, None, decimal_scale))
 
 
 def sentinel_fill(df: DataFrame, columns: list[str], sentinel: int = -1) -> DataFrame:
     """NULL or 0 -> ``sentinel``."""
-    return df.withColumns({c: F.when(_missing(c, True), F.lit(sentinel)).otherwise(F.col(c))
+    return df.withColumns({c: F.when(missing(c, True), F.lit(sentinel)).otherwise(F.col(c))
                            .cast(df.schema[c].dataType) for c in columns})

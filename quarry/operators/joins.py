@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest frame that may be broadcast because its size is bounded by construction.
@@ -29,13 +29,17 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return out.select(*df.columns, *[F.col(f"__scalar.`{c}`").alias(c) for c in one_row.columns])
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], out: list[str]) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], out: list[str],
+                needed: Column | None = None) -> DataFrame:
     """Left join of a lookup with unique keys; NULL keys never match.
 
     Rows with a NULL key would all meet in one task of a shuffled join, so they
-    carry a spreading number that no lookup row has. The planner broadcasts the
-    lookup when it is small."""
+    carry a spreading number that no lookup row has; so do rows that do not need
+    the lookup (``needed`` false), whose result is NULL. The planner broadcasts
+    the lookup when it is small."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if needed is not None:
+        whole = whole & needed
     spread = F.when(whole, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(1024)))
     right = lookup.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *out, F.lit(0).cast("long").alias("__r_spread"))
     left = df.withColumn("__spread", spread.cast("long"))

@@ -99,6 +99,18 @@ def validate_frame(df: DataFrame, date_col: str, required: list[str], critical:
     return violations(df, critical, ranges)
 
 
+def checked_rows(df: DataFrame, date_col: str, required: list[str], critical: list[str],
+                 ranges: dict[str, tuple]) -> DataFrame:
+    """``df`` unchanged, with validation inside its plan: schema faults raise
+    at once, a row with a NULL critical or an out-of-range value raises when it
+    is computed. No job and no copy of its own."""
+    validate_schema(df, date_col, required)
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in critical] +
+                 [~F.col(c).between(lo, hi) for c, (lo, hi) in ranges.items()])
+    wrong = F.raise_error(F.lit("row with NULL critical value or out-of-range value")).cast("boolean")
+    return df.filter(F.when(F.coalesce(bad, F.lit(True)), wrong).otherwise(F.lit(True)))
+
+
 def collapse_top_categories(df: DataFrame, col: str, top_n: int, out: str | None = None,
                             other: str = "OTHER", unknown: str = "Unknown") -> DataFrame:
     """NULL -> ``unknown``; values outside the ``top_n`` most frequent (ties

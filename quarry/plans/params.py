@@ -28,6 +28,8 @@ BQ_WARD = 12
 BQ_NARCOTICS_TYPE = "STANDARD"
 SEVERITY_LEAVE_OUT = "SMALL"
 
+MIN_YEAR = 1996              # dates before this year are suspicious
+
 # anomaly box of the binding (latitude = l_extendedprice, longitude = l_quantity)
 ANOMALY_RULES = {
     "latitude": (1000.0, 104000.0),

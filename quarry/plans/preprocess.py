@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from quarry.functions.address import (sql_block_number, sql_direction, sql_street_name,
                                       sql_street_type, with_block_features)
 from quarry.operators.agg import null_counts
-from quarry.operators.impute import (impute_dominant_mode, impute_from_parent, impute_mean_hierarchy,
-                                     impute_mode, impute_mode_audit, sentinel_fill)
+from quarry.operators.impute import (dominant_lookup, fill_dominant, fill_mean, fill_mode, fill_parent,
+                                     impute_mode_audit, mean_lookup, mode_lookups, parent_lookup,
+                                     sentinel_fill)
 from quarry.operators.materialize import materialize
-from quarry.operators.quality import anomaly_counts, anomaly_filter, validate_frame, violations
+from quarry.operators.quality import anomaly_counts, anomaly_filter, checked_rows, validate_schema, violations
 from quarry.plans import params as P
 from quarry.plans.bindings import INCIDENTS_SQL, incidents, with_sql
 
@@ -45,9 +46,12 @@ BLOCK_LEVELS = [["street_name", "street_type", "direction", "district"],
                 ["street_name", "street_type", "direction"],
                 ["street_name", "street_type"]]
 LOCATION_KEYS = ["primary_type", "description"]
+AUDIT_KEYS = ["order_key", "line_number", "part_key", "beat"]
 MEAN_LEVELS = ["community_area", "ward", "district"]
 MEAN_SCALE = 8   # exact (order-independent) means of the 2-decimal coordinates
 SENTINEL_COLS = ["ward", "community_area", "district"]
+# the columns that the source data must have (date, coordinates, District)
+REQUIRED = ["incident_date", "latitude", "longitude", "district"]
 CRITICAL = ["incident_date", "primary_type", "district", "latitude", "longitude"]
 
 
@@ -66,27 +70,46 @@ def stage_features(spark, sf) -> DataFrame:
     return _inject(df, ["block_number"])
 
 
-# Every imputer reads its input several times (statistics, complete rows,
-# rows to fill): each stage input is written once to the shared checkpoint
-# folder, so no stage recomputes the joins and parsing before it.
+# The features are written once; every lookup of the chain is built from that
+# table, and one pass streams its rows past the lookups.
+
+def chain(spark, sf, upto: str) -> DataFrame:
+    """The features with the imputations up to ``upto``, in the order block
+    number, location, District, coordinates."""
+    order = ["block", "location", "district", "coordinates"]
+    steps = order[:order.index(upto) + 1]
+    feats = materialize(stage_features(spark, sf), "features")
+    out = fill_mode(feats, "block_number", BLOCK_LEVELS, mode_lookups(feats, "block_number", BLOCK_LEVELS))
+    if "location" in steps:
+        out = fill_dominant(out, "location_description", LOCATION_KEYS,
+                            dominant_lookup(feats, "location_description", LOCATION_KEYS, 0.8), "Unknown")
+    if "district" in steps:
+        parents = parent_lookup(feats, "district", "beat")
+        out = fill_parent(out, "district", "beat", parents)
+    if "coordinates" in steps:
+        repaired = fill_parent(feats.select("beat", "district", "latitude", "longitude"), "district", "beat", parents)
+        values = ["latitude", "longitude"]
+        lookups = [mean_lookup(repaired if key == "district" else feats, values, key, MEAN_SCALE, str(i))
+                   for i, key in enumerate(MEAN_LEVELS)]
+        out = fill_mean(out, values, MEAN_LEVELS, lookups, mean_lookup(feats, values, None, MEAN_SCALE))
+        out = out.withColumns({c: F.round(c, 6) for c in values})
+    return out
+
 
 def stage_block(spark, sf) -> DataFrame:
-    return impute_mode(materialize(stage_features(spark, sf), "features"), "block_number", BLOCK_LEVELS)
+    return chain(spark, sf, "block")
 
 
 def stage_location(spark, sf) -> DataFrame:
-    return impute_dominant_mode(materialize(stage_block(spark, sf), "block"),
-                                "location_description", LOCATION_KEYS, 0.8)
+    return chain(spark, sf, "location")
 
 
 def stage_district(spark, sf) -> DataFrame:
-    return impute_from_parent(materialize(stage_location(spark, sf), "location"), "district", "beat")
+    return chain(spark, sf, "district")
 
 
 def stage_coordinates(spark, sf) -> DataFrame:
-    df = impute_mean_hierarchy(materialize(stage_district(spark, sf), "district"),
-                               ["latitude", "longitude"], MEAN_LEVELS, decimal_scale=MEAN_SCALE)
-    return df.withColumns({"latitude": F.round("latitude", 6), "longitude": F.round("longitude", 6)})
+    return chain(spark, sf, "coordinates")
 
 
 def stage_sentinels(spark, sf) -> DataFrame:
@@ -94,11 +117,10 @@ def stage_sentinels(spark, sf) -> DataFrame:
 
 
 def preprocess_pipeline(spark, sf) -> DataFrame:
-    """The whole chain, validated. Validation raises on any remaining fault;
-    the returned frame is the clean table (the caller writes it)."""
-    clean = materialize(anomaly_filter(stage_sentinels(spark, sf), P.ANOMALY_RULES), "clean")
-    validate_frame(clean, "incident_date", RAW_COLUMNS[:3], CRITICAL, {"district": (1, 31)})
-    return clean
+    """The whole chain, validated: schema faults raise here, a faulty row raises
+    when it is computed. The returned frame is the clean table."""
+    clean = anomaly_filter(stage_sentinels(spark, sf), P.ANOMALY_RULES)
+    return checked_rows(clean, "incident_date", REQUIRED, CRITICAL, {"district": (1, 31)})
 
 
 def missing_audit(spark, sf) -> DataFrame:
@@ -106,7 +128,7 @@ def missing_audit(spark, sf) -> DataFrame:
     after, distinct values after. Two one-row aggregates."""
     feats = ["block_number", "location_description", "district", "latitude", "longitude"]
     before = stage_features(spark, sf)
-    after = materialize(stage_coordinates(spark, sf), "coordinates")
+    after = stage_coordinates(spark, sf)
     b = null_counts(before, feats).select(*[F.col(c).alias(f"b_{c}") for c in feats],
                                           F.lit(1).alias("__k"))
     a = after.agg(F.count(F.lit(1)).alias("rows"),
@@ -125,21 +147,24 @@ def missing_audit(spark, sf) -> DataFrame:
 
 
 def impute_mode_two_level(spark, sf) -> DataFrame:
-    """Two-level re-run with an audit: rows by status original / imputed /
-    missing."""
+    """Two-level re-run with its row-level audit: each row's value and whether
+    it is original, imputed or still missing."""
     _, audit = impute_mode_audit(materialize(stage_features(spark, sf), "features"), "block_number",
-                                 BLOCK_LEVELS[:2],
-                                 ["order_key", "line_number", "part_key", "beat"])
-    return audit.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+                                 BLOCK_LEVELS[:2], AUDIT_KEYS)
+    return audit
 
 
 def anomaly_report(spark, sf) -> DataFrame:
     return anomaly_counts(stage_sentinels(spark, sf), P.ANOMALY_RULES,
-                          coordinate_cols=("latitude", "longitude"))
+                          coordinate_cols=("latitude", "longitude"), date_col="incident_date",
+                          min_year=P.MIN_YEAR)
 
 
 def validation_violations(spark, sf) -> DataFrame:
-    return violations(stage_coordinates(spark, sf), CRITICAL, {"district": (1, 31)})
+    """What validation finds on the raw data; absent columns raise."""
+    df = raw(spark, sf)
+    validate_schema(df, "incident_date", REQUIRED)
+    return violations(df, CRITICAL, {"district": (1, 24)})
 
 
 QUERIES = {
@@ -252,6 +277,7 @@ def _anomaly_sql() -> str:
     }
     for c in ("district", "ward", "community_area"):
         rules[f"invalid_{c}"] = f"{c} IS NOT NULL AND ({c} < {_R[c][0]} OR {c} > {_R[c][1]})"
+    rules["suspicious_dates"] = f"year(incident_date) < {P.MIN_YEAR}"
     cnt = ",\n  ".join(f"count(*) FILTER (WHERE {r}) AS {n}" for n, r in rules.items())
     anyf = " OR ".join(f"coalesce({r}, false)" for r in rules.values())
     raw_sum = " + ".join(rules)
@@ -264,22 +290,24 @@ FROM (SELECT count(*) AS total_rows, {cnt},
 
 def _violations_sql() -> str:
     checks = {f"null_{c}": f"{c} IS NULL" for c in CRITICAL}
-    checks["range_district"] = "district IS NOT NULL AND NOT (district BETWEEN 1 AND 31)"
+    checks["range_district"] = "district IS NOT NULL AND NOT (district BETWEEN 1 AND 24)"
     checks["any_violation"] = " OR ".join(f"({v})" for v in checks.values())
-    parts = [f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violations FROM geo" for n, c in checks.items()]
-    parts.append("SELECT 'total_rows' AS rule, count(*) AS violations FROM geo")
-    return _upto("sent") + "\nUNION ALL\n".join(parts)
+    parts = [f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violations FROM raw" for n, c in checks.items()]
+    parts.append("SELECT 'total_rows' AS rule, count(*) AS violations FROM raw")
+    return _upto("raw") + "\nUNION ALL\n".join(parts)
 
 
 def _two_level_sql() -> str:
-    return _upto("m2") + """SELECT status, count(*) AS rows FROM (
-  SELECT CASE WHEN f.block_number IS NOT NULL THEN 'original'
+    keys = ", ".join(f"f.{k}" for k in AUDIT_KEYS)
+    return _upto("m2") + f"""
+  SELECT {keys}, CAST(coalesce(f.block_number, m1.b1, m2.b2) AS INTEGER) AS value,
+         CASE WHEN f.block_number IS NOT NULL THEN 'original'
               WHEN coalesce(m1.b1, m2.b2) IS NOT NULL THEN 'imputed' ELSE 'missing' END AS status
   FROM feat f
   LEFT JOIN m1 ON f.street_name = m1.street_name AND f.street_type = m1.street_type
               AND f.direction = m1.direction AND f.district = m1.district
   LEFT JOIN m2 ON f.street_name = m2.street_name AND f.street_type = m2.street_type
-              AND f.direction = m2.direction) GROUP BY status"""
+              AND f.direction = m2.direction"""
 
 
 ORACLE = {
