@@ -16,6 +16,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from quarry.operators.agg import long_values, quantiles
 
 MAX_FEATURES = 512   # the d x d solve on the driver stays small
 
@@ -102,61 +105,102 @@ def pca(df: DataFrame, features: list[str], k: int, keep: list[str] | None = Non
     return variance, loadings, scores
 
 
+OTHER, UNKNOWN = "OTHER", "Unknown"
+
+
+def famd_design(df: DataFrame, numeric: list[str], categorical: list[str], top_n: int = 20) -> dict:
+    """What FAMD needs to know of the columns: ``rows``; per numeric column
+    (median, mean, population std) after NULL -> median; per categorical column
+    its levels with their proportions, after NULL -> 'Unknown' and values outside
+    the ``top_n`` most frequent (ties by value) -> 'OTHER'.
+
+    One exact-quantile job per numeric column, one aggregate for the moments, one
+    long aggregate for all categorical columns. At most ``top_n`` levels per
+    column reach the driver."""
+    median = {c: quantiles(df, c, {"m": 0.5}).first()["m"] for c in numeric}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(median[c])) for c in numeric}
+    moments = df.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(x).alias(f"m_{c}") for c, x in filled.items()],
+                     *[F.stddev_pop(x).alias(f"s_{c}") for c, x in filled.items()]).first()
+    rows = moments["rows"]
+    design = {"rows": rows, "numeric": {c: (median[c], moments[f"m_{c}"], moments[f"s_{c}"]) for c in numeric},
+              "categorical": {c: {} for c in categorical}}
+    if categorical and rows:
+        counts = (long_values(df, categorical).groupBy("feature", F.coalesce("value", F.lit(UNKNOWN)).alias("value"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        w = Window.partitionBy("feature").orderBy(F.desc("n"), "value")
+        top = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= top_n).orderBy("feature", "r").collect()
+        for r in top:
+            design["categorical"][r["feature"]][r["value"]] = r["n"] / rows
+        for levels in design["categorical"].values():
+            rest = 1 - sum(levels.values())
+            if rest > 0.5 / rows:
+                levels[OTHER] = levels.get(OTHER, 0.0) + rest
+    return design
+
+
+def design_frame(df: DataFrame, design: dict) -> DataFrame:
+    """The design in long form: (variable, level, proportion, median, mean, std)."""
+    out = [(c, None, None, *map(_float, v)) for c, v in design["numeric"].items()]
+    out += [(c, level, p, None, None, None) for c, levels in design["categorical"].items() for level, p in levels.items()]
+    return df.sparkSession.createDataFrame(
+        out, "variable string, level string, proportion double, median double, mean double, std double")
+
+
+def _float(x):
+    return None if x is None else float(x)
+
+
 def famd(df: DataFrame, numeric: list[str], categorical: list[str], k: int, top_n: int = 20,
-         keep: list[str] | None = None):
+         keep: list[str] | None = None, design: dict | None = None):
     """Factor analysis of mixed data (Pagès 2004) as a Spark PCA.
 
-    numerics: NULL -> median (``percentile``), z-score with population std;
-    categoricals: NULL -> 'Unknown', values outside the top ``top_n`` ->
-    'OTHER', one indicator per level scaled ``(I - p) / sqrt(p)``. PCA of
-    that matrix; the contribution of a variable to a component is the sum of
-    squared loadings of its columns. Returns (variance (component, explained,
-    cumulative), contributions (component, variable, contribution), row
+    numerics: NULL -> median (exact), z-score with population std (0 for a
+    constant column); categoricals: one indicator per level of ``famd_design``
+    scaled ``(I - p) / sqrt(p)``. PCA of that matrix with
+    ``min(k, columns, rows - 1)`` components. The contribution of a variable to a
+    component is the sum of squared loadings of its columns; its coordinate is
+    the contribution times the component's inertia (squared correlation or
+    correlation ratio). Returns (variance (component, explained, cumulative),
+    contributions (component, variable, contribution, coordinate), row
     coordinates (keep + Dim1..Dimk))."""
     spark = df.sparkSession
     keep = keep or []
-    base = df
-    if numeric:
-        med = base.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 1_000_000).alias(c) for c in numeric]).first()
-        base = base.fillna({c: float(med[c]) for c in numeric if med[c] is not None})
-    from quarry.operators.quality import collapse_top_categories
-    for c in categorical:
-        base = collapse_top_categories(base, c, top_n)
-    # level lists and proportions: at most top_n + 1 levels per variable
-    stats_aggs = [F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in numeric]
-    stats_aggs += [F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in numeric]
-    levels = {}
-    for c in categorical:
-        lv = [r[0] for r in base.groupBy(c).count().orderBy(c).limit(top_n + 1).collect()]
-        levels[c] = lv
-        stats_aggs += [F.avg((F.col(c) == v).cast("double")).alias(f"p_{c}_{i}") for i, v in enumerate(lv)]
-    st = base.agg(*stats_aggs).first()
-    cols, owner = [], []
+    design = design or famd_design(df, numeric, categorical, top_n)
+    cols, owner, inertia = [], [], 0.0
     for c in numeric:
-        sd = st[f"s_{c}"] or 1.0
-        cols.append(((F.col(c).cast("double") - st[f"m_{c}"]) / sd).alias(f"n_{c}"))
+        med, mean, sd = design["numeric"][c]
+        if med is None:
+            raise ValueError(f"column {c!r} has no value")
+        cols.append((F.coalesce(F.col(c).cast("double"), F.lit(med)) - F.lit(mean)) / F.lit(sd or 1.0))
         owner.append(c)
+        inertia += 1.0 if sd else 0.0
     for c in categorical:
-        for i, v in enumerate(levels[c]):
-            p = st[f"p_{c}_{i}"]
-            cols.append(((F.col(c) == v).cast("double") - p) / math.sqrt(p))
+        levels = design["categorical"][c]
+        value = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+        known = [v for v in levels if v != OTHER]
+        value = F.when(value.isin(known), value).otherwise(F.lit(OTHER))
+        for v, p in levels.items():
+            cols.append(((value == v).cast("double") - F.lit(p)) / math.sqrt(p))
             owner.append(c)
+        inertia += len(levels) - 1
+    if len(cols) > MAX_FEATURES:
+        raise ValueError(f"too many columns for a driver-side eigen-decomposition ({len(cols)})")
     names = [f"__f{i}" for i in range(len(cols))]
-    mat = base.select(*keep, *[c.alias(n) for c, n in zip(cols, names)])
+    mat = df.select(*keep, *[c.alias(n) for c, n in zip(cols, names)])
     vec = VectorAssembler(inputCols=names, outputCol="__z").transform(mat)
-    k = min(k, len(names))
+    k = min(k, len(numeric) + len(categorical), max(1, design["rows"] - 1))
     model, pc, ev, signs = _fit_pca(vec, k)
     cum, var_rows = 0.0, []
     for j, e in enumerate(ev):
         cum += e
         var_rows.append((f"FAMD{j + 1}", e, cum))
     variance = spark.createDataFrame(var_rows, "component string, explained_ratio double, cumulative_ratio double")
-    contrib = {}
+    contrib: dict = {}
     for j in range(k):
         for i, v in enumerate(owner):
             contrib[(j, v)] = contrib.get((j, v), 0.0) + float(pc[i, j]) ** 2
-    crow = [(f"FAMD{j + 1}", v, c) for (j, v), c in contrib.items()]
-    contributions = spark.createDataFrame(crow, "component string, variable string, contribution double")
+    crow = [(f"FAMD{j + 1}", v, c, c * ev[j] * inertia) for (j, v), c in contrib.items()]
+    contributions = spark.createDataFrame(crow, "component string, variable string, contribution double, coordinate double")
     arr = vector_to_array(F.col("__pc"))
     coords = model.transform(vec).select(*keep, *[(arr[j] * signs[j]).alias(f"Dim{j + 1}") for j in range(k)])
     return variance, contributions, coords

@@ -1,10 +1,9 @@
 """Table profiling and class-imbalance analysis in one pass per table.
 
 The per-column loops of a driver program (a distinct job, a group-by job
-and a top-k job per column) become ONE long ``(feature, value)`` frame:
-partial aggregation on the map side, one shuffle of at most
-``distinct values x features`` rows per task, then windows over those
-aggregated counts.
+and a top-k job per column) become ONE long ``(feature, value)`` frame read in
+one scan: partial aggregation on the map side, one shuffle of the counts, then
+aggregates over those. Numbers are never turned into strings by the profile.
 """
 
 from __future__ import annotations
@@ -33,37 +32,40 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """Per column: type, NULLs, NULL %, distinct (non-NULL), top value and
-    its share of rows (ties -> smallest value); mean, sample stddev, min,
-    max for numeric columns."""
-    cols = df.columns
-    dtypes = dict(df.dtypes)
-    counts = value_counts(df, cols)
-    per = counts.groupBy("feature").agg(
-        F.sum("count").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).cast("long").alias("nulls"),
-        F.count_if(F.col("value").isNotNull()).alias("distinct"),
-        F.min_by(F.col("value"), F.struct(-F.col("count"), F.col("value"))).alias("top_value"),
-        F.min_by(F.col("count"), F.struct(-F.col("count"), F.col("value"))).alias("top_count"),
-    )
-    # one wide aggregate for the numeric moments, then unpivoted
-    num = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
-    if num:
-        wide = df.agg(*[agg(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(num)
-                        for n, agg in (("mean", F.avg), ("sd", F.stddev_samp), ("min", F.min), ("max", F.max))])
-        moments = wide.select(F.explode(F.array(*[F.struct(
-            F.lit(c).alias("feature"), F.col(f"mean_{i}").alias("mean"), F.col(f"sd_{i}").alias("stddev"),
-            F.col(f"min_{i}").alias("min"), F.col(f"max_{i}").alias("max")) for i, c in enumerate(num)])).alias("m")
-        ).select("m.*")
-        per = per.join(F.broadcast(moments), "feature", "left")
-    else:
-        per = per.select("*", *[F.lit(None).cast("double").alias(c) for c in ("mean", "stddev", "min", "max")])
+    """Per column: type, NULLs, NULL %; for strings and booleans distinct
+    (non-NULL), top value and its share of rows (ties -> smallest value); for
+    numbers mean, sample stddev and variance, min, max.
+
+    One scan and one shuffle: a row becomes a (feature, value, x) entry per
+    column, where only strings and booleans carry a value, so all of a numeric
+    column is one group that is combined before the shuffle."""
+    cols, dtypes = df.columns, dict(df.dtypes)
+    kinds = {c: df.schema[c].dataType for c in cols}
+    entries = []
+    for c in cols:
+        text = isinstance(kinds[c], (T.StringType, T.BooleanType))
+        number = isinstance(kinds[c], NUMERIC)
+        entries.append(F.struct(
+            F.lit(c).alias("feature"), (F.col(c).cast("string") if text else F.lit(None).cast("string")).alias("value"),
+            (F.col(c).cast("double") if number else F.lit(None).cast("double")).alias("x"),
+            F.col(c).isNull().alias("absent"), F.lit(text).alias("text")))
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    counts = long.groupBy("feature", "value", "text").agg(
+        F.count(F.lit(1)).alias("count"), F.count_if("absent").alias("absent"), F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("stddev"), F.var_samp("x").alias("variance"), F.min("x").alias("min"), F.max("x").alias("max"))
+    best = F.struct(-F.col("count"), F.col("value"))
+    per = counts.groupBy("feature", "text").agg(
+        F.sum("count").alias("rows"), F.sum("absent").alias("nulls"), F.count("value").alias("distinct"),
+        F.min_by("value", best).alias("top_value"), F.min_by("count", best).alias("top_count"),
+        *[F.max(c).alias(c) for c in ("mean", "stddev", "variance", "min", "max")])
     types = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(dtypes[c]))])
+    own = F.col("text")
     return per.select(
         "feature", types[F.col("feature")].alias("dtype"), "rows", "nulls",
-        F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("null_pct"), "distinct",
-        F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max",
-        "top_value", "top_count", F.round(F.col("top_count") / F.col("rows"), 4).alias("top_ratio"))
+        F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("null_pct"), F.when(own, F.col("distinct")).alias("distinct"),
+        *[F.round(c, 4).alias(c) for c in ("mean", "stddev", "variance")], "min", "max",
+        "top_value", F.when(own, F.col("top_count")).alias("top_count"),
+        F.when(own, F.round(F.col("top_count") / F.col("rows"), 4)).alias("top_ratio"))
 
 
 def imbalance_frame(df: DataFrame, date_col: str | None, lat_col: str | None, lon_col: str | None,
@@ -129,9 +131,11 @@ def imbalance_analysis(df: DataFrame, exclude: list[str], force_numeric: list[st
     label = F.lit(BALANCED)
     for thr, name in reversed(LABELS):
         label = F.when(F.col("dominance_ratio") >= thr, F.lit(name)).otherwise(label)
-    summary_an = (per.withColumn("dominance_ratio", F.round(F.col("top_count") / F.col("rows"), 6))
+    # the label goes by the ratio itself, only the shown ratio is rounded
+    summary_an = (per.withColumn("dominance_ratio", F.col("top_count") / F.col("rows"))
                   .withColumn("top_n_ratio", F.round(F.col("top_n_count") / F.col("rows"), 6))
-                  .withColumn("imbalance_label", F.when(analyzed, label).otherwise(F.lit(SKIPPED))))
+                  .withColumn("imbalance_label", F.when(analyzed, label).otherwise(F.lit(SKIPPED)))
+                  .withColumn("dominance_ratio", F.round("dominance_ratio", 6)))
     summary_an = summary_an.select(
         "feature", "analysis_type", "distinct_count",
         *[F.when(analyzed, F.col(c)).alias(c) for c in ("top_value", "top_count", "dominance_ratio", "top_n_ratio")],
@@ -142,6 +146,9 @@ def imbalance_analysis(df: DataFrame, exclude: list[str], force_numeric: list[st
     static_df = spark.createDataFrame(
         [(c, r, None, None, None, None, None, SKIPPED) for c, r in static], schema) if static else None
     summary = summary_an.unionByName(static_df) if static_df is not None else summary_an
+    ranks = [name for _, name in LABELS] + [BALANCED, SKIPPED]
+    order = F.array_position(F.array(*[F.lit(x) for x in ranks]), F.col("imbalance_label"))
+    summary = summary.orderBy(order, F.desc_nulls_last("dominance_ratio"), "feature")   # one row per column
     values = (top.filter(analyzed)
               .select("feature", "value", "count", F.round(F.col("count") / F.col("rows"), 6).alias("ratio"),
                       F.col("rank").cast("int").alias("rank")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ml import (correlation_long, famd, high_correlations, numeric_features, pca,
-                                 standard_scale)
+from quarry.operators.ml import (correlation_long, design_frame, famd, famd_design, high_correlations,
+                                 numeric_features, pca, standard_scale, variance_thresholds)
 from quarry.operators.sampling import (class_counts, hash_sample, oversample, sampling_report,
                                        undersample)
 from quarry.plans.bindings import INCIDENTS_SQL, with_sql
@@ -133,17 +133,34 @@ def q_pca_scores(spark, sf):
     return pca(df, feats, PCA_K, keep=["order_key"])[2]
 
 
+FAMD_NUMERIC = ["latitude", "longitude"]
+FAMD_CATEGORICAL = ["primary_type", "location_description", "fbi_code"]
+FAMD_TOP_N = 20
+
+
+def _famd_input(spark, sf):
+    return raw_incidents(spark, sf).select("order_key", "line_number", *FAMD_NUMERIC, *FAMD_CATEGORICAL)
+
+
 def _famd(spark, sf):
-    df = raw_incidents(spark, sf).select("order_key", "line_number", "latitude", "longitude",
-                                         "primary_type", "location_description", "fbi_code")
-    return famd(df, ["latitude", "longitude"], ["primary_type", "location_description", "fbi_code"], FAMD_K,
-                top_n=20, keep=["order_key", "line_number"])
+    return famd(_famd_input(spark, sf), FAMD_NUMERIC, FAMD_CATEGORICAL, FAMD_K, top_n=FAMD_TOP_N,
+                keep=["order_key", "line_number"])
+
+
+def q_famd_design(spark, sf):
+    df = _famd_input(spark, sf)
+    design = famd_design(df, FAMD_NUMERIC, FAMD_CATEGORICAL, FAMD_TOP_N)
+    return design_frame(df, design).withColumns({c: F.round(c, 6) for c in ("proportion", "median", "mean", "std")})
 
 
 def q_famd(spark, sf):
     return _famd(spark, sf)[0]
 
 
+def q_famd_thresholds(spark, sf):
+    return variance_thresholds(_famd(spark, sf)[0])
+
+
 def q_famd_contributions(spark, sf):
     return _famd(spark, sf)[1]
 
@@ -224,7 +241,20 @@ def _high_sql() -> str:
 _ZS = ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS z_{c}"
                 for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
+_FAMD_SQL = with_sql(INCIDENTS_SQL, f"""raw AS (SELECT
+  {", ".join(f"CASE WHEN NOT ({INJECT[c]}) THEN {c} END AS {c}" for c in ("latitude", "longitude", "location_description"))},
+  primary_type, fbi_code FROM incidents)""") + " UNION ALL ".join(
+    [f"""SELECT '{c}' AS variable, CAST(NULL AS VARCHAR) AS level, CAST(NULL AS DOUBLE) AS proportion, round(m, 6) AS median,
+       round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std
+FROM (SELECT coalesce({c}, m) AS x, m FROM raw, (SELECT quantile_cont({c}, 0.5) AS m FROM raw)) GROUP BY m"""
+     for c in FAMD_NUMERIC]
+    + [f"""SELECT '{c}', CASE WHEN r <= {FAMD_TOP_N} THEN v ELSE 'OTHER' END AS level, round(sum(n) / any_value(t), 6), NULL, NULL, NULL
+FROM (SELECT v, n, sum(n) OVER () AS t, row_number() OVER (ORDER BY n DESC, v) AS r
+      FROM (SELECT coalesce({c}, 'Unknown') AS v, count(*) AS n FROM raw GROUP BY 1)) GROUP BY 2"""
+       for c in FAMD_CATEGORICAL])
+
 ORACLE = {
+    "famd_design": _FAMD_SQL,
     "sample_fraction": f"""SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
         WHERE substr({_H}, 1, 8) < '{format(int(SAMPLE_FRACTION * 16 ** 8), "08x")}'""",
     "binary_distribution": f"""WITH {_T} SELECT is_urgent, count, CAST(n_classes AS BIGINT) AS n_classes,

@@ -52,20 +52,27 @@ _DTYPES = {"incident_date": "timestamp_ntz", "primary_type": "string", "location
 _NUMERIC = {"beat", "district", "ward", "community_area", "latitude", "longitude"}
 
 
+_TEXT = {"primary_type", "location_description", "arrest"}
+
+
 def _profile_sql() -> str:
     parts = []
     for c in PROFILE_COLS:
-        num = c in _NUMERIC
-        mean = f"round(avg({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
-        sd = f"round(stddev_samp({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
-        mn = f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
-        mx = f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
-        parts.append(f"""SELECT '{c}' AS feature, '{_DTYPES[c]}' AS dtype, s.rows, s.nulls,
-  round(s.nulls / s.rows * 100, 6) AS null_pct, s.distinct, s.mean, s.stddev, s.min, s.max,
-  t.v AS top_value, t.n AS top_count, round(t.n / s.rows, 4) AS top_ratio
-FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) AS distinct,
-             {mean} AS mean, {sd} AS stddev, {mn} AS min, {mx} AS max FROM raw) s,
+        num, text = c in _NUMERIC, c in _TEXT
+        null = "CAST(NULL AS DOUBLE)"
+        mean, sd, var = ((f"round({f}({c}), 4)" if num else null) for f in ("avg", "stddev_samp", "var_samp"))
+        mn, mx = ((f"CAST({f}({c}) AS DOUBLE)" if num else null) for f in ("min", "max"))
+        distinct = f"count(DISTINCT {c})" if text else "CAST(NULL AS BIGINT)"
+        head = (f"""SELECT '{c}' AS feature, '{_DTYPES[c]}' AS dtype, s.rows, s.nulls, round(s.nulls / s.rows * 100, 6) AS null_pct,
+  s.distinct, s.mean, s.stddev, s.variance, s.min, s.max, """)
+        body = f"""(SELECT count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, {distinct} AS distinct,
+             {mean} AS mean, {sd} AS stddev, {var} AS variance, {mn} AS min, {mx} AS max FROM raw) s"""
+        if text:
+            parts.append(head + f"""t.v AS top_value, t.n AS top_count, round(t.n / s.rows, 4) AS top_ratio FROM {body},
      (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM raw GROUP BY 1 ORDER BY n DESC, v ASC NULLS FIRST LIMIT 1) t""")
+        else:
+            parts.append(head + "CAST(NULL AS VARCHAR) AS top_value, CAST(NULL AS BIGINT) AS top_count, "
+                                f"CAST(NULL AS DOUBLE) AS top_ratio FROM {body}")
     return with_sql(INCIDENTS_SQL, _RAW_CTE) + "\nUNION ALL\n".join(parts)
 
 
@@ -139,12 +146,12 @@ def _imbalance_summary_sql() -> str:
 SELECT feature, analysis_type, distinct_count,
   CASE WHEN {_ANALYZED} THEN top_value END AS top_value,
   CASE WHEN {_ANALYZED} THEN top_count END AS top_count,
-  CASE WHEN {_ANALYZED} THEN dominance_ratio END AS dominance_ratio,
+  CASE WHEN {_ANALYZED} THEN round(dominance_ratio, 6) END AS dominance_ratio,
   CASE WHEN {_ANALYZED} THEN top_n_ratio END AS top_n_ratio,
   CASE WHEN {_ANALYZED} THEN {_label('dominance_ratio')} ELSE 'skipped' END AS imbalance_label
 FROM (SELECT feature, analysis_type, distinct_count,
         max(CASE WHEN rank = 1 THEN value END) AS top_value, max(CASE WHEN rank = 1 THEN count END) AS top_count,
-        round(max(CASE WHEN rank = 1 THEN count END) / max(rows), 6) AS dominance_ratio,
+        max(CASE WHEN rank = 1 THEN count END) / max(rows) AS dominance_ratio,
         round(sum(count) / max(rows), 6) AS top_n_ratio
       FROM top GROUP BY feature, analysis_type, distinct_count)
 UNION ALL {static}"""

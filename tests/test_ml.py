@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.ml import correlation_long, famd, pca
+from quarry.operators.ml import correlation_long, famd, famd_design, pca, variance_thresholds
 
 
 def test_pca_matches_numpy(spark):
@@ -18,13 +18,73 @@ def test_pca_matches_numpy(spark):
     assert scores.count() == 400
 
 
-def test_famd_contributions_sum_to_one(spark):
-    rows = [(float(i % 7), float((i * 3) % 11), ["x", "y", "z", None][i % 4]) for i in range(200)]
-    df = spark.createDataFrame(rows, "a double, b double, c string")
-    var, contrib, coords = famd(df, ["a", "b"], ["c"], 3, top_n=2)
-    sums = {r.component: r.s for r in contrib.groupBy("component").agg(F.sum("contribution").alias("s")).collect()}
-    assert all(v == pytest.approx(1.0) for v in sums.values())
-    assert sum(r.explained_ratio for r in var.collect()) <= 1 + 1e-9
+def numpy_famd(rows, numeric, categorical, top_n):
+    """FAMD by numpy: eigenvalues, contributions and row coordinates up to sign."""
+    blocks, owner = [], []
+    for c in numeric:
+        x = np.array([np.nan if r[c] is None else r[c] for r in rows], dtype=float)
+        x = np.where(np.isnan(x), np.nanmedian(x), x)
+        blocks.append((x - x.mean()) / (x.std() or 1.0))
+        owner.append(c)
+    for c in categorical:
+        values = ["Unknown" if r[c] is None else r[c] for r in rows]
+        top = sorted(set(values), key=lambda v: (-values.count(v), v))[:top_n]
+        values = [v if v in top else "OTHER" for v in values]
+        for v in sorted(set(values)):
+            i = np.array([x == v for x in values], dtype=float)
+            blocks.append((i - i.mean()) / np.sqrt(i.mean()))
+            owner.append(c)
+    z = np.array(blocks).T
+    u, s, vt = np.linalg.svd(z / np.sqrt(len(z)), full_matrices=False)
+    contribution = {c: (vt ** 2)[:, [o == c for o in owner]].sum(axis=1) for c in set(owner)}
+    return s ** 2, contribution, z @ vt.T
+
+
+@pytest.mark.parametrize("n,constant", [(200, False), (60, True), (4, False)])
+def test_famd_matches_numpy(spark, n, constant):
+    rows = [{"id": i, "a": None if i % 9 == 5 else float(i * i % 23), "b": 5.0 if constant else float((i * 3) % 11),
+             "c": ["x", "y", "z", None, "x", "y", "x"][i % 7], "d": "rare" if i == 1 else "common"} for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c string, d string")
+    var, contrib, coords = famd(df, ["a", "b"], ["c", "d"], 6, top_n=2, keep=["id"])
+    inertia, contribution, points = numpy_famd(rows, ["a", "b"], ["c", "d"], 2)
+    k = min(4, n - 1)  # input columns, and rows less one
+    got = [r.explained_ratio for r in var.orderBy("component").collect()]
+    assert len(got) == k and got == pytest.approx(list(inertia[:k] / inertia.sum()), abs=1e-9)
+    by = {(r.component, r.variable): r for r in contrib.collect()}
+    row = {r.id: r for r in coords.collect()}
+    for j in range(k):
+        if inertia[j] > 1e-9 and all(abs(inertia[j] - x) > 1e-6 for m, x in enumerate(inertia) if m != j):
+            for c in "abcd":
+                assert by[f"FAMD{j + 1}", c].contribution == pytest.approx(contribution[c][j], abs=1e-7)
+                assert by[f"FAMD{j + 1}", c].coordinate == pytest.approx(contribution[c][j] * inertia[j], abs=1e-7)
+            mine = np.array([row[i][f"Dim{j + 1}"] for i in range(n)])
+            assert min(abs(mine - points[:, j]).max(), abs(mine + points[:, j]).max()) < 1e-6
+
+
+def test_exact_median_and_thresholds(spark):
+    df = spark.createDataFrame([(1.0, "x"), (2.0, "y"), (10.0, "x"), (20.0, "y"), (None, "x")], "a double, c string")
+    assert famd_design(df, ["a"], ["c"])["numeric"]["a"][0] == 6.0
+    variance = spark.createDataFrame([("FAMD1", 0.5, 0.5), ("FAMD2", 0.35, 0.85)],
+                                     "component string, explained_ratio double, cumulative_ratio double")
+    got = {r.threshold: r.components_needed for r in variance_thresholds(variance).collect()}
+    assert got == {0.7: 2, 0.8: 2, 0.9: None, 0.95: None}
+
+
+def test_pca_loadings_and_scores(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, 3)) * [1, 5, 0.2]
+    x[:, 2] += x[:, 0]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double, c double")
+    _, load, scores = pca(df, ["a", "b", "c"], 2, keep=["id"])
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    w = np.linalg.eigh(np.cov(z, rowvar=False))[1][:, ::-1]
+    got = {(r.pc, r.feature): r.weight for r in load.collect()}
+    points = {r.id: r for r in scores.collect()}
+    for j in range(2):
+        mine = np.array([got[f"PC{j + 1}", f] for f in "abc"])
+        sign = np.sign(mine @ w[:, j])
+        assert mine == pytest.approx(sign * w[:, j], abs=1e-6)
+        assert [points[i][f"PC{j + 1}"] for i in range(80)] == pytest.approx(list(z @ w[:, j] * sign), abs=1e-6)
 
 
 def test_correlation_symmetric(spark):

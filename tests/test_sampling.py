@@ -36,3 +36,32 @@ def test_three_classes_fail(spark):
     df = spark.range(0, 30).select((F.col("id") % 3).alias("y"))
     with pytest.raises(Exception):
         class_counts(df, "y").collect()
+
+
+def test_null_keys_and_classes_count(spark):
+    df = spark.range(0, 1000).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("key"), F.col("id").alias("x"),
+        F.when(F.col("id") % 4 != 0, F.lit(True)).alias("y"))  # the second class is NULL
+    assert first_by_hash(df, "key", 42, 500).count() == 500
+    u = undersample(df, "y", "key")
+    assert {r.y: r["count"] for r in u.groupBy("y").count().collect()} == {True: 250, None: 250}
+    o = oversample(df, "y", "key")
+    assert {r.y: r["count"] for r in o.groupBy("y").count().collect()} == {True: 750, None: 750}
+    assert o.select("x").distinct().count() == 1000
+
+
+def test_plans_read_the_table_three_times_without_joins(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    plan = q["undersample"](spark, "/root/testdata/sf0.001")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    suite = q["sampling_suite"](spark, "/root/testdata/sf0.001")
+    assert "NestedLoop" not in suite._jdf.queryExecution().executedPlan().toString()
+
+
+def test_three_classes_fail_when_balancing(spark):
+    df = spark.range(0, 30).select(F.col("id").alias("key"), (F.col("id") % 3).alias("y"))
+    with pytest.raises(Exception):
+        undersample(df, "y", "key").collect()
