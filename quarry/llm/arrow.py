@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,5 +19,18 @@ def utf8_slices(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield data[offsets[i]:offsets[i + 1]] if valid[i] else None
 
 
-def one_chunk(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def tidy(task):
+    """Wrap a batch function so that a worker gives freed memory back to the
+    system when its task ends; workers live on and would keep the peak of every
+    task they ever ran."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.arrow import one_chunk, utf8_slices
+from quarry.llm.arrow import tidy, utf8_slices
 from quarry.llm.common import ship_package, table
 
 BUCKETS = 8192
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # at most per_language rows for each language
     sample = (texts.join(F.broadcast(chosen), ["id", "lang"]).dropDuplicates(["id", "lang"])
               .select("lang", "h", "text"))
-    rows = sample.mapInArrow(_sample_rows, "lang string, h long, buckets binary, counts binary").collect()
+    rows = sample.mapInArrow(tidy(_sample_rows), "lang string, h long, buckets binary, counts binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["h"], r["lang"], r["buckets"]))
@@ -221,7 +221,7 @@ def annotate(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
                 [batch.column(i) for i in range(len(keep))] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*keep, lang, score])
 
-    return given.mapInArrow(predict, schema)
+    return given.mapInArrow(tidy(predict), schema)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

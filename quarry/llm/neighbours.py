@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.arrow import tidy
 from quarry.llm.common import Scratch, table
 
 TABLES = 8
@@ -238,10 +239,10 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
                 if found:
                     yield _lists(found)
 
-    rows = vectors.mapInArrow(place_vectors, schema).unionByName(queries.mapInArrow(place_queries, schema))
+    rows = vectors.mapInArrow(tidy(place_vectors), schema).unionByName(queries.mapInArrow(tidy(place_queries), schema))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks // 4))
     return (rows.repartition(n, "block").sortWithinPartitions("block", "side")
-            .mapInArrow(score, _FOUND))
+            .mapInArrow(tidy(score), _FOUND))
 
 
 def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
@@ -267,7 +268,7 @@ def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
                                          names=["t", "cell", "n"])
 
     counts = np.zeros((tables, hasher.cells), dtype=np.int64)
-    found = (vectors.mapInArrow(count, "t int, cell int, n long").groupBy("t", "cell").agg(F.sum("n").alias("n"))
+    found = (vectors.mapInArrow(tidy(count), "t int, cell int, n long").groupBy("t", "cell").agg(F.sum("n").alias("n"))
              .groupBy("t").agg(F.collect_list(F.struct("cell", "n")).alias("all")).collect())
     for r in found:  # a fixed number of cells per table
         for c in r["all"]:
@@ -322,7 +323,7 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (found.repartition(n, "query_id").sortWithinPartitions("query_id")
-            .mapInArrow(merge, "query_id long, rank int, vec_id long, score double"))
+            .mapInArrow(tidy(merge), "query_id long, rank int, vec_id long, score double"))
 
 
 def _ranked(out: list[tuple]) -> pa.RecordBatch:

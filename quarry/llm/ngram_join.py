@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import signature_tree as tree
-from quarry.llm.arrow import utf8_slices
+from quarry.llm.arrow import tidy, utf8_slices
 from quarry.llm.common import Scratch, hash_filter, maybe_in, table
 from quarry.llm.components import components
 from quarry.llm.shingles import mix, shingle_set
@@ -91,7 +91,7 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(F.col(text_col)).alias("content"))
-    return scratch.save(source.mapInArrow(scan, _PASS1), "pass1")
+    return scratch.save(source.mapInArrow(tidy(scan), _PASS1), "pass1")
 
 
 def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: int, scratch: Scratch,
@@ -136,7 +136,7 @@ def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: in
                 tokens.append(prefix)
                 sids.append(np.full(len(prefix), sid, dtype="<i8"))
                 held += len(prefix)
-                if held > 1_000_000:
+                if held > 400_000:
                     yield from flush()
         yield from flush()
 
@@ -174,8 +174,8 @@ def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: in
                                              names=["gh", "sid"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    entries = source.mapInArrow(prefixes, "part int, tokens binary, sids binary")
-    found = entries.repartition(tasks, "part").mapInArrow(groups, "gh long, sid long")
+    entries = source.mapInArrow(tidy(prefixes), "part int, tokens binary, sids binary")
+    found = entries.repartition(tasks, "part").mapInArrow(tidy(groups), "gh long, sid long")
     return scratch.save(found.distinct(), "groups")
 
 
@@ -197,7 +197,7 @@ def star_pairs(groups: DataFrame, nodes: DataFrame, scratch: Scratch, percent: i
 
     sized = (scratch.save(pairs, "star").join(left, "a").join(right, "b")
              .where((100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))))
-    return scratch.save(sized.mapInArrow(bounded, "a long, b long"), "star-bounded")
+    return scratch.save(sized.mapInArrow(tidy(bounded), "a long, b long"), "star-bounded")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch, name: str, id_col: str,
@@ -227,7 +227,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
     doc_id = F.col(id_col).cast("long")
     source = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(
         F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)), F.lit(0)).alias("at"))
-    whole = source.mapInArrow(sets, "sid long, tokens binary")
+    whole = source.mapInArrow(tidy(sets), "sid long, tokens binary")
 
     def decide(batches):
         for batch in batches:
@@ -242,7 +242,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
 
     sided = (pairs.join(whole.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
              .join(whole.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b"))
-    return scratch.save(sided.select("a", "b", "ta", "tb").mapInArrow(decide, "u long, v long").distinct(), f"{name}-links")
+    return scratch.save(sided.select("a", "b", "ta", "tb").mapInArrow(tidy(decide), "u long, v long").distinct(), f"{name}-links")
 
 
 def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: int, scratch: Scratch,
@@ -300,7 +300,7 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(sid[i], sid[j])), pa.array(np.maximum(sid[i], sid[j]))], names=["a", "b"])
 
-    found = rows.repartition(tasks, "work").mapInArrow(search, "a long, b long")
+    found = rows.repartition(tasks, "work").mapInArrow(tidy(search), "a long, b long")
     return scratch.save(found.distinct(), "tree-pairs")
 
 

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quarry.llm.arrow import tidy
+
 SKETCH_BITS = 22
 SLOT_BITS = 12  # buckets of one row: 2 ** SLOT_BITS
 
@@ -27,7 +29,7 @@ class Counter:
     def add(self, hashes: np.ndarray) -> None:
         self.waiting.append(sketch_bucket(hashes))
         self.size += len(hashes)
-        if self.size > 1 << SKETCH_BITS:
+        if self.size > 1_000_000:
             self._count()
 
     def _count(self) -> None:
@@ -62,7 +64,7 @@ def rarity(rows: DataFrame) -> np.ndarray:
             {"slot": list(sums), "counts": [np.minimum(v, 0xFFFFFFFF).astype("<u4").tobytes() for v in sums.values()]},
             schema=pa.schema([("slot", pa.int32()), ("counts", pa.binary())]))
 
-    found = rows.select("slot", "counts", "bytes").repartition("slot").mapInArrow(add, "slot int, counts binary").collect()
+    found = rows.select("slot", "counts", "bytes").repartition("slot").mapInArrow(tidy(add), "slot int, counts binary").collect()
     out = np.zeros((1 << (SKETCH_BITS - SLOT_BITS), 1 << SLOT_BITS), dtype=np.uint32)
     for r in found:
         out[r["slot"]] = np.frombuffer(r["counts"], dtype="<u4")

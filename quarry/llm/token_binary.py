@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.arrow import tidy
 from quarry.llm.common import Scratch, table
 
 ROW_TOKENS = 2048
@@ -187,7 +188,7 @@ def packed_matrix(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", te
                     yield from flush()
         yield from flush()
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(pack, MATRIX)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(pack), MATRIX)
 
 
 def read_back(matrix: DataFrame, dtype: str = "<u2") -> DataFrame:
@@ -211,7 +212,7 @@ def read_back(matrix: DataFrame, dtype: str = "<u2") -> DataFrame:
                 [("doc_id", pa.int64()), ("task", pa.int32()), ("doc", pa.int64()), ("piece", pa.int32()),
                  ("resumes_at", pa.int64()), ("length", pa.int32()), ("matrix_row", pa.int64()), ("sha1", pa.binary())]))
 
-    return matrix.mapInArrow(segments, schema)
+    return matrix.mapInArrow(tidy(segments), schema)
 
 
 def write_matrix(docs: DataFrame, scratch: Scratch, vocabulary: bytes, **options) -> DataFrame:
