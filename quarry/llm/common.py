@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 import quarry
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.operators.materialize import scratch_table
 from quarry.sources.tables import read_table
 
 # White space is space and TAB..CR, words are runs of the rest.
@@ -44,13 +43,13 @@ def ship_package(spark: SparkSession) -> None:
 class Scratch:
     """Intermediate tables of one run in the shared checkpoint folder.
 
-    A saved table cuts the lineage and survives lost executors. ``drop``
-    removes those that no returned plan reads."""
+    A saved table cuts the lineage and survives lost executors. They go with
+    ``quarry.operators.materialize.release`` once the results have been read."""
 
     def __init__(self, spark: SparkSession, label: str):
         ship_package(spark)
         self.spark = spark
-        self.folder = scratch_path(spark, f"quarry-llm/{label}-{uuid.uuid4().hex}")
+        self.folder = scratch_table(spark, f"llm-{label}")
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -62,13 +61,6 @@ class Scratch:
     def load(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(conf).delete(path, True)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, name, list(columns) or None)
