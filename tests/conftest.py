@@ -11,4 +11,6 @@ def spark():
     from quarry.session import local_session
     s = local_session(cpus=4, shuffle_partitions=8, app="quarry-tests")
     yield s
+    from quarry.operators.materialize import release
+    release(s)
     s.stop()
