@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quarry.functions.address import (block_number, direction, sql_block_number, sql_direction,
-                                      sql_street_name, sql_street_type, street_name, street_type,
-                                      with_block_features)
+                                      sql_street_name, sql_street_type, street_name, street_type)
 from quarry.functions.calendar import (derive_calendar, derive_time_features, geo_grid,
                                        weekend_label)
 from quarry.functions.formatting import format_percent, ratio

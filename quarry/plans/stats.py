@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from quarry.operators.profile import LABELS, imbalance_analysis, imbalance_frame, profile_table
 from quarry.plans.bindings import INCIDENTS_SQL, with_sql
 from quarry.plans.preprocess import INJECT

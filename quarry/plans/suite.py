@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quarry.functions.address import sql_street_name, street_name
 from quarry.functions.calendar import is_weekend, weekend_label, year_range_filter

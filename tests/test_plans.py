@@ -1,9 +1,6 @@
 """Structural checks on physical plans: no Python UDF, pushdown reaches the
 scan, fact-level windows are range-partitioned."""
 
-import io
-from contextlib import redirect_stdout
-
 import pytest
 
 import __spark_entry__ as E
