@@ -31,10 +31,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every table written by this session; returns their number. Call
-    it when the frames returned so far have been consumed."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+def written(spark: SparkSession) -> list[str]:
+    """The paths that this session wrote and has not released."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the tables at ``paths`` (default: all that this session wrote);
+    returns their number. Call it when the frames that read them have been consumed."""
+    own = _written.setdefault(spark.sparkContext.applicationId, [])
+    paths = [p for p in own if paths is None or p in paths]
+    own[:] = [p for p in own if p not in paths]
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
