@@ -55,7 +55,7 @@ class Scratch:
         return f"{self.folder}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+        df.write.option("compression", "zstd").parquet(self.path(name))
         return self.load(name, df.schema)
 
     def load(self, name: str, schema) -> DataFrame:

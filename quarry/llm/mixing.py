@@ -193,17 +193,21 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     equal in id, source and text share their copies evenly."""
     scratch = Scratch(docs.sparkSession, "mixed")
     rows, plan = plan_mix(document_sizes(docs, scratch, id_col, source_col, text_col), scratch)
-    drawn = (draw(rows, plan).groupBy("doc_id", "source", "content").agg(F.count(F.lit(1)).alias("__all"))
-             .select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "content")], "__all"))
+    rows = rows.withColumn("equal", F.count(F.lit(1)).over(W.partitionBy("doc_id", "source", "content")))
+    drawn = (draw(rows, plan).groupBy("doc_id", "source", "content", "equal").agg(F.count(F.lit(1)).alias("__all"))
+             .select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "content", "equal")], "__all"))
+    drawn = scratch.save(drawn, "drawn")
     same = [F.col(id_col).eqNullSafe(F.col("__doc_id")), F.col(source_col).eqNullSafe(F.col("__source")),
             F.col("__here") == F.col("__content")]
     keys = W.partitionBy(F.col("__here"), F.col(id_col), F.col(source_col))
-    met = docs.withColumn("__here", F.xxhash64(F.col(text_col))).join(drawn, same)
-    nth = F.row_number().over(keys.orderBy(F.lit(0)))
-    n = F.count(F.lit(1)).over(keys)
+    texts = docs.withColumn("__here", F.xxhash64(F.col(text_col)))
+    alone = texts.join(drawn.where("__equal = 1"), same).withColumn("__copies", F.col("__all").cast("int"))
+    # rows that repeat are numbered among themselves; only their texts are moved again
+    nth, n = F.row_number().over(keys.orderBy(F.lit(0))), F.col("__equal")
     each = F.floor(F.col("__all") / n) + F.when(nth <= F.col("__all") % n, 1).otherwise(0)
-    return (met.withColumn("__copies", each.cast("int")).where("__copies > 0")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns))
+    repeated = texts.join(drawn.where("__equal > 1"), same).withColumn("__copies", each.cast("int"))
+    met = alone.unionByName(repeated).where("__copies > 0")
+    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 QUERIES = {"op3_mixing": op3_mixing}

@@ -44,7 +44,7 @@ from quarry.llm.arrow import tidy, utf8_slices
 from quarry.llm.common import Scratch, hash_filter, maybe_in, table
 from quarry.llm.components import components
 from quarry.llm.shingles import mix, shingle_set
-from quarry.llm.sketch import Counter, rarity, sketch_bucket
+from quarry.llm.sketch import Counter, rarity_classes, sketch_bucket
 
 WIDTH = 5
 PERCENT = 75
@@ -98,7 +98,7 @@ def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: in
                   id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """(gh, sid): sets that share a prefix token, a group per member list."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((counts, frequent))  # 4 MB and at most FREQUENT_SETS winners
+    shared = spark.sparkContext.broadcast((counts, frequent))  # a byte per sketch bucket and at most FREQUENT_SETS winners
     parts = 1 << max(4, min(20, (8 * tasks - 1).bit_length()))
     shift = np.uint64(64 - parts.bit_length() + 1)
 
@@ -310,7 +310,7 @@ def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id"
     and label (equal for linked rows, null without shingles)."""
     spark = docs.sparkSession
     pass1 = describe_sets(docs, scratch, id_col, text_col, width)
-    counts = rarity(pass1.where("slot is not null"))
+    counts = rarity_classes(pass1.where("slot is not null"))
     rows = pass1.where("slot is null")
     nodes = scratch.save(rows.where("n > 0").groupBy("sid", "n").agg(
         F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "nodes")

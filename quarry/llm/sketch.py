@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.arrow import tidy
 
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 SLOT_BITS = 12  # buckets of one row: 2 ** SLOT_BITS
 
 
@@ -34,7 +34,8 @@ class Counter:
 
     def _count(self) -> None:
         if self.waiting:
-            self.counts += np.bincount(np.concatenate(self.waiting), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            seen, times = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.counts[seen] += times.astype(np.uint32)
         self.waiting, self.size = [], 0
 
     def columns(self) -> tuple[list[int], list[bytes], list[int]]:
@@ -69,3 +70,9 @@ def rarity(rows: DataFrame) -> np.ndarray:
     for r in found:
         out[r["slot"]] = np.frombuffer(r["counts"], dtype="<u4")
     return out.reshape(-1)
+
+
+def rarity_classes(rows: DataFrame) -> np.ndarray:
+    """Class (0 to 63) of each bucket: half steps of log2 of its count, one byte
+    per bucket to broadcast."""
+    return np.minimum(63, 2 * np.log2(rarity(rows).astype(np.float32) + 1)).astype(np.uint8)
