@@ -11,13 +11,18 @@ The number of cells is fixed (tables x (2 * dimension)^axes), so the counts per
 cell are collected and plan the work: neighbouring cells share a block of about
 ``block_rows`` vectors, a cell larger than that is split over several blocks
 by a hash of the id. A task holds one block at a time and streams the queries
-that probe it, keeping the best ``k`` per query. Queries for which fewer than
-``k`` vectors are found are searched again over all cells of one table, which is
-exact.
-
-If the vectors differ in length, each gets a further coordinate that brings it
-to the largest length, so that the largest inner product is the nearest
-direction; with equal lengths that coordinate is 0 and left out.
+that probe it, keeping the best ``k`` per query.
+
+Cells hash directions only, so a vector's length does not move it. What a first
+search finds tells how far to go on: a vector among a query's best ``k`` has an
+inner product of at least the ``k``-th found, so the longer it is, the wider its
+angle may be. ``reach`` gives, for each place in a query's order of cells, the
+largest cosine of a pair whose cell may still lie there; it is measured on drawn
+pairs of the same hash functions, so it follows the number of cells. A second
+search takes every further cell whose longest vector could, at that cosine,
+reach the ``k``-th found. Where that means as many vectors as there are, or
+fewer than ``k`` were found, the query is compared with all cells of one table,
+which is exact.
 
 Defined results: vectors that are null, zero, hold null or non-finite
 components, or have another than the most frequent dimension take no part, nor
@@ -42,6 +47,8 @@ PROBES = 1500
 K = 20
 BLOCK_ROWS = 16_384
 SEED = 17
+FOUND = 0.98  # of the pairs at a cosine, those whose cell lies within its reach
+PAIRS = 400
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -58,20 +65,18 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 class CrossPolytope:
     """The hash functions for vectors of one dimension."""
 
-    def __init__(self, dim: int, longest: float, augment: bool, tables: int = TABLES, axes: int = AXES, seed: int = SEED):
-        self.dim, self.longest, self.augment = dim, longest, augment
-        self.tables, self.axes = tables, axes
-        self.width = 1 << max(1, (dim + augment - 1).bit_length())
+    def __init__(self, dim: int, tables: int = TABLES, axes: int = AXES, seed: int = SEED):
+        self.dim, self.tables, self.axes, self.seed = dim, tables, axes, seed
+        self.width = 1 << max(1, (dim - 1).bit_length())
         self.cells = (2 * self.width) ** axes
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, axes, 3, self.width))
 
-    def padded(self, x: np.ndarray, query: bool) -> np.ndarray:
+    def padded(self, x: np.ndarray) -> np.ndarray:
+        """Directions of the rows, filled up to the width."""
         out = np.zeros((len(x), self.width))
         # scaled by the largest component first, so that squares do not overflow
-        out[:, :self.dim] = x / self.longest if not query else x / np.abs(x).max(axis=1, keepdims=True)
-        if self.augment and not query:
-            out[:, self.dim] = np.sqrt(np.maximum(0, 1 - (out * out).sum(axis=1)))
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)
+        out[:, :self.dim] = x / np.abs(x).max(axis=1, keepdims=True)
+        return out / np.linalg.norm(out, axis=1, keepdims=True)
 
     def rotated(self, x: np.ndarray, table_: int, axis: int) -> np.ndarray:
         for s in self.signs[table_, axis]:
@@ -86,15 +91,53 @@ class CrossPolytope:
             cell = cell * 2 * self.width + 2 * at + (r[np.arange(len(x)), at] < 0)
         return cell
 
-    def probed(self, x: np.ndarray, table_: int, probes: int) -> np.ndarray:
-        """The ``probes`` best cells of each row, best first by sums of coordinates."""
+    def sums(self, x: np.ndarray, table_: int) -> np.ndarray:
+        """For each row, the sum of its rotated coordinates on each cell's axes."""
         total = np.zeros((len(x), 1))
         for a in range(self.axes):
             r = self.rotated(x, table_, a)
             signed = np.stack([r, -r], axis=2).reshape(len(x), 2 * self.width)
             total = (total[:, :, None] + signed[:, None, :]).reshape(len(x), -1)
+        return total
+
+    def probed(self, x: np.ndarray, table_: int, probes: int) -> np.ndarray:
+        """The ``probes`` best cells of each row by sums of coordinates."""
         probes = min(probes, self.cells)
-        return np.argpartition(-total, probes - 1, axis=1)[:, :probes]
+        return np.argpartition(-self.sums(x, table_), probes - 1, axis=1)[:, :probes]
+
+    def reach(self, found: float = FOUND, pairs: int = PAIRS) -> np.ndarray:
+        """For each place in the order of cells, the largest cosine at which
+        more than ``1 - found`` of the pairs have their cell there or later in
+        every table; -1 if there is none. Falls with the place."""
+        levels = np.linspace(-1, 1, 81)
+        rng = np.random.default_rng(self.seed)
+        q, u = self.padded(rng.normal(size=(pairs, self.dim))), self.padded(rng.normal(size=(pairs, self.dim)))
+        u -= (u * q).sum(axis=1, keepdims=True) * q
+        u /= np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)
+        best = np.full((pairs, len(levels)), self.cells)
+        rows = np.arange(pairs)
+        for t in range(self.tables):
+            own, parts = np.zeros((pairs, len(levels))), []
+            for a in range(self.axes):
+                rq, ru = self.rotated(q, t, a), self.rotated(u, t, a)
+                parts.append(np.concatenate([rq, -rq], axis=1))
+                for i, c in enumerate(levels):
+                    r = c * rq + np.sqrt(1 - c * c) * ru  # rotations are linear
+                    at = np.abs(r).argmax(axis=1)
+                    own[:, i] += np.where(r[rows, at] < 0, -1, 1) * rq[rows, at]
+            for p in range(pairs):
+                first = np.zeros(1)
+                for part in parts[:-1]:
+                    first = (first[:, None] + part[p][None, :]).reshape(-1)
+                last = np.sort(parts[-1][p])
+                above = len(last) - np.searchsorted(last, own[p][:, None] + 1e-9 - first[None, :], "right")
+                best[p] = np.minimum(best[p], above.sum(axis=1))
+        places = np.quantile(best, found, axis=0, method="higher")
+        places = np.maximum.accumulate(places[::-1])[::-1]  # a wider angle never needs fewer cells
+        out = np.full(self.cells, -1.0)
+        for c, place in zip([*levels[1:], 1.0], places):  # cosines up to the next level count as this one
+            out[:int(place) + 1] = np.maximum(out[:int(place) + 1], c)
+        return out
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -106,9 +149,8 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def usable_vectors(rows: DataFrame, scratch: Scratch, id_col: str, vector_col: str) -> tuple[DataFrame, int, float, float]:
-    """(id, vector as double array) of the rows that take part; their
-    dimension, smallest and largest length."""
+def usable_vectors(rows: DataFrame, scratch: Scratch, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """(id, vector as double array, norm) of the rows that take part; their dimension."""
     v = F.col("vector")
     real = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = (rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -119,8 +161,7 @@ def usable_vectors(rows: DataFrame, scratch: Scratch, id_col: str, vector_col: s
     norm = scale * F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale)))
     kept = scratch.save(good.where(F.size(v) == dim).groupBy("id").agg(F.min("vector").alias("vector"))
                         .withColumn("norm", norm), "vectors")
-    lengths = kept.agg(F.min("norm").alias("least"), F.max("norm").alias("most")).first()
-    return kept.select("id", "vector"), dim, lengths["least"] or 1.0, lengths["most"] or 1.0
+    return kept, dim
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -144,12 +185,38 @@ def plan_blocks(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.nda
     return first, number, block
 
 
-def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, counts: np.ndarray, tables: int,
-            probes: int, k: int, block_rows: int) -> DataFrame:
-    """(query_id, vec_ids, scores): the best ``k`` per query and block."""
-    spark = vectors.sparkSession
-    first, number, blocks = plan_blocks(counts[:tables], block_rows)
-    shared = spark.sparkContext.broadcast((hasher, first, number))  # two numbers per cell, a fixed number of cells
+def further_cells(h: CrossPolytope, unit: np.ndarray, floors: np.ndarray, counts: np.ndarray, longest: np.ndarray,
+                  reach: np.ndarray, probes: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each table (query positions, cells) that the first search left out
+    and that may hold one of a query's best: ``floors`` has each query's
+    ``k``-th score by its own length, nan if fewer were found."""
+    out, work = [], np.zeros(len(unit), dtype=np.int64)
+    for t in range(h.tables):
+        at, cells, known = [], [], np.flatnonzero(counts[t])
+        total = h.sums(unit, t)
+        for i in np.flatnonzero(~np.isnan(floors)):
+            place = h.cells - np.searchsorted(np.sort(total[i]), total[i, known], "right")
+            more = known[(place >= probes) & ~(reach[place] * longest[t, known] < floors[i])]
+            at.append(np.full(len(more), i))
+            cells.append(more)
+            work[i] += counts[t, more].sum()
+        out.append((np.concatenate(at), np.concatenate(cells)) if at else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    everything = np.isnan(floors) | (work >= counts[0].sum())  # one table has every vector once
+    out = [(q[~everything[q]], cell[~everything[q]]) for q, cell in out]
+    known, these = np.flatnonzero(counts[0]), np.flatnonzero(everything)
+    q, cell = out[0]
+    out[0] = np.append(q, np.repeat(these, len(known))), np.append(cell, np.tile(known, len(these)))
+    return out
+
+
+def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, counts: np.ndarray, probes: int, k: int,
+            block_rows: int, longest: np.ndarray | None = None, reach: np.ndarray | None = None) -> DataFrame:
+    """(query_id, vec_ids, scores): the best ``k`` per query and block, from the
+    ``probes`` best cells or, given ``reach``, from the further cells."""
+    spark, tables = vectors.sparkSession, hasher.tables
+    first, number, blocks = plan_blocks(counts, block_rows)
+    # a few numbers per cell, a fixed number of cells
+    shared = spark.sparkContext.broadcast((hasher, first, number, counts, longest, reach))
     schema = "block long, side int, id long, vector array<double>, cells array<int>"
     arrow = pa.schema([("block", pa.int64()), ("side", pa.int32()), ("id", pa.int64()),
                        ("vector", pa.list_(pa.float64())), ("cells", pa.list_(pa.int32()))])
@@ -162,10 +229,10 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
              pa.ListArray.from_arrays(starts, flat), cells], schema=arrow)
 
     def place_vectors(batches):
-        h, first, number = shared.value
+        h, first, number = shared.value[:3]
         for batch in batches:
             ids, matrix = batch.column(0).to_numpy(), _matrix(batch.column(1), h.dim)
-            unit = h.padded(matrix, query=False)
+            unit = h.padded(matrix)
             for t in range(tables):
                 cell = h.cell_of(unit, t)
                 block = first[t, cell] + (ids * 2654435761 % 2**31) % number[t, cell]
@@ -174,17 +241,24 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
                 yield as_rows(block, 0, ids, np.arange(len(ids)), matrix, ones)
 
     def place_queries(batches):
-        h, first, number = shared.value
+        h, first, number, counts, longest, reach = shared.value
+        step = max(1, min(128, 2**21 // h.cells))
         for batch in batches:
             all_ids, all_rows = batch.column(0).to_numpy(), _matrix(batch.column(1), h.dim)
-            for lo in range(0, len(all_ids), 128):
-                ids, matrix = all_ids[lo:lo + 128], all_rows[lo:lo + 128]
-                unit = h.padded(matrix, query=True)
+            for lo in range(0, len(all_ids), step):
+                ids, matrix = all_ids[lo:lo + step], all_rows[lo:lo + step]
+                unit = h.padded(matrix)
+                if reach is not None:
+                    floors = batch.column(2).to_numpy(zero_copy_only=False)[lo:lo + step]
+                    more = further_cells(h, unit, floors, counts, longest, reach, probes)
                 for t in range(tables):
-                    cells = h.probed(unit, t, probes)
-                    q, cell = np.repeat(np.arange(len(ids)), cells.shape[1]), cells.reshape(-1)
-                    some = counts_known[t][cell]
-                    q, cell = q[some], cell[some]
+                    if reach is not None:
+                        q, cell = more[t]
+                    else:
+                        cells = h.probed(unit, t, probes)
+                        q, cell = np.repeat(np.arange(len(ids)), cells.shape[1]), cells.reshape(-1)
+                        some = counts[t][cell] > 0
+                        q, cell = q[some], cell[some]
                     times = number[t, cell]
                     block = np.repeat(first[t, cell], times) + (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
                     q, cell = np.repeat(q, times), np.repeat(cell, times)
@@ -197,7 +271,6 @@ def _search(vectors: DataFrame, queries: DataFrame, hasher: CrossPolytope, count
                                                      pa.array(cell.astype(np.int32)))
                     yield as_rows(block[cut], 1, ids, q[cut], matrix, lists)
 
-    counts_known = counts[:tables] > 0
     dim = hasher.dim
 
     def score(batches):
@@ -252,36 +325,47 @@ def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     holds: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
     scratch = Scratch(spark, "neighbours")
-    vectors, dim, least, most = usable_vectors(rows, scratch, id_col, vector_col)
-    hasher = CrossPolytope(dim, most, most > least * (1 + 1e-3), tables, axes, seed)
+    kept, dim = usable_vectors(rows, scratch, id_col, vector_col)
+    vectors = kept.select("id", "vector")
+    hasher = CrossPolytope(dim, tables, axes, seed)
     shared = spark.sparkContext.broadcast(hasher)
 
     def count(batches):
         h = shared.value
-        sums = np.zeros((h.tables, h.cells), dtype=np.int64)
+        sums, most = np.zeros((h.tables, h.cells), dtype=np.int64), np.zeros((h.tables, h.cells))
         for batch in batches:
-            unit = h.padded(_matrix(batch.column(1), h.dim), query=False)
+            unit, norm = h.padded(_matrix(batch.column(1), h.dim)), batch.column(2).to_numpy()
             for t in range(h.tables):
-                sums[t] += np.bincount(h.cell_of(unit, t), minlength=h.cells)
+                cell = h.cell_of(unit, t)
+                sums[t] += np.bincount(cell, minlength=h.cells)
+                np.maximum.at(most[t], cell, norm)
         t, cell = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(sums[t, cell])],
-                                         names=["t", "cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(sums[t, cell]),
+                                          pa.array(most[t, cell])], names=["t", "cell", "n", "most"])
 
-    counts = np.zeros((tables, hasher.cells), dtype=np.int64)
-    found = (vectors.mapInArrow(tidy(count), "t int, cell int, n long").groupBy("t", "cell").agg(F.sum("n").alias("n"))
-             .groupBy("t").agg(F.collect_list(F.struct("cell", "n")).alias("all")).collect())
+    counts, longest = np.zeros((tables, hasher.cells), dtype=np.int64), np.zeros((tables, hasher.cells))
+    found = (kept.select("id", "vector", "norm").mapInArrow(tidy(count), "t int, cell int, n long, most double")
+             .groupBy("t", "cell").agg(F.sum("n").alias("n"), F.max("most").alias("most"))
+             .groupBy("t").agg(F.collect_list(F.struct("cell", "n", "most")).alias("all")).collect())
     for r in found:  # a fixed number of cells per table
         for c in r["all"]:
-            counts[r["t"], c["cell"]] = c["n"]
-    queries = vectors.where(is_query)
-    merged = scratch.save(_top(_search(vectors, queries, hasher, counts, tables, probes, k, block_rows), k), "found")
+            counts[r["t"], c["cell"]], longest[r["t"], c["cell"]] = c["n"], c["most"]
+    queries = kept.where(is_query)
+    merged = scratch.save(_top(_search(vectors, queries.select("id", "vector"), hasher, counts, probes, k, block_rows), k), "found")
     want = min(k, int(counts[0].sum()) - 1)
-    enough = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= want)
-    short = scratch.save(queries.join(enough, queries.id == enough.query_id, "left_anti"), "short")
-    if want <= 0 or short.isEmpty():
+    if want <= 0 or probes >= hasher.cells:
+        return merged
+    # the k-th score found by the query's own length: what a vector's length times the cosine must reach
+    last = merged.where(F.col("rank") == want).select(F.col("query_id").alias("id"), F.col("score").alias("last"))
+    reach = hasher.reach()
+    floors = queries.join(last, "id", "left").select(
+        "id", "vector", F.coalesce(F.col("last") / F.col("norm"), F.lit(float("nan"))).alias("floor"))
+    more = scratch.save(floors.where(F.isnan("floor") | (F.col("floor") <= float(reach[probes] * longest.max()))), "more")
+    if more.isEmpty():
         return merged
-    again = _top(_search(vectors, short, hasher, counts, 1, hasher.cells, k, block_rows), k)
-    return merged.join(enough, "query_id", "left_semi").select(*again.columns).unionByName(again)
+    again = _search(vectors, more, hasher, counts, probes, k, block_rows, longest, reach)
+    lists = merged.groupBy("query_id").agg(F.collect_list("vec_id").alias("vec_ids"), F.collect_list("score").alias("scores"))
+    return _top(lists.unionByName(again), k)
 
 
 _FOUND = "query_id long, vec_ids array<long>, scores array<double>"

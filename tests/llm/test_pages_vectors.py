@@ -175,3 +175,31 @@ def test_hot_cell_is_split(spark):
     scores[0] = -np.inf
     want = np.lexsort((np.arange(len(rows)), -scores))[:5].tolist()
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == want
+
+
+def unequal(name, n=2000):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, 100 if name == "width" else 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if name == "outlier":
+        x[7] *= 2
+    elif name == "few":
+        x[rng.permutation(n)[:4]] *= 3
+    else:
+        x *= rng.uniform(*((0.99, 1.01) if name == "close" else (0.5, 2)), size=(n, 1))
+    return x
+
+
+@pytest.mark.parametrize("name", ["close", "outlier", "few", "spread", "width"])
+def test_recall_at_unequal_lengths(spark, name):
+    x = unequal(name)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(df, F.col("id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, len(x), 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits.append(len(set(np.argsort(-scores)[:20].tolist()) & got[q]) / 20)
+    assert np.mean(hits) >= 0.9
