@@ -7,7 +7,10 @@
    lays the source out as a line that repeats once per epoch; a source takes
    the documents that lie wholly before its target; then, one at a time, the
    document whose size comes closest to the words still missing is added, or to
-   those too many left out. Running counts are taken inside
+   those too many left out. A source that single documents have not closed after
+   ``fill_rounds`` goes on in passes over all rows: documents that fit the gap,
+   one after another in hash order, then the closest single one, until no
+   document brings it nearer. Running counts are taken inside
    hash slices of bounded size plus the slices' prefix sums, so a hot source is
    spread over many tasks.
 3. The line is cut into blocks of words. From the exact block quotas of the
@@ -27,7 +30,7 @@ agree. Only id, source and text are read.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -119,14 +122,7 @@ def plan_mix(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share
         [tuple(p[k] for k in ("index", "source", "source_size", "target", "full", "rest", "slices")) for p in plan],
         "index int, source_name string, source_size long, target double, full int, rest double, slices long")
     rows = sizes.join(F.broadcast(known), sizes.source.eqNullSafe(known.source_name)).drop("source_name")
-    rows = rows.withColumn("slice", F.shiftright(F.shiftright("h", 29) * F.col("slices"), 31))
-    order = W.partitionBy("index").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    before = (rows.groupBy("index", "slice").agg(F.sum("size").alias("words"))
-              .select("index", "slice", F.coalesce(F.sum("words").over(order), F.lit(0)).alias("slice_at")))
-    within = W.partitionBy("index", "slice").orderBy("h", "doc_id", "row").rowsBetween(W.unboundedPreceding, -1)
-    placed = scratch.save(
-        rows.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(before, ["index", "slice"])
-        .withColumn("start", F.col("slice_at") + F.col("inside")).drop("inside", "slice_at", "slice", "slices"), "placed")
+    placed = scratch.save(_running(rows, F.col("size"), "start").drop("slices"), "placed")
     inside = (F.col("start") + F.col("size") <= F.col("rest")) & (F.col("size") > 0)
     taken = {r["index"]: r["words"] for r in
              placed.where(inside).groupBy("index").agg(F.sum("size").alias("words")).collect()}
@@ -134,23 +130,75 @@ def plan_mix(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share
     # documents added or left out again to close the gaps: at most one per source and round
     turned: list[tuple[int, int]] = []
     chosen = placed.where("size > 0").withColumn("inside", inside)
-    for _ in range(fill_rounds):
-        need = spark.createDataFrame([(i, float(g)) for i, g in gap.items() if g] or [(-1, 0.0)], "index int, gap double")
-        off = F.abs(F.col("size") - F.abs("gap"))
-        near = (chosen.join(F.broadcast(need), "index").where((F.col("inside") == (F.col("gap") < 0)) & (off < F.abs("gap")))
-                .groupBy("index").agg(F.min(F.struct(off.alias("off"), "h", "doc_id", "row", "size")).alias("m")).collect())
-        if not near:
-            break
-        for r in near:
-            turned.append((r["index"], r["m"]["row"]))
-            gap[r["index"]] -= r["m"]["size"] * (1 if gap[r["index"]] > 0 else -1)
+    near, rounds = _closest(chosen, gap), 0
+    while near and rounds < fill_rounds:
+        turned += _take(near, gap)
         chosen = _turned(placed.where("size > 0").withColumn("inside", inside), turned)
-    out = _turned(placed.withColumn("inside", inside), turned).withColumn(
-        "copies", F.when(F.col("size") > 0, F.col("full") + F.col("inside").cast("int")).otherwise(0))
+        near, rounds = _closest(chosen, gap), rounds + 1
+    out = _turned(placed.withColumn("inside", inside), turned)
+    if near:
+        out = _close(out, gap, plan, scratch)
+    out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("full") + F.col("inside").cast("int")).otherwise(0))
     out = out.drop("inside", "full", "rest")
     return out, plan
 
 
+def _running(rows: DataFrame, words: Column, name: str) -> DataFrame:
+    """Add column ``name``: the sum of ``words`` over the source's rows before
+    this one in hash order; ``slices`` has the number of the source's slices."""
+    rows = rows.withColumn("slice", F.shiftright(F.shiftright("h", 29) * F.col("slices"), 31))
+    order = W.partitionBy("index").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    before = (rows.groupBy("index", "slice").agg(F.sum(words).alias("words"))
+              .select("index", "slice", F.coalesce(F.sum("words").over(order), F.lit(0)).alias("slice_at")))
+    within = W.partitionBy("index", "slice").orderBy("h", "doc_id", "row").rowsBetween(W.unboundedPreceding, -1)
+    return (rows.withColumn("within", F.coalesce(F.sum(words).over(within), F.lit(0))).join(before, ["index", "slice"])
+            .withColumn(name, F.col("slice_at") + F.col("within")).drop("within", "slice_at", "slice"))
+
+
+def _gaps(spark: SparkSession, gap: dict[int, float]) -> DataFrame:
+    return spark.createDataFrame([(i, float(g)) for i, g in gap.items() if g] or [(-1, 0.0)], "index int, gap double")
+
+
+def _closest(rows: DataFrame, gap: dict[int, float]) -> list:
+    """For each source, the document that brings it nearest to its target when
+    added or left out again, if any does."""
+    off = F.abs(F.col("size") - F.abs("gap"))
+    return (rows.where("size > 0").join(F.broadcast(_gaps(rows.sparkSession, gap)), "index")
+            .where((F.col("inside") == (F.col("gap") < 0)) & (off < F.abs("gap")))
+            .groupBy("index").agg(F.min(F.struct(off.alias("off"), "h", "doc_id", "row", "size")).alias("m")).collect())
+
+
+def _take(near: list, gap: dict[int, float]) -> list[tuple[int, int]]:
+    """Count the documents found into ``gap``; their (index, row)."""
+    for r in near:
+        gap[r["index"]] -= r["m"]["size"] * (1 if gap[r["index"]] > 0 else -1)
+    return [(r["index"], r["m"]["row"]) for r in near]
+
+
+def _close(rows: DataFrame, gap: dict[int, float], plan: list[dict], scratch: Scratch) -> DataFrame:
+    """Go on until no document brings a source nearer to its target. A pass
+    adds, or leaves out, all documents that fit the gap one after another in
+    hash order, then the closest single one."""
+    spark = rows.sparkSession
+    slices = spark.createDataFrame([(p["index"], p["slices"]) for p in plan], "index int, slices long")
+    step = 0
+    while near := _closest(rows, gap):
+        open_ = {r["index"] for r in near}
+        need = _gaps(spark, {i: g for i, g in gap.items() if i in open_})
+        fits = (F.col("size") > 0) & (F.col("inside") == (F.col("gap") < 0)) & (F.col("size") <= F.abs("gap"))
+        met = rows.join(F.broadcast(need), "index", "left").withColumn("fits", F.coalesce(fits, F.lit(False)))
+        met = _running(met.join(F.broadcast(slices), "index"), F.when(F.col("fits"), F.col("size")).otherwise(0), "at")
+        turn = F.col("fits") & (F.col("at") + F.col("size") <= F.abs("gap"))
+        rows = scratch.save(met.withColumn("turn", F.coalesce(turn, F.lit(False)))
+                            .withColumn("inside", F.col("inside") != F.col("turn")).drop("gap", "fits", "at", "slices", "turn"),
+                            f"closed{step}")
+        taken = {r["index"]: r["words"] for r in rows.where("inside").groupBy("index").agg(F.sum("size").alias("words")).collect()}
+        gap.update({p["index"]: p["rest"] - taken.get(p["index"], 0) for p in plan if p["index"] in open_})
+        rows = _turned(rows, _take(_closest(rows, gap), gap))
+        step += 1
+    return rows
+
+
 def _turned(rows: DataFrame, turned: list[tuple[int, int]]) -> DataFrame:
     """Switch ``inside`` once for each time that a row is listed."""
     times = [(*k, sum(t == k for t in turned)) for k in set(turned)] or [(-1, -1, 0)]

@@ -119,6 +119,28 @@ def test_copies_are_drawn_once(spark):
     assert len(words) == 5 and max(words) < 2 * min(words)
 
 
+def long_and_short(spark):
+    """Sources of 2,000 short documents and three very long ones, which leave
+    gaps of hundreds of documents."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for s in range(12):
+        sizes = [*rng.integers(50, 401, 2000).tolist(), 150_000, 150_000, 150_000]
+        rows += [(s * 10_000 + i, f"s{s:02}", n) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n int")
+    return docs.select("doc_id", "source", F.expr("trim(repeat('w ', n))").alias("text"))
+
+
+def test_gaps_of_long_documents_are_closed(spark):
+    sizes = mixing.document_sizes(long_and_short(spark), Scratch(spark, "t"))
+    rows, plan = mixing.plan_mix(sizes, Scratch(spark, "t"))
+    got = {r["index"]: r for r in rows.groupBy("index").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("copies").alias("most"), F.count(F.lit(1)).alias("n")).collect()}
+    off = {p["index"]: abs(got[p["index"]].taken - p["target"]) / p["target"] for p in plan}
+    assert len(got) == 12 and all(r.n == 2003 and r.most <= 2 for r in got.values())
+    assert max(off.values()) < 0.01, off
+
+
 def test_mix_of_odd_rows(spark, odd_docs, no_docs):
     out = mixing.mixed_documents(odd_docs)
     assert out.columns == odd_docs.columns
