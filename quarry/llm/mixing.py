@@ -13,14 +13,14 @@
    document brings it nearer. Running counts are taken inside
    hash slices of bounded size plus the slices' prefix sums, so a hot source is
    spread over many tasks.
-3. The line is cut into blocks of words. From the exact block quotas of the
-   sources a splitting tree draws, by multivariate hypergeometric sampling,
+3. The line is cut into blocks of words; those that hold a copy are counted.
+   From these block quotas of the sources a splitting tree draws, by multivariate hypergeometric sampling,
    how many blocks of each source go to the left half of the output shards,
    and so on down to single shards. Each shard then gets disjoint blocks of a
    permutation of the source's blocks and orders its copies by a keyed hash.
 
-Only one row per source and at most ``max_blocks`` block numbers pass through
-the driver. Defined results: null text has size 0 and is never taken; a null
+Only one row per source and the numbers of the blocks that hold copies (about
+5/3 of ``max_blocks`` at most) pass through the driver. Defined results: null text has size 0 and is never taken; a null
 source is a source of its own, last in order; repeated rows are separate
 documents; a source without words has target 0; an empty table gives an empty
 result. Every choice is a function of ids, sources and the seed, so reruns
@@ -212,15 +212,18 @@ def draw(rows: DataFrame, plan: list[dict], shards: int | None = None, block_wor
     """One row per copy: the plan's rows with ``copy``, ``shard`` and ``shard_order``."""
     total = sum(p["target"] for p in plan)
     width = max(block_words, -(-int(total + 1) // max_blocks))
-    # a copy that only fills the last gap may start beyond the target, never beyond its epoch
-    quotas = [(p["full"] + 1) * p["source_size"] // width + 1 for p in plan]
     shards = shards or max(1, round(total / shard_words))
-    dealt = rows.sparkSession.createDataFrame(
-        deal_blocks(quotas, shards, seed) or [(-1, 0, 0)], "index int, block long, shard int")
     copies = rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     copies = copies.withColumn("block", F.floor(
         ((F.col("copy") - 1) * F.col("source_size") + F.col("start")) / width).cast("long"))
-    # at most max_blocks plus a few rows per source
+    # only blocks that hold copies are dealt: at most about 5/3 of max_blocks and a few per source
+    held: list[list[int]] = [[] for _ in plan]
+    for r in copies.select("index", "block").distinct().collect():
+        held[r["index"]].append(r["block"])
+    held = [sorted(h) for h in held]
+    dealt = rows.sparkSession.createDataFrame(
+        [(i, held[i][b], d) for i, b, d in deal_blocks([len(h) for h in held], shards, seed)] or [(-1, 0, 0)],
+        "index int, block long, shard int")
     return (copies.join(F.broadcast(dealt), ["index", "block"])
             .withColumn("shard_order", F.xxhash64(F.lit(seed), "shard", "h", "row", "copy")).drop("block"))
 

@@ -141,6 +141,20 @@ def test_gaps_of_long_documents_are_closed(spark):
     assert max(off.values()) < 0.01, off
 
 
+def test_only_blocks_with_copies_are_dealt(spark):
+    # source b takes a tenth of its line, the blocks of the rest hold nothing
+    rows = [(i, "a", 50) for i in range(400)] + [(1000 + i, "b", 50) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").selectExpr(
+        "int(source = 'b') AS index", "if(source = 'b', 200000L, 20000L) AS source_size", "size", "doc_id AS h", "doc_id AS row",
+        "doc_id % 1000 * 50 + if(source = 'b', floor((doc_id - 1000) / 1000) * 50000, 0) AS start",
+        "if(source = 'b', int(doc_id < 1400), 1) AS copies")
+    plan = [{"target": 20_000.0, "full": 1, "source_size": 20_000}, {"target": 20_000.0, "full": 0, "source_size": 200_000}]
+    drawn = mixing.draw(df, plan, shards=8, block_words=100)
+    assert drawn.count() == 800
+    words = [r.w for r in drawn.groupBy("shard").agg(F.sum("size").alias("w")).collect()]
+    assert words == [5000] * 8  # 400 equal blocks over 8 shards
+
+
 def test_mix_of_odd_rows(spark, odd_docs, no_docs):
     out = mixing.mixed_documents(odd_docs)
     assert out.columns == odd_docs.columns
