@@ -15,6 +15,7 @@ MODULES = [
     "quarry.llm.token_binary",
     "quarry.llm.ngram_join",
     "quarry.llm.neighbours",
+    "quarry.llm.conversations",
     "quarry.llm.hard_negatives",
     "quarry.llm.simhash",
 ]

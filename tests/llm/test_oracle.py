@@ -17,5 +17,5 @@ def test_query(spark, key):
     assert r["status"] in ("ok", "rows-only") and r["rows"], r
 
 
-def test_ten_operators():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
