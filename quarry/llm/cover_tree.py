@@ -15,7 +15,6 @@ skip nodes; what is found is scored exactly in integers.
 
 from __future__ import annotations
 
-import heapq
 import io
 
 import numpy as np
@@ -36,14 +35,11 @@ def angle(radius, most: float):
     return 2 * np.arcsin(np.minimum(1, radius / (2 * most))) if most else np.zeros_like(radius)
 
 
-def inner_bounds(query: np.ndarray, norm: float, centres: np.ndarray, angles: np.ndarray, most: float):
-    """(least, largest) inner product that vectors within ``angles`` of the
-    ``centres`` may have with a query, widened by the error of the arithmetic."""
-    scale = norm * most
-    if not scale:
-        zero = np.zeros(len(centres))
-        return zero, zero
-    off = np.arccos(np.clip(centres[:, :-1] @ query / scale, -1, 1))
+def inner_bounds(queries: np.ndarray, norms: np.ndarray, centres: np.ndarray, angles: np.ndarray, most: float):
+    """(least, largest) inner product that vectors within ``angles`` of each of the
+    ``centres`` may have with each query, widened by the error of the arithmetic."""
+    scale = norms[:, None] * most
+    off = np.arccos(np.clip(queries @ centres.T / np.maximum(scale, 1e-300), -1, 1))
     slack = 1e-7 * scale + 1e-6
     return scale * np.cos(np.minimum(np.pi, off + angles)) - slack, scale * np.cos(np.maximum(0, off - angles)) + slack
 
@@ -132,62 +128,88 @@ class CoverTree:
         with np.load(io.BytesIO(data)) as arrays:
             return cls(**{name: arrays[name] for name in cls.ARRAYS})
 
-    def search(self, query: np.ndarray, label: int, same: bool, lows: list[int], highs: list[int], floors: list[int],
-               k: int) -> list[list[tuple]]:
-        """For each window (low, high) the first ``k`` of the vectors with (or,
-        if not ``same``, without) the label whose inner product lies in it and is
-        not below its floor, as (-score, no id, id, row), the best first."""
-        real = query.astype(np.float64)
-        norm = float(np.sqrt((real * real).sum()))
-        best: list[list[tuple]] = [[] for _ in lows]
-        need = [max(low, floor) for low, floor in zip(lows, floors)]  # what a vector must reach
+    def search(self, queries: np.ndarray, labels: np.ndarray, same: bool, lows: list[list[int]], highs: list[list[int]],
+               floors: list[list[int]], k: int) -> list[list[list[tuple]]]:
+        """For each of the ``queries`` (rows of a matrix) and each of its windows (low,
+        high) the first ``k`` of the vectors with (or, if not ``same``, without) the
+        query's label whose inner product lies in the window and is not below its
+        floor, as (-score, no id, id, row), the best first.
+
+        The queries descend together, each best first by its own bounds: it opens its
+        best node, then its two best, then four, so that a query leaves few nodes open
+        that a strict order would not, and nodes and leaves are met by many queries at a time."""
+        n, most = len(queries), max(map(len, lows))
+        real = queries.astype(np.float64)
+        norms = np.sqrt((real * real).sum(axis=1))
+        need, high = np.full((n, most), np.inf), np.full((n, most), -np.inf)  # what a score must reach, and may be
+        exact_need, exact_high = np.ones((n, most), dtype=np.int64), np.zeros((n, most), dtype=np.int64)
+        for i in range(n):
+            for w, (lo, hi, floor) in enumerate(zip(lows[i], highs[i], floors[i])):
+                exact_need[i, w], exact_high[i, w] = max(lo, floor), hi
+                need[i, w], high[i, w] = max(lo, floor), hi
+        least, largest = self._bounds(real, norms)
         # floats hold every partial sum of such an inner product exactly
-        exact = norm * self.most < EXACT
-
-        def bounds(nodes):
-            return inner_bounds(real, norm, self.points[self.centres[nodes]], self.angles[nodes], self.most)
-
-        def open_to(least, largest) -> bool:
-            return any(n <= largest and h >= least for n, h in zip(need, highs))
-
-        def visit(node: int) -> None:
-            a, b = int(self.lo[node]), int(self.hi[node])
-            scores = (self.plain[a:b] @ real).astype(np.int64) if exact else self.vectors[a:b] @ query
-            fits = (self.labels[a:b] == label) == same
-            for w, high in enumerate(highs):
-                at = np.flatnonzero(fits & (scores >= need[w]) & (scores <= high))
-                if not len(at):
+        exact = norms.max() * self.most < EXACT
+        held = self.labels[self.lo]
+        admitted = ~self.only[None, :] | ((held[None, :] == labels[:, None]) == same)  # labels leave something to find
+        agenda = np.zeros(largest.shape, dtype=bool)
+        agenda[:, 0] = True
+        window, score, vector = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        width = 1
+        while True:
+            opens = np.zeros(agenda.shape, dtype=bool)
+            for w in range(most):
+                opens |= (need[:, w, None] <= largest) & (high[:, w, None] >= least)
+            agenda &= opens & admitted
+            if not agenda.any():
+                break
+            best = np.where(agenda, largest, -np.inf)
+            if width < best.shape[1]:
+                cut = -np.partition(-best, width - 1, axis=1)[:, width - 1]
+                chosen = agenda & (best >= cut[:, None])
+            else:
+                chosen = agenda.copy()
+            agenda &= ~chosen
+            found = []
+            for node in np.flatnonzero(chosen.any(axis=0)):
+                who = np.flatnonzero(chosen[:, node])
+                if self.size[node]:
+                    agenda[who[:, None], np.arange(self.first[node], self.first[node] + self.size[node])[None, :]] = True
                     continue
-                if len(at) > k:  # every vector has an id, so the k-th score bounds what can count
-                    at = at[scores[at] >= np.partition(scores[at], len(at) - k)[len(at) - k]]
-                found = best[w]
-                for i in at.tolist():
-                    s = -int(scores[i])
-                    for j in range(self.at[a + i], min(self.at[a + i + 1], self.at[a + i] + k)):
-                        found.append((s, bool(self.no_id[j]), int(self.ids[j]), int(self.rows[j])))
-                found.sort()
-                del found[k:]
-                if len(found) == k:
-                    need[w] = max(need[w], -found[-1][0])
-
-        def admitted(node) -> bool:
-            """Whether labels leave anything to find."""
-            return not self.only[node] or (self.labels[self.lo[node]] == label) == same
-
-        least, largest = bounds(np.array([0]))
-        agenda = [(-largest[0], 0, least[0])]
-        while agenda:
-            top, node, low = heapq.heappop(agenda)
-            if not any(n <= -top for n in need):
-                break  # nothing that waits can reach a window's floor
-            if not open_to(low, -top) or not admitted(node):
-                continue
-            if not self.size[node]:
-                visit(node)
+                a, b = int(self.lo[node]), int(self.hi[node])
+                scores = (real[who] @ self.plain[a:b].T).astype(np.int64) if exact else queries[who] @ self.vectors[a:b].T
+                fits = (self.labels[None, a:b] == labels[who, None]) == same
+                fits &= (scores >= exact_need[who].min(axis=1, where=need[who] < np.inf, initial=np.iinfo(np.int64).max)[:, None])
+                fits &= scores <= exact_high[who].max(axis=1, where=high[who] > -np.inf, initial=np.iinfo(np.int64).min)[:, None]
+                i, j = np.nonzero(fits)
+                found.append((who[i], scores[i, j], a + j))
+            width *= 2
+            if not found:
                 continue
-            children = np.arange(self.first[node], self.first[node] + self.size[node])
-            least, largest = bounds(children)
-            for child, x, y in zip(children.tolist(), least.tolist(), largest.tolist()):
-                if open_to(x, y):
-                    heapq.heappush(agenda, (-y, child, x))
-        return best
+            q, s, v = (np.concatenate(x) for x in zip(*found))
+            # hits by window, with what was found before
+            parts = [(window, score, vector)]
+            for w in range(most):
+                ok = (s >= exact_need[q, w]) & (s <= exact_high[q, w])
+                parts.append((q[ok] * most + w, s[ok], v[ok]))
+            window, score, vector = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((-score, window))
+            window, score, vector = window[order], score[order], vector[order]
+            start = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(window) else np.zeros(0, np.int64)
+            full = start[np.diff(np.append(start, len(window))) >= k]
+            # every vector has an id, so the k-th score bounds what can still count
+            at = window[full]
+            exact_need[at // most, at % most] = score[full + k - 1]
+            need[at // most, at % most] = score[full + k - 1]
+            keep = score >= exact_need[window // most, window % most]
+            window, score, vector = window[keep], score[keep], vector[keep]
+        out: list[list[list[tuple]]] = [[[] for _ in own] for own in lows]
+        for w, s, v in zip(window.tolist(), score.tolist(), vector.tolist()):
+            a = int(self.at[v])
+            out[w // most][w % most].extend((-s, bool(self.no_id[j]), int(self.ids[j]), int(self.rows[j]))
+                                            for j in range(a, min(int(self.at[v + 1]), a + k)))
+        return [[sorted(found)[:k] for found in own] for own in out]
+
+    def _bounds(self, real: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least, largest) inner product of each query with each node's vectors."""
+        return inner_bounds(real, norms, self.plain[self.centres], self.angles, self.most)

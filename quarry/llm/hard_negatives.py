@@ -51,6 +51,7 @@ LOW, HIGH = 50, 95  # percent of the positive's score
 SAMPLE = 4096
 CELLS = 512
 BLOCK_ROWS = 4096
+QUERIES_AT_ONCE = 256
 LONGEST = 2.0 ** 31
 LEAST, MOST = -(1 << 62) - 1, (1 << 62) + 1  # beyond any score
 
@@ -104,9 +105,9 @@ class Cells:
         self.pieces = -(-counts // block_rows)
         self.first = np.cumsum(self.pieces) - self.pieces
 
-    def bounds(self, query: np.ndarray):
-        real = query.astype(np.float64)
-        return inner_bounds(real, float(np.sqrt((real * real).sum())), self.centres, self.angles, self.most)
+    def bounds(self, queries: np.ndarray):
+        real = queries.astype(np.float64)
+        return inner_bounds(real, np.sqrt((real * real).sum(axis=1)), self.centres[:, :-1], self.angles, self.most)
 
 
 def plant(nodes: DataFrame, dim: int, scratch: Scratch, block_rows: int, cells: int, sample: int) -> tuple[DataFrame, Cells]:
@@ -172,10 +173,6 @@ def plant(nodes: DataFrame, dim: int, scratch: Scratch, block_rows: int, cells:
     return scratch.save(grown, f"trees-{dim}"), top
 
 
-def _windows(row) -> list[tuple[int, int, int]]:
-    return list(zip(row["lows"], row["highs"], row["floors"]))
-
-
 def visit(trees: DataFrame, queries: DataFrame, top: Cells, dim: int, same: bool, k: int, first: bool) -> DataFrame:
     """What the queries find in the block with the largest bound (``first``), or in
     all other blocks that their bounds leave."""
@@ -189,46 +186,56 @@ def visit(trees: DataFrame, queries: DataFrame, top: Cells, dim: int, same: bool
     def place(batches):
         c = shared.value
         for batch in batches:
-            vecs = _matrix(batch.column("vec"), dim)
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                least, largest = c.bounds(vecs[i])
-                home = int(largest.argmax())
-                own = int(c.first[home] + row.column("q")[0].as_py() % int(c.pieces[home]))
-                if first:
-                    blocks = [own]
-                else:
-                    windows = _windows(row.to_pylist()[0])
-                    goes = [any(max(lo, fl) <= y and hi >= x for lo, hi, fl in windows) for x, y in zip(least, largest)]
-                    blocks = [b for cell in np.flatnonzero(goes)
-                              for b in range(int(c.first[cell]), int(c.first[cell] + c.pieces[cell])) if b != own]
-                at = pa.array(np.zeros(len(blocks), dtype=np.int64))
+            if not batch.num_rows:
+                continue
+            least, largest = c.bounds(_matrix(batch.column("vec"), dim))
+            home = largest.argmax(axis=1)
+            own = c.first[home] + batch.column("q").to_numpy() % c.pieces[home]
+            if first:
+                at, blocks = np.arange(batch.num_rows), own
+            else:
+                goes = np.zeros(least.shape, dtype=bool)
+                for i, (lows, highs, floors) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("lows", "highs", "floors")))):
+                    for lo, hi, floor in zip(lows, highs, floors):
+                        goes[i] |= (max(lo, floor) <= largest[i]) & (hi >= least[i])
+                at, cell = np.nonzero(goes)
+                many = c.pieces[cell]
+                at, cell = np.repeat(at, many), np.repeat(cell, many)
+                blocks = c.first[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(many) - many, many)
+                other = blocks != own[at]
+                at, blocks = at[other], blocks[other]
+            for i in range(0, len(at), 1024):  # queries are copied for each block that they visit
+                some = pa.array(at[i:i + 1024])
+                n = len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks, pa.int64()), pa.array([1] * len(blocks), pa.int32()),
-                     pa.array([None] * len(blocks), pa.binary()),
-                     *[row.column(n).take(at) for n in ("q", "label", "vec", "lows", "highs", "floors")]], schema=arrow)
+                    [pa.array(blocks[i:i + n], pa.int64()), pa.array(np.ones(n, dtype=np.int32)), pa.nulls(n, pa.binary()),
+                     *[batch.column(x).take(some) for x in ("q", "label", "vec", "lows", "highs", "floors")]], schema=arrow)
 
     def search(batches):
         """Rows come ordered by block, the tree before the queries."""
         tree, here = None, None
         for batch in batches:
-            out = []
-            sides, blocks = batch.column("side").to_pylist(), batch.column("block").to_pylist()
-            for i, (side, block) in enumerate(zip(sides, blocks)):
-                if side == 0:
-                    tree, here = CoverTree.from_bytes(batch.column("tree")[i].as_py()), block
+            block, side = batch.column("block").to_numpy(), batch.column("side").to_numpy()
+            cut = np.flatnonzero((block[1:] != block[:-1]) | (side[1:] != side[:-1])) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(block)]):
+                if a == b:
                     continue
-                if block != here:
-                    raise RuntimeError(f"no tree for block {block}")
-                row = batch.slice(i, 1)
-                r = row.select(["q", "label", "lows", "highs", "floors"]).to_pylist()[0]
-                found = tree.search(_matrix(row.column("vec"), dim)[0], r["label"], same, r["lows"], r["highs"], r["floors"], k)
-                out.extend((r["q"], w, -s, no_id, None if no_id else id_, at)
-                           for w, best in enumerate(found) for s, no_id, id_, at in best)
-            q, w, score, no_id, ids, at = zip(*out) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q, pa.int64()), pa.array(w, pa.int32()), pa.array(score, pa.int64()), pa.array(no_id, pa.bool_()),
-                 pa.array(ids, pa.int64()), pa.array(at, pa.int64())], names=["q", "w", "score", "no_id", "id", "row"])
+                if side[a] == 0:
+                    tree, here = CoverTree.from_bytes(batch.column("tree")[a].as_py()), block[a]
+                    continue
+                if block[a] != here:
+                    raise RuntimeError(f"no tree for block {block[a]}")
+                for i in range(a, b, QUERIES_AT_ONCE):
+                    yield answers(tree, batch.slice(i, min(QUERIES_AT_ONCE, b - i)))
+
+    def answers(tree, asked):
+        q, lows, highs, floors = (asked.column(n).to_pylist() for n in ("q", "lows", "highs", "floors"))
+        found = tree.search(_matrix(asked.column("vec"), dim), asked.column("label").to_numpy(), same, lows, highs, floors, k)
+        rows = [(q[i], w, -s, no_id, None if no_id else id_, at)
+                for i, own in enumerate(found) for w, best in enumerate(own) for s, no_id, id_, at in best]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                          names=["q", "w", "score", "no_id", "id", "row"])
 
     names = [f.name for f in arrow]
     sent = queries.repartition("q").mapInArrow(tidy(place), columns)

@@ -45,12 +45,15 @@ def test_tree_search_is_exact(seed):
     labels = np.arange(700) % 5
     at, ids = np.arange(701), np.arange(700)[::-1].copy()
     tree = CoverTree.from_bytes(CoverTree.build(x, labels, at, ids, ids, np.zeros(700, bool)).to_bytes())
-    for q in range(0, 700, 23):
-        scores = x @ x[q]
-        for same in (True, False):
-            windows = [(-10**9, 10**9), (int(scores.max()) // 3, int(scores.max()) * 2 // 3), (0, 0)]
-            got = tree.search(x[q], int(labels[q]), same, [w[0] for w in windows], [w[1] for w in windows], [-10**9] * 3, 4)
-            for (lo, hi), found in zip(windows, got):
+    asked = np.arange(0, 700, 23)
+    products = x[asked] @ x.T
+    windows = [[(-10**9, 10**9), (int(p.max()) // 3, int(p.max()) * 2 // 3), (0, 0)][:1 + i % 3] for i, p in enumerate(products)]
+    for same in (True, False):
+        got = tree.search(x[asked], labels[asked], same, [[w[0] for w in own] for own in windows],
+                          [[w[1] for w in own] for own in windows], [[-10**9] * len(own) for own in windows], 4)
+        for q, scores, own, each in zip(asked, products, windows, got):
+            assert len(own) == len(each)
+            for (lo, hi), found in zip(own, each):
                 fits = ((labels == labels[q]) == same) & (scores >= lo) & (scores <= hi)
                 want = sorted((-int(scores[i]), False, int(ids[i]), int(ids[i])) for i in np.flatnonzero(fits))[:4]
                 assert found == want
