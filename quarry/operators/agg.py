@@ -104,11 +104,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def heatmap_pivot(df: DataFrame, row_key: str, col_key: str) -> DataFrame:
-    """``row_key x col_key`` count matrix; missing cells are 0. The columns are
-    the values that occur (NULL included, as ``null``), found by one distinct
-    aggregate over the grouped counts; more of them than Spark's
-    ``spark.sql.pivotMaxValues`` are an error, never a cut."""
+def heatmap_pivot(df: DataFrame, row_key: str, col_key: str, values: list | None = None) -> DataFrame:
+    """``row_key x col_key`` count matrix; missing cells are 0.
+
+    With ``values`` the columns are those values, ``null``, and ``other`` for what is
+    not listed, all counted in one aggregate. Without, they are the values that occur
+    (NULL as ``null``), found by one distinct aggregate over the grouped counts;
+    more of them than Spark's ``spark.sql.pivotMaxValues`` are an error, never a cut."""
+    if values is not None:
+        c = F.col(col_key)
+        return df.groupBy(row_key).agg(
+            *[F.count_if(c == F.lit(v)).alias(str(v)) for v in values], F.count_if(c.isNull()).alias("null"),
+            F.count_if(c.isNotNull() & ~c.isin(values)).alias("other"))
     counts = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("__n"))
     return counts.groupBy(row_key).pivot(col_key).agg(F.sum("__n")).na.fill(0)
 

@@ -6,12 +6,12 @@ that streams rows past the lookups, so that a chain of imputers can build all
 its lookups from one table and fill in one pass.
 
 Scale design (same results as joining every lookup to every row):
-* statistics are computed from ONE aggregate at the finest level; coarser
-  levels are sums of the finer counts (no re-scan per level);
-* only rows that need a value meet the lookups (``lookup_join``): complete rows
-  and rows with a NULL key are spread over all tasks;
-* lookups are not broadcast-hinted (a mode per street grows with the data);
-  AQE turns a join into a broadcast when the runtime side is small.
+* statistics are computed from ONE aggregate at the finest level, written once;
+  coarser levels are sums of the finer counts (no re-scan per level);
+* lookups are written before they are used (``settled``; building them is eager), so
+  the planner broadcasts them by their file size while that is small;
+* a lookup beyond the broadcast threshold meets only the keys and numbers of the rows
+  that need a value (``lookup_join`` on a numbered table), and no payload moves.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.agg import group_mode
-from quarry.operators.joins import attach_scalar, lookup_join
+from quarry.operators.joins import attach_scalar, lookup_join, settled
 
 
 def missing(c: str, zero_is_missing: bool = False) -> Column:
@@ -37,9 +37,10 @@ def mode_lookups(df: DataFrame, target: str, levels: list[list[str]]) -> list[Da
     for lv in levels[1:]:
         if not set(lv) <= set(finest):
             raise ValueError("levels must be nested: finest first")
-    counts = (df.filter(F.col(target).isNotNull())
-              .groupBy(*finest, target).agg(F.count(F.lit(1)).alias("_n")))
-    return [group_mode(None, keys, target, out=f"__fill{i}", counts=counts) for i, keys in enumerate(levels)]
+    counts = settled(df.filter(F.col(target).isNotNull())
+                     .groupBy(*finest, target).agg(F.count(F.lit(1)).alias("_n")), "mode-counts")
+    return [settled(group_mode(None, keys, target, out=f"__fill{i}", counts=counts), f"mode-{i}")
+            for i, keys in enumerate(levels)]
 
 
 def fill_mode(df: DataFrame, target: str, levels: list[list[str]], lookups: list[DataFrame]) -> DataFrame:
@@ -72,7 +73,7 @@ def impute_mode_audit(df: DataFrame, target: str, levels: list[list[str]],
 
 
 def dominant_lookup(df: DataFrame, target: str, keys: list[str], min_share: float = 0.8) -> DataFrame:
-    return group_mode(df, keys, target, out="__dom", min_share=min_share)
+    return settled(group_mode(df, keys, target, out="__dom", min_share=min_share), "dominant")
 
 
 def fill_dominant(df: DataFrame, target: str, keys: list[str], lookup: DataFrame, default: str | None) -> DataFrame:
@@ -89,7 +90,7 @@ def impute_dominant_mode(df: DataFrame, target: str, keys: list[str], min_share:
 
 
 def parent_lookup(df: DataFrame, target: str, parent: str, zero_is_missing: bool = True) -> DataFrame:
-    return group_mode(df.filter(~missing(target, zero_is_missing)), [parent], target, out="__par")
+    return settled(group_mode(df.filter(~missing(target, zero_is_missing)), [parent], target, out="__par"), "parent")
 
 
 def fill_parent(df: DataFrame, target: str, parent: str, lookup: DataFrame, zero_is_missing: bool = True) -> DataFrame:
@@ -106,21 +107,23 @@ def impute_from_parent(df: DataFrame, target: str, parent: str, zero_is_missing:
     return fill_parent(df, target, parent, parent_lookup(df, target, parent, zero_is_missing), zero_is_missing)
 
 
-def mean_lookup(df: DataFrame, values: list[str], key: str | None, decimal_scale: int | None = None,
-                tag: str = "g") -> DataFrame:
-    """Means over rows with ALL values present, per ``key`` (NULL and 0
-    excluded) or, without a key, as one row. ``decimal_scale`` averages in
-    DECIMAL(38, scale): exact sums, whatever the order of the partitions."""
+def mean_lookups(df: DataFrame, values: list[str], levels: list[str],
+                 decimal_scale: int | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """Means over rows with ALL values present: per key of each of ``levels``
+    (NULL and 0 excluded), and over all as one row. One scan sums by all levels at
+    once; ``decimal_scale`` sums in DECIMAL(38, scale), which is exact whatever the
+    order of the partitions."""
     base = df.filter(reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in values]))
+    kind = f"decimal(38,{decimal_scale})" if decimal_scale else "double"
+    sums = settled(base.groupBy(*levels).agg(*[F.sum(F.col(v).cast(kind)).alias(f"__s_{v}") for v in values],
+                                             F.count(F.lit(1)).alias("__n")), "mean-sums")
 
-    def avg(v: str) -> Column:
-        return F.avg(F.col(v).cast(f"decimal(38,{decimal_scale})")).cast("double") if decimal_scale \
-            else F.avg(v)
+    def means(tag: str) -> list[Column]:
+        return [F.try_divide(F.sum(f"__s_{v}").cast("double"), F.sum("__n").cast("double")).alias(f"__m{tag}_{v}") for v in values]
 
-    aggs = [avg(v).alias(f"__m{tag}_{v}") for v in values]
-    if key is None:
-        return base.agg(*aggs)
-    return base.filter(F.col(key).isNotNull() & (F.col(key) != 0)).groupBy(key).agg(*aggs)
+    lookups = [settled(sums.filter(F.col(key).isNotNull() & (F.col(key) != 0)).groupBy(key).agg(*means(str(i))), f"mean-{i}")
+               for i, key in enumerate(levels)]
+    return lookups, sums.agg(*means("g"))
 
 
 def fill_mean(df: DataFrame, values: list[str], levels: list[str], lookups: list[DataFrame], overall: DataFrame) -> DataFrame:
@@ -139,8 +142,7 @@ def impute_mean_hierarchy(df: DataFrame, values: list[str], levels: list[str],
     """NULL ``values`` -> mean over rows with ALL values present, by the first
     of ``levels`` (single key columns, tried in order; NULL and 0 keys
     excluded) that has a mean, else the global mean (a scalar subquery)."""
-    lookups = [mean_lookup(df, values, key, decimal_scale, str(i)) for i, key in enumerate(levels)]
-    return fill_mean(df, values, levels, lookups, mean_lookup(df, values, None, decimal_scale))
+    return fill_mean(df, values, levels, *mean_lookups(df, values, levels, decimal_scale))
 
 
 def sentinel_fill(df: DataFrame, columns: list[str], sentinel: int = -1) -> DataFrame:

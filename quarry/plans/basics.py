@@ -17,7 +17,7 @@ from quarry.functions.formatting import format_percent, ratio
 from quarry.operators.agg import (conditional_counts, distinct_counts, duplicate_rows,
                                   global_aggregate, group_count, group_mean, group_mode,
                                   heatmap_pivot, long_values, null_counts, null_percent)
-from quarry.operators.joins import attach_scalar, lookup_join, semi_join_top
+from quarry.operators.joins import attach_scalar, lookup_join, semi_join_top, settled
 from quarry.operators.materialize import scratch_table
 from quarry.operators.quality import anomaly_filter, collapse_top_categories
 from quarry.operators.windows import (cumulative_sum, moving_average, rank_prefix,
@@ -199,7 +199,7 @@ def q_join_left_lookup(spark, sf):
     df = incidents(spark, sf, KEYS + ["district", "latitude"])
     means = df.groupBy("district").agg(   # one row per district; exact decimal mean
         F.avg(F.col("latitude").cast("decimal(38,8)")).cast("double").alias("latitude_mean"))
-    return lookup_join(df, means, ["district"], ["latitude_mean"]).withColumn(
+    return lookup_join(df, settled(means, "means"), ["district"], ["latitude_mean"]).withColumn(
         "latitude_mean", F.round("latitude_mean", 6))
 
 
@@ -322,8 +322,13 @@ def q_top_value_ratio(spark, sf):
                       F.round(F.col("count") / F.col("total"), 4).alias("ratio"))
 
 
+# Fixed values of the binding: the Wards (nation keys), without the last one, so that ``other`` has rows.
+HEAT_WARDS = list(range(24))
+
+
 def q_heatmap_pivot(spark, sf):
-    return heatmap_pivot(incidents(spark, sf, ["district", "ward"]), "district", "ward")
+    # some rows have no Ward (injected)
+    return heatmap_pivot(raw_incidents(spark, sf), "district", "ward", HEAT_WARDS)
 
 
 # --- windows -------------------------------------------------------------------
@@ -400,6 +405,11 @@ _BOX = " AND ".join(f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in P.ANOMALY_RU
 _UNPIV = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM incidents" for c in _NUM_COLS)
 _LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM incidents" for c in _STR_COLS)
 
+_HEAT_SQL = "SELECT district, " + ", ".join(f'count(*) FILTER (WHERE ward = {w}) AS "{w}"' for w in HEAT_WARDS) + f""",
+  count(*) FILTER (WHERE ward IS NULL) AS "null", count(*) FILTER (WHERE ward NOT IN ({", ".join(map(str, HEAT_WARDS))})) AS other
+FROM (SELECT {", ".join(f"CASE WHEN NOT ({INJECT[c]}) THEN {c} END AS {c}" for c in ("district", "ward"))} FROM incidents)
+GROUP BY district"""
+
 ORACLE = {
     "scan_csv": "SELECT * FROM orders",
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_quantity > 25",
@@ -501,7 +511,7 @@ ORACLE = {
           row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, value) AS rn,
           sum(count(*)) OVER (PARTITION BY feature) AS total
         FROM ({_LONG}) GROUP BY 1, 2) WHERE rn = 1""",
-    "heatmap_pivot": INC + "PIVOT (SELECT district, ward FROM incidents) ON ward USING count(*) GROUP BY district",
+    "heatmap_pivot": INC + _HEAT_SQL,
     "win_row_number_top1": INC + """SELECT district, block, count FROM (
         SELECT district, block, count(*) AS count, row_number() OVER (PARTITION BY district ORDER BY count(*) DESC, block) AS rn
         FROM incidents GROUP BY 1, 2) WHERE rn = 1""",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quarry.functions.calendar import seconds_between, year_range_filter
 from quarry.functions.formatting import ratio
 from quarry.operators.agg import group_count
+from quarry.operators.joins import lookup_join, settled
 from quarry.operators.windows import sequence_within_groups, top_per_group, topk
 from quarry.plans import params as P
 from quarry.plans.bindings import (DISTRICTS_SQL, INCIDENTS_SQL, SEVERITY_SQL, TIMED_SQL,
@@ -114,8 +115,8 @@ def bq16_pair_counts(spark, sf):
 # --- lookups ---------------------------------------------------------------
 
 def bq17_severity_join(spark, sf):
-    sev = severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT)
-    return incidents(spark, sf, KEYS + ["primary_type"]).join(sev, "primary_type", "left")
+    sev = settled(severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT), "severity")
+    return lookup_join(incidents(spark, sf, KEYS + ["primary_type"]), sev, ["primary_type"], ["severity_rank", "severity"])
 
 
 def bq18_named_districts(spark, sf):
@@ -124,7 +125,8 @@ def bq18_named_districts(spark, sf):
 
 
 def bq19_two_lookup_join(spark, sf):
-    sev = severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT).filter(F.col("severity") == "critical")
+    # written, so that the planner knows its size
+    sev = settled(severity_lookup(spark, sf, P.SEVERITY_LEAVE_OUT).filter(F.col("severity") == "critical"), "critical")
     names = district_lookup(spark, sf).filter(F.col("is_central"))
     df = incidents(spark, sf, KEYS + ["primary_type", "district"])
     return (df.join(sev, "primary_type").join(names, "district")

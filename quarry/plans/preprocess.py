@@ -22,9 +22,9 @@ from quarry.functions.address import (sql_block_number, sql_direction, sql_stree
                                       sql_street_type, with_block_features)
 from quarry.operators.agg import null_counts
 from quarry.operators.impute import (dominant_lookup, fill_dominant, fill_mean, fill_mode, fill_parent,
-                                     impute_mode_audit, mean_lookup, mode_lookups, parent_lookup,
+                                     impute_mode_audit, mean_lookups, mode_lookups, parent_lookup,
                                      sentinel_fill)
-from quarry.operators.materialize import materialize
+from quarry.operators.materialize import ROW, SLICE, numbered
 from quarry.operators.quality import anomaly_counts, anomaly_filter, checked_rows, validate_schema, violations
 from quarry.plans import params as P
 from quarry.plans.bindings import INCIDENTS_SQL, incidents, with_sql
@@ -70,15 +70,18 @@ def stage_features(spark, sf) -> DataFrame:
     return _inject(df, ["block_number"])
 
 
-# The features are written once; every lookup of the chain is built from that
-# table, and one pass streams its rows past the lookups.
+# The features are written once, with their rows numbered; every lookup of the chain is
+# built from that table and written, and one pass streams its rows past the lookups.
 
-def chain(spark, sf, upto: str) -> DataFrame:
-    """The features with the imputations up to ``upto``, in the order block
-    number, location, District, coordinates."""
+def features(spark, sf) -> DataFrame:
+    return numbered(stage_features(spark, sf), "features")
+
+
+def chain(feats: DataFrame, upto: str) -> DataFrame:
+    """The written features with the imputations up to ``upto``, in the order block
+    number, location, District, coordinates. Eager: the lookups are written."""
     order = ["block", "location", "district", "coordinates"]
     steps = order[:order.index(upto) + 1]
-    feats = materialize(stage_features(spark, sf), "features")
     out = fill_mode(feats, "block_number", BLOCK_LEVELS, mode_lookups(feats, "block_number", BLOCK_LEVELS))
     if "location" in steps:
         out = fill_dominant(out, "location_description", LOCATION_KEYS,
@@ -87,29 +90,29 @@ def chain(spark, sf, upto: str) -> DataFrame:
         parents = parent_lookup(feats, "district", "beat")
         out = fill_parent(out, "district", "beat", parents)
     if "coordinates" in steps:
-        repaired = fill_parent(feats.select("beat", "district", "latitude", "longitude"), "district", "beat", parents)
         values = ["latitude", "longitude"]
-        lookups = [mean_lookup(repaired if key == "district" else feats, values, key, MEAN_SCALE, str(i))
-                   for i, key in enumerate(MEAN_LEVELS)]
-        out = fill_mean(out, values, MEAN_LEVELS, lookups, mean_lookup(feats, values, None, MEAN_SCALE))
+        # means by District are those of the filled Districts
+        repaired = fill_parent(feats.select(SLICE, ROW, "beat", *MEAN_LEVELS, *values), "district", "beat", parents)
+        lookups, overall = mean_lookups(repaired, values, MEAN_LEVELS, MEAN_SCALE)
+        out = fill_mean(out, values, MEAN_LEVELS, lookups, overall)
         out = out.withColumns({c: F.round(c, 6) for c in values})
-    return out
+    return out.drop(SLICE, ROW)
 
 
 def stage_block(spark, sf) -> DataFrame:
-    return chain(spark, sf, "block")
+    return chain(features(spark, sf), "block")
 
 
 def stage_location(spark, sf) -> DataFrame:
-    return chain(spark, sf, "location")
+    return chain(features(spark, sf), "location")
 
 
 def stage_district(spark, sf) -> DataFrame:
-    return chain(spark, sf, "district")
+    return chain(features(spark, sf), "district")
 
 
 def stage_coordinates(spark, sf) -> DataFrame:
-    return chain(spark, sf, "coordinates")
+    return chain(features(spark, sf), "coordinates")
 
 
 def stage_sentinels(spark, sf) -> DataFrame:
@@ -125,10 +128,11 @@ def preprocess_pipeline(spark, sf) -> DataFrame:
 
 def missing_audit(spark, sf) -> DataFrame:
     """Per imputed feature: NULLs before / after, rows imputed, % before /
-    after, distinct values after. Two one-row aggregates."""
+    after, distinct values after. Two one-row aggregates over the written features: the raw
+    fact is joined and parsed once."""
     feats = ["block_number", "location_description", "district", "latitude", "longitude"]
-    before = stage_features(spark, sf)
-    after = stage_coordinates(spark, sf)
+    before = features(spark, sf)
+    after = chain(before, "coordinates")
     b = null_counts(before, feats).select(*[F.col(c).alias(f"b_{c}") for c in feats],
                                           F.lit(1).alias("__k"))
     a = after.agg(F.count(F.lit(1)).alias("rows"),
@@ -149,7 +153,7 @@ def missing_audit(spark, sf) -> DataFrame:
 def impute_mode_two_level(spark, sf) -> DataFrame:
     """Two-level re-run with its row-level audit: each row's value and whether
     it is original, imputed or still missing."""
-    _, audit = impute_mode_audit(materialize(stage_features(spark, sf), "features"), "block_number",
+    _, audit = impute_mode_audit(features(spark, sf), "block_number",
                                  BLOCK_LEVELS[:2], AUDIT_KEYS)
     return audit
 
