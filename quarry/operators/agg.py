@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.formatting import ratio
-from quarry.operators.joins import attach_scalar
-
-# Equal-width ranges in which ``quantiles`` counts before it orders anything.
-QUANTILE_CELLS = 65_536
+from quarry.operators.joins import bounded_broadcast, settled
 
 
 def _c(col: str | Column) -> Column:
@@ -130,41 +127,67 @@ def long_values(df: DataFrame, columns: list[str], feature: str = "feature",
     return df.select(pairs.alias("__p")).select(f"__p.{feature}", f"__p.{value}")
 
 
+def ordered_image(value: Column) -> Column:
+    """A 64-bit integer for a double, in the same order: its exponent and mantissa
+    as they stand in its 64 bits, negated for negative values. NaN comes last."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    # log2 may be off by one next to a power of two
+    exponent = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
+    half = F.floor(-exponent / 2)  # 2^-e itself can leave the range of a double
+    mantissa = size * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), -exponent - half)
+    normal = (exponent.cast("long") + 1022) * (1 << 52) + (mantissa * float(1 << 52)).cast("long")
+    tiny = (size * (2.0 ** 537) * (2.0 ** 537)).cast("long")
+    image = (F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit((1 << 63) - 2))
+             .when(size < 2.0 ** -1022, tiny).otherwise(normal))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value < 0, -image).otherwise(image)
+
+
+def count_quantiles(counts: DataFrame, at: dict[str, float], features: int) -> DataFrame:
+    """(feature, name, quantile) of a written table (feature, x, n) of how often
+    values occur, interpolated as ``percentile`` does; ``features`` bounds their number.
+
+    A quantile q lies at position q * (n - 1) of the ordered values. Positions are found
+    by radix selection on the values' 64-bit images: counts per 16-bit prefix, then inside
+    the prefix that holds the position per further 16 bits, four times. No range of
+    values is ever ordered: a window sees at most 2^16 counts."""
+    spark = counts.sparkSession
+    bound = features * 2 * len(at)
+    names = spark.createDataFrame([(n, float(q)) for n, q in at.items()], "name string, q double")
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("all"))
+    place = F.col("q") * (F.col("all") - 1)
+    targets = (totals.join(bounded_broadcast(names, len(at)))
+               .select("feature", "name", (place - F.floor(place)).alias("part"),
+                       F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor(place).alias("pos")),
+                                         F.struct(F.lit(1).alias("side"), F.ceil(place).alias("pos")))).alias("t"))
+               .select("feature", "name", "part", "t.side", F.col("t.pos").cast("long").alias("pos")))
+    rows = counts.select("feature", "x", "n", ordered_image(F.col("x")).alias("image"))
+    before = Window.partitionBy("feature", "name", "side").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    for shift in (48, 32, 16, 0):
+        inside, keys = rows, ["feature"]
+        if shift < 48:
+            inside = rows.withColumn("prefix", F.shiftright("image", shift + 16))
+            keys = ["feature", "prefix"]
+            inside = inside.join(bounded_broadcast(targets.select(*keys).distinct(), bound), keys, "left_semi")
+        cells = inside.groupBy(*keys, F.shiftright("image", shift).alias("cell")).agg(F.sum("n").alias("n"), F.max("x").alias("x"))
+        wanted = targets.select(*keys, "name", "part", "side", "pos")
+        found = (cells.join(bounded_broadcast(wanted, bound), keys)
+                 .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+                 .where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("n"))))
+        targets = found.select("feature", "name", "part", "side", (F.col("pos") - F.col("start")).alias("pos"),
+                               F.col("cell").alias("prefix"), "x")
+    ends = targets.groupBy("feature", "name", "part").agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("low"),
+                                                          F.max(F.when(F.col("side") == 1, F.col("x"))).alias("high"))
+    # equal neighbours as they are: infinities have no difference
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
+    return ends.select("feature", "name", value.alias("quantile"))
+
+
 def quantiles(df: DataFrame, value: str, at: dict[str, float]) -> DataFrame:
-    """One row of exact interpolated quantiles (as ``percentile``) of the
-    non-NULL values, without gathering the values: counts per distinct value,
-    counts per range of values, and only the ranges that hold a wanted position
-    are ordered.
-
-    A quantile q lies at position q * (n - 1) of the ordered values; it is
-    interpolated between the values at the positions around it."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("__v")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    ends = counts.agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__all"))
-    cell = F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor(
-        (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * QUANTILE_CELLS), F.lit(QUANTILE_CELLS - 1))).otherwise(0)
-    placed = attach_scalar(counts, ends).withColumn("__cell", cell.cast("int"))
-    # at most QUANTILE_CELLS rows in the ordered pass
-    before = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = placed.groupBy("__cell").agg(F.sum("__n").alias("__c")).withColumn(
-        "__start", F.coalesce(F.sum("__c").over(before), F.lit(0)))
-    marks = []
-    for name, q in at.items():
-        p = F.lit(float(q)) * (F.col("__all") - 1)
-        marks += [F.floor(p).alias(f"__p_{name}_0"), F.ceil(p).alias(f"__p_{name}_1")]
-    wanted = ends.select("__all", *marks)
-    spots = [f"__p_{n}_{i}" for n in at for i in (0, 1)]
-    hit = [(F.col(s) >= F.col("__start")) & (F.col(s) < F.col("__start") + F.col("__c")) for s in spots]
-    chosen = attach_scalar(cells, wanted).where(reduce(lambda a, b: a | b, hit)).select("__cell", "__start", *spots)
-    inside = Window.partitionBy("__cell").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    rows = (placed.select("__v", "__n", "__cell").join(F.broadcast(chosen), "__cell")   # at most two cells per quantile
-            .withColumn("__first", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0))))
-    found = rows.agg(*[F.max(F.when((F.col(s) >= F.col("__first")) & (F.col(s) < F.col("__first") + F.col("__n")),
-                                    F.col("__v"))).alias(f"__v{s}") for s in spots])
-    both = attach_scalar(found, ends.select("__all"))
-    out = []
-    for name, q in at.items():
-        p = F.lit(float(q)) * (F.col("__all") - 1)
-        low, high = F.col(f"__v__p_{name}_0"), F.col(f"__v__p_{name}_1")
-        out.append((low + (high - low) * (p - F.floor(p))).alias(name))
-    return both.select(*out)
+    """One row of exact interpolated quantiles (as ``percentile``) of the non-NULL
+    values, without gathering them (``count_quantiles``). Eager: the counts per
+    distinct value are written."""
+    counts = settled(df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x"))
+                     .agg(F.count(F.lit(1)).alias("n")).select(F.lit(value).alias("feature"), "x", "n"), "value-counts")
+    found = count_quantiles(counts, at, 1)
+    return found.agg(*[F.max(F.when(F.col("name") == n, F.col("quantile"))).alias(n) for n in at])

@@ -1,26 +1,25 @@
 """Correlation, scaling, PCA and FAMD on Spark.
 
-All fitting runs as distributed aggregates: ``corr`` aggregates in one
-pass; ``StandardScaler`` and ``PCA`` (``pyspark.ml``) reduce the rows to
-a mean vector / a d x d covariance with ``treeAggregate`` on the executors,
-and only the d x d eigen-decomposition runs on the driver (d = number of
-features, small and checked). Nothing row-sized goes to the driver.
+All fitting runs as distributed aggregates: one Gram aggregate (``gram``) for
+correlation, z-scores and PCA, one grouped count of how levels meet for FAMD. Only
+the d x d matrix and its eigen-decomposition are on the driver (d = number of
+features, small and checked). Nothing row-sized goes there.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quarry.operators.agg import long_values, quantiles
-
-MAX_FEATURES = 512   # the d x d solve on the driver stays small
+from quarry.operators.agg import count_quantiles
+from quarry.operators.gram import MAX_FEATURES, Gram, components, gram
+from quarry.operators.joins import settled
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -42,18 +41,13 @@ def numeric_features(df: DataFrame, exclude: list[str] | None = None, drop_na: b
 
 def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     """Pearson matrix in long form ``(col_a, col_b, r)``, rows with any NULL in
-    ``columns`` skipped; one aggregate for all d*(d-1)/2 pairs."""
+    ``columns`` skipped; r is NULL against a constant column. All pairs come from
+    one Gram aggregate (eager)."""
     if len(columns) < 2:
         raise ValueError("at least two numeric columns are needed")
-    clean = df.select(*columns).na.drop()
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    agg = clean.agg(*[F.corr(a, b).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")) for c in columns]
-    for i, (a, b) in enumerate(pairs):
-        r = F.round(F.col(f"__c{i}"), digits)
-        cells += [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")),
-                  F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r.alias("r"))]
-    return agg.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    r = gram(df, columns).correlation
+    cells = [(a, b, 1.0 if i == j else _float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "col_a string, col_b string, r double").withColumn("r", F.round("r", digits))
 
 
 def high_correlations(corr: DataFrame, columns: list[str], threshold: float = 0.9) -> DataFrame:
@@ -62,49 +56,64 @@ def high_correlations(corr: DataFrame, columns: list[str], threshold: float = 0.
     return corr.filter((order[F.col("col_a")] < order[F.col("col_b")]) & (F.abs("r") > threshold))
 
 
+def z_scores(features: list[str], moments: Gram) -> list[Column]:
+    """Each feature less its mean, by its sample standard deviation; 0 for a constant one."""
+    return [(F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s)) if s else F.lit(0.0)
+            for c, m, s in zip(features, moments.mean, moments.std)]
+
+
 def standard_scale(df: DataFrame, features: list[str], keep: list[str], prefix: str = "z_") -> DataFrame:
-    """z-scores (mean-centred, sample std) with ``StandardScaler``."""
-    vec = VectorAssembler(inputCols=features, outputCol="__v", handleInvalid="skip").transform(df)
-    model = StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True).fit(vec)
-    arr = vector_to_array(F.col("__z"))
-    return model.transform(vec).select(*keep, *[arr[i].alias(f"{prefix}{c}") for i, c in enumerate(features)])
-
-
-def _fit_pca(vec: DataFrame, k: int):
-    model = PCA(k=k, inputCol="__z", outputCol="__pc").fit(vec)
-    pc = model.pc.toArray()                 # d x k, on the driver (d small)
-    ev = [float(x) for x in model.explainedVariance]
-    # sign is arbitrary: make the largest |loading| of each component positive
-    signs = []
-    for j in range(pc.shape[1]):
-        col = pc[:, j]
-        i = int(abs(col).argmax())
-        signs.append(-1.0 if col[i] < 0 else 1.0)
-    return model, pc, ev, signs
+    """z-scores (mean-centred, sample std) of the rows without NULL in ``features``.
+    Eager: the moments are one Gram aggregate; the scores are plain column arithmetic."""
+    z = z_scores(features, gram(df, features))
+    return df.na.drop(subset=features).select(*keep, *[x.alias(f"{prefix}{c}") for c, x in zip(features, z)])
 
 
 def pca(df: DataFrame, features: list[str], k: int, keep: list[str] | None = None):
-    """Standardise, fit PCA with ``k = min(k, d)``. Returns (variance frame
+    """PCA of the z-scores with ``k = min(k, d)``. Returns (variance frame
     (pc, explained_ratio, cumulative_ratio), loadings frame (pc, feature,
-    weight), scores frame (keep + PC1..PCk))."""
+    weight), scores frame (keep + PC1..PCk)).
+
+    Eager: one Gram aggregate gives means, deviations and the matrix whose
+    eigenvectors are the components; only the scores read the rows again."""
     spark = df.sparkSession
     keep = keep or []
     k = min(k, len(features))
-    vec = VectorAssembler(inputCols=features, outputCol="__v", handleInvalid="skip").transform(df)
-    scaled = StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True).fit(vec).transform(vec)
-    model, pc, ev, signs = _fit_pca(scaled, k)
-    cum, rows = 0.0, []
-    for j, e in enumerate(ev):
-        cum += e
-        rows.append((f"PC{j + 1}", e, cum))
-    variance = spark.createDataFrame(rows, "pc string, explained_ratio double, cumulative_ratio double")
-    load_rows = [(f"PC{j + 1}", f, float(pc[i, j] * signs[j])) for j in range(k) for i, f in enumerate(features)]
-    loadings = spark.createDataFrame(load_rows, "pc string, feature string, weight double")
-    arr = vector_to_array(F.col("__pc"))
-    scores = model.transform(scaled).select(*keep, *[(arr[j] * signs[j]).alias(f"PC{j + 1}") for j in range(k)])
+    moments = gram(df, features)
+    if moments.rows < 2:
+        raise ValueError("at least two rows without NULL are needed")
+    values, vectors = components(moments.of_scores)
+    ratios = values / (values.sum() or 1.0)
+    variance = spark.createDataFrame([(f"PC{j + 1}", float(ratios[j]), float(ratios[:j + 1].sum())) for j in range(k)],
+                                     "pc string, explained_ratio double, cumulative_ratio double")
+    loadings = spark.createDataFrame([(f"PC{j + 1}", f, float(vectors[i, j])) for j in range(k) for i, f in enumerate(features)],
+                                     "pc string, feature string, weight double")
+    z = z_scores(features, moments)
+    scores = df.na.drop(subset=features).select(*keep, *[_weighted(z, vectors[:, j]).alias(f"PC{j + 1}") for j in range(k)])
     return variance, loadings, scores
 
 
+def pca_spectrum(df: DataFrame, features: list[str], powers: int = 4) -> DataFrame:
+    """(power, total): sums of powers of the eigenvalues of the correlation matrix.
+    The first is the total inertia (the number of features that vary); all of them
+    are traces of powers of the matrix, so they check a decomposition without repeating it."""
+    values, _ = components(gram(df, features).of_scores)
+    return df.sparkSession.createDataFrame([(p, float((values ** p).sum())) for p in range(1, powers + 1)], "power int, total double")
+
+
+def projected_variance(df: DataFrame, features: list[str], loadings: dict[str, list[float]]) -> DataFrame:
+    """(axis, variance, inertia_share) of the z-scores along given axes, from the
+    Gram aggregate alone: a loading vector w has variance w' R w."""
+    r = gram(df, features).of_scores
+    inertia = float(np.trace(r)) or 1.0
+    out = [(name, float(np.array(w) @ r @ np.array(w))) for name, w in loadings.items()]
+    return df.sparkSession.createDataFrame([(n, v, v / inertia) for n, v in out], "axis string, variance double, inertia_share double")
+
+
+def _weighted(columns: list[Column], weights) -> Column:
+    return reduce(lambda a, b: a + b, [c * F.lit(float(w)) for c, w in zip(columns, weights)], F.lit(0.0))
+
+
 OTHER, UNKNOWN = "OTHER", "Unknown"
 
 
@@ -114,26 +123,44 @@ def famd_design(df: DataFrame, numeric: list[str], categorical: list[str], top_n
     its levels with their proportions, after NULL -> 'Unknown' and values outside
     the ``top_n`` most frequent (ties by value) -> 'OTHER'.
 
-    One exact-quantile job per numeric column, one aggregate for the moments, one
-    long aggregate for all categorical columns. At most ``top_n`` levels per
-    column reach the driver."""
-    median = {c: quantiles(df, c, {"m": 0.5}).first()["m"] for c in numeric}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(median[c])) for c in numeric}
-    moments = df.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(x).alias(f"m_{c}") for c, x in filled.items()],
-                     *[F.stddev_pop(x).alias(f"s_{c}") for c, x in filled.items()]).first()
-    rows = moments["rows"]
-    design = {"rows": rows, "numeric": {c: (median[c], moments[f"m_{c}"], moments[f"s_{c}"]) for c in numeric},
-              "categorical": {c: {} for c in categorical}}
-    if categorical and rows:
-        counts = (long_values(df, categorical).groupBy("feature", F.coalesce("value", F.lit(UNKNOWN)).alias("value"))
-                  .agg(F.count(F.lit(1)).alias("n")))
+    One scan counts the values of all columns and writes the counts; exact medians,
+    moments and levels come from those. At most ``top_n`` levels per column and one row
+    per numeric column reach the driver."""
+    entries = [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("value"), F.col(c).cast("double").alias("x"))
+               for c in numeric]
+    entries += [F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("value"),
+                         F.lit(None).cast("double").alias("x")) for c in categorical]
+    counts = settled(df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.feature", "e.value", "e.x")
+                     .agg(F.count(F.lit(1)).alias("n")), "famd-counts")
+    design: dict = {"rows": 0, "numeric": {}, "categorical": {c: {} for c in categorical}}
+    if numeric:
+        numbers = counts.where(F.col("feature").isin(numeric))
+        medians = count_quantiles(numbers.where("x is not null"), {"median": 0.5}, len(numeric)).select(
+            "feature", F.col("quantile").alias("median"))
+        off = F.coalesce(F.col("x") - F.col("median"), F.lit(0.0))   # NULL counts as the median
+        moments = (numbers.join(F.broadcast(medians), "feature", "left").groupBy("feature").agg(   # a row per numeric column
+            F.first("median").alias("median"), F.sum("n").alias("rows"), F.sum(off * F.col("n")).alias("s1"),
+            F.sum(off * off * F.col("n")).alias("s2")).collect())
+        by = {r["feature"]: r for r in moments}
+        for c in numeric:
+            r = by.get(c)
+            if r is None or r["median"] is None:
+                design["numeric"][c] = (None, None, None)
+            else:
+                mean = r["s1"] / r["rows"]
+                design["numeric"][c] = (r["median"], r["median"] + mean, math.sqrt(max(0.0, r["s2"] / r["rows"] - mean * mean)))
+            design["rows"] = r["rows"] if r else 0
+    if categorical:
+        words = counts.where(F.col("feature").isin(categorical)).select("feature", "value", "n")
         w = Window.partitionBy("feature").orderBy(F.desc("n"), "value")
-        top = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= top_n).orderBy("feature", "r").collect()
+        top = words.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= top_n).orderBy("feature", "r").collect()
+        rows = words.where(F.col("feature") == categorical[0]).agg(F.sum("n")).first()[0] or 0
+        design["rows"] = rows
         for r in top:
             design["categorical"][r["feature"]][r["value"]] = r["n"] / rows
         for levels in design["categorical"].values():
             rest = 1 - sum(levels.values())
-            if rest > 0.5 / rows:
+            if rest > 0.5 / max(1, rows):
                 levels[OTHER] = levels.get(OTHER, 0.0) + rest
     return design
 
@@ -147,12 +174,35 @@ def design_frame(df: DataFrame, design: dict) -> DataFrame:
 
 
 def _float(x):
-    return None if x is None else float(x)
+    return None if x is None or math.isnan(x) else float(x)
+
+
+def burt(df: DataFrame, z: dict[str, Column], levels: dict[str, Column]) -> list:
+    """Rows (a, level_a, b, level_b, n, s_0, ..., p_0_0, ...) of one grouped aggregate: how
+    often two levels meet, for each two categorical variables (a variable with itself
+    gives its level counts), with the sums of the numeric columns there; and one row
+    (a is NULL) over all rows with the sums of products of the numeric columns.
+
+    As many rows as pairs of levels at most, combined before the shuffle; all are collected."""
+    names = list(levels)
+    cell = "struct<a:string,level_a:string,b:string,level_b:string>"
+    cells = [F.lit(None).cast(cell)]
+    for i, a in enumerate(names):
+        for b in names[i:]:
+            cells.append(F.struct(F.lit(a).alias("a"), F.col(f"__l_{a}").alias("level_a"), F.lit(b).alias("b"),
+                                  F.col(f"__l_{b}").alias("level_b")).cast(cell))
+    given = df.select(*[c.alias(f"__z{i}") for i, c in enumerate(z.values())], *[c.alias(f"__l_{n}") for n, c in levels.items()])
+    long = given.withColumn("__c", F.explode(F.array(*cells)))
+    everything = F.col("__c").isNull()
+    products = [F.sum(F.when(everything, F.col(f"__z{i}") * F.col(f"__z{j}"))).alias(f"p_{i}_{j}")
+                for i in range(len(z)) for j in range(i, len(z))]
+    return (long.groupBy("__c").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"__z{i}").alias(f"s_{i}") for i in range(len(z))], *products)
+            .select("__c.*", "*").drop("__c").collect())
 
 
 def famd(df: DataFrame, numeric: list[str], categorical: list[str], k: int, top_n: int = 20,
          keep: list[str] | None = None, design: dict | None = None):
-    """Factor analysis of mixed data (Pagès 2004) as a Spark PCA.
+    """Factor analysis of mixed data (Pagès 2004) from a Burt table.
 
     numerics: NULL -> median (exact), z-score with population std (0 for a
     constant column); categoricals: one indicator per level of ``famd_design``
@@ -162,48 +212,86 @@ def famd(df: DataFrame, numeric: list[str], categorical: list[str], k: int, top_
     the contribution times the component's inertia (squared correlation or
     correlation ratio). Returns (variance (component, explained, cumulative),
     contributions (component, variable, contribution, coordinate), row
-    coordinates (keep + Dim1..Dimk))."""
+    coordinates (keep + Dim1..Dimk)).
+
+    Eager, with two scans: one counts values (``famd_design``), one counts how
+    levels meet (``burt``). The cross products of all columns follow from those counts;
+    no row ever becomes a vector of indicators, and row coordinates are sums of a
+    weight per level."""
     spark = df.sparkSession
     keep = keep or []
     design = design or famd_design(df, numeric, categorical, top_n)
-    cols, owner, inertia = [], [], 0.0
+    z, owner, inertia = {}, [], 0.0
     for c in numeric:
         med, mean, sd = design["numeric"][c]
         if med is None:
             raise ValueError(f"column {c!r} has no value")
-        cols.append((F.coalesce(F.col(c).cast("double"), F.lit(med)) - F.lit(mean)) / F.lit(sd or 1.0))
+        z[c] = (F.coalesce(F.col(c).cast("double"), F.lit(med)) - F.lit(mean)) / F.lit(sd or 1.0)
         owner.append(c)
         inertia += 1.0 if sd else 0.0
+    value, place = {}, {}
     for c in categorical:
-        levels = design["categorical"][c]
-        value = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+        levels = list(design["categorical"][c])
         known = [v for v in levels if v != OTHER]
-        value = F.when(value.isin(known), value).otherwise(F.lit(OTHER))
-        for v, p in levels.items():
-            cols.append(((value == v).cast("double") - F.lit(p)) / math.sqrt(p))
+        own = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+        value[c] = F.when(own.isin(known), own).otherwise(F.lit(OTHER))
+        for v in levels:
+            place[c, v] = len(owner)
             owner.append(c)
         inertia += len(levels) - 1
-    if len(cols) > MAX_FEATURES:
-        raise ValueError(f"too many columns for a driver-side eigen-decomposition ({len(cols)})")
-    names = [f"__f{i}" for i in range(len(cols))]
-    mat = df.select(*keep, *[c.alias(n) for c, n in zip(cols, names)])
-    vec = VectorAssembler(inputCols=names, outputCol="__z").transform(mat)
-    k = min(k, len(numeric) + len(categorical), max(1, design["rows"] - 1))
-    model, pc, ev, signs = _fit_pca(vec, k)
-    cum, var_rows = 0.0, []
-    for j, e in enumerate(ev):
-        cum += e
-        var_rows.append((f"FAMD{j + 1}", e, cum))
-    variance = spark.createDataFrame(var_rows, "component string, explained_ratio double, cumulative_ratio double")
+    if len(owner) > MAX_FEATURES:
+        raise ValueError(f"too many columns for a driver-side eigen-decomposition ({len(owner)})")
+    cells = burt(df, z, value)
+    d, p = len(owner), len(numeric)
+    whole = next((r for r in cells if r["a"] is None), None)
+    n = whole["n"] if whole else 0
+    if not n:
+        raise ValueError("no rows")
+    share = np.ones(d)   # proportions of the levels
+    for r in cells:
+        if r["a"] is not None and r["a"] == r["b"]:
+            share[place[r["a"], r["level_a"]]] = r["n"] / n
+    sums = np.array([whole[f"s_{i}"] for i in range(p)])
+    products = np.zeros((d, d))
+    for i in range(p):
+        for j in range(i, p):
+            products[i, j] = whole[f"p_{i}_{j}"] - sums[i] * sums[j] / n
+    # levels that never meet have no row: their count is 0
+    first = {c: i for i, c in enumerate(categorical)}
+    for (a, la), i in place.items():
+        for (b, lb), j in place.items():
+            if first[a] <= first[b]:
+                products[i, j] = -n * share[i] * share[j] / math.sqrt(share[i] * share[j])
+    for r in cells:
+        if r["a"] is not None:
+            i, j = place[r["a"], r["level_a"]], place[r["b"], r["level_b"]]
+            products[i, j] = (r["n"] - n * share[i] * share[j]) / math.sqrt(share[i] * share[j])
+            if i == j:
+                for m in range(p):
+                    products[m, i] = (r[f"s_{m}"] - share[i] * sums[m]) / math.sqrt(share[i])
+    products = np.triu(products) + np.triu(products, 1).T
+    values, vectors = components(products / max(1, n - 1))
+    ratios = values / (values.sum() or 1.0)
+    k = min(k, len(numeric) + len(categorical), max(1, n - 1))
+    variance = spark.createDataFrame([(f"FAMD{j + 1}", float(ratios[j]), float(ratios[:j + 1].sum())) for j in range(k)],
+                                     "component string, explained_ratio double, cumulative_ratio double")
     contrib: dict = {}
     for j in range(k):
         for i, v in enumerate(owner):
-            contrib[(j, v)] = contrib.get((j, v), 0.0) + float(pc[i, j]) ** 2
-    crow = [(f"FAMD{j + 1}", v, c, c * ev[j] * inertia) for (j, v), c in contrib.items()]
+            contrib[(j, v)] = contrib.get((j, v), 0.0) + float(vectors[i, j]) ** 2
+    crow = [(f"FAMD{j + 1}", v, c, c * float(ratios[j]) * inertia) for (j, v), c in contrib.items()]
     contributions = spark.createDataFrame(crow, "component string, variable string, contribution double, coordinate double")
-    arr = vector_to_array(F.col("__pc"))
-    coords = model.transform(vec).select(*keep, *[(arr[j] * signs[j]).alias(f"Dim{j + 1}") for j in range(k)])
-    return variance, contributions, coords
+    # a row's coordinate: its z-scores, a weight for each of its levels, and a constant
+    coords = []
+    for j in range(k):
+        total = F.lit(-float(sum(vectors[i, j] * math.sqrt(share[i]) for i in place.values())))
+        total = total + _weighted(list(z.values()), vectors[:p, j])
+        for c in categorical:
+            weights = [x for v in design["categorical"][c] for x in
+                       (F.lit(v), F.lit(float(vectors[place[c, v], j] / math.sqrt(share[place[c, v]]))))]
+            total = total + F.create_map(*weights)[value[c]]
+        coords.append(total.alias(f"Dim{j + 1}"))
+    return variance, contributions, df.select(*keep, *coords)
 
 
 def variance_thresholds(variance: DataFrame, thresholds=(0.7, 0.8, 0.9, 0.95),

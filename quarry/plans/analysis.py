@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ml import (correlation_long, design_frame, famd, famd_design, high_correlations,
-                                 numeric_features, pca, standard_scale, variance_thresholds)
+                                 numeric_features, pca, pca_spectrum, projected_variance, standard_scale,
+                                 variance_thresholds)
 from quarry.operators.sampling import (class_counts, hash_sample, oversample, sampling_report,
                                        undersample)
 from quarry.plans.bindings import INCIDENTS_SQL, with_sql
@@ -133,6 +134,24 @@ def q_pca_scores(spark, sf):
     return pca(df, feats, PCA_K, keep=["order_key"])[2]
 
 
+def q_pca_spectrum(spark, sf):
+    """Total inertia and higher moments of the fitted eigenvalues."""
+    df, feats = _pca_input(spark, sf)
+    return pca_spectrum(df, feats).withColumn("total", F.round("total", 6))
+
+
+# given axes of the eight PCA features: place, area codes, the two flags, all alike
+PCA_AXES = {"place": [0.6, 0.8, 0, 0, 0, 0, 0, 0], "areas": [0, 0, 0.5, 0.5, 0.5, 0.5, 0, 0],
+            "flags": [0, 0, 0, 0, 0, 0, 0.6, -0.8], "all": [0.25] * 8}
+
+
+def q_pca_projected_variance(spark, sf):
+    """Variance and share of the inertia along given loadings."""
+    df, feats = _pca_input(spark, sf)
+    out = projected_variance(df, feats, PCA_AXES)
+    return out.select("axis", *[F.round(c, 6).alias(c) for c in ("variance", "inertia_share")])
+
+
 FAMD_NUMERIC = ["latitude", "longitude"]
 FAMD_CATEGORICAL = ["primary_type", "location_description", "fbi_code"]
 FAMD_TOP_N = 20
@@ -238,6 +257,35 @@ def _high_sql() -> str:
     return head + f"SELECT * FROM ({body}) WHERE {pos} < {pos_b} AND abs(r) > {CORR_THRESHOLD}"
 
 
+PCA_COLS = ["latitude", "longitude", "beat", "district", "ward", "community_area", "arrest", "domestic"]
+
+
+def _pca_ctes() -> str:
+    clean = "clean AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PCA_COLS) + " FROM raw WHERE " + \
+        " AND ".join(f"{c} IS NOT NULL" for c in PCA_COLS) + ")"
+    return with_sql(INCIDENTS_SQL, _RAW_CTE, clean)
+
+
+def _spectrum_sql() -> str:
+    cells = "\nUNION ALL ".join(f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS r FROM clean"
+                                for i, a in enumerate(PCA_COLS) for j, b in enumerate(PCA_COLS))
+    return _pca_ctes().rstrip() + f""",
+m AS ({cells}),
+m2 AS (SELECT a.i, b.j, sum(a.r * b.r) AS r FROM m a JOIN m b ON a.j = b.i GROUP BY 1, 2)
+SELECT 1 AS power, round(sum(r), 6) AS total FROM m WHERE i = j
+UNION ALL SELECT 2, round(sum(r), 6) FROM m2 WHERE i = j
+UNION ALL SELECT 3, round(sum(a.r * b.r), 6) FROM m2 a JOIN m b ON a.i = b.j AND a.j = b.i
+UNION ALL SELECT 4, round(sum(a.r * b.r), 6) FROM m2 a JOIN m2 b ON a.i = b.j AND a.j = b.i"""
+
+
+def _projected_sql() -> str:
+    z = "z AS (SELECT " + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in PCA_COLS) + " FROM clean)"
+    axes = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS axis, var_samp({' + '.join(f'{w} * {c}' for w, c in zip(weights, PCA_COLS))}) AS v FROM z"
+        for name, weights in PCA_AXES.items())
+    return _pca_ctes().rstrip() + f",\n{z}\nSELECT axis, round(v, 6) AS variance, round(v / {len(PCA_COLS)}, 6) AS inertia_share FROM ({axes})"
+
+
 _ZS = ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS z_{c}"
                 for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
@@ -254,6 +302,8 @@ FROM (SELECT v, n, sum(n) OVER () AS t, row_number() OVER (ORDER BY n DESC, v) A
        for c in FAMD_CATEGORICAL])
 
 ORACLE = {
+    "pca_spectrum": _spectrum_sql(),
+    "pca_projected_variance": _projected_sql(),
     "famd_design": _FAMD_SQL,
     "sample_fraction": f"""SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
         WHERE substr({_H}, 1, 8) < '{format(int(SAMPLE_FRACTION * 16 ** 8), "08x")}'""",

@@ -92,3 +92,48 @@ def test_correlation_symmetric(spark):
                                     (F.col("id") % 7).cast("double").alias("c"))
     m = {(r.col_a, r.col_b): r.r for r in correlation_long(df, ["a", "b", "c"]).collect()}
     assert m[("a", "b")] == -1.0 and m[("a", "a")] == 1.0 and m[("a", "c")] == m[("c", "a")]
+
+
+def test_one_gram_aggregate_of_many_columns(spark):
+    from quarry.operators.gram import gram
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 100)) * rng.uniform(0.01, 50, 100) + rng.uniform(-9, 9, 100)
+    x[:, 3] += 1e7      # far from zero: the scan is repeated about the mean
+    x[:, 50] = 4.25     # constant
+    x[:, 99] = x[:, 0] * -2
+    names = [f"c{i}" for i in range(100)]
+    rows = [tuple(map(float, r)) for r in x] + [(None, *[1.0] * 99)]
+    g = gram(spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(6), names)
+    assert g.rows == 700 and g.mean == pytest.approx(x.mean(0), rel=1e-9)
+    assert g.std[50] == 0 and np.isnan(g.correlation[50, 0])
+    assert g.covariance == pytest.approx(np.cov(x, rowvar=False), rel=1e-9, abs=1e-9)
+    live = [i for i in range(100) if i != 50]
+    assert g.correlation[np.ix_(live, live)] == pytest.approx(np.corrcoef(x[:, live], rowvar=False), abs=1e-9)
+    assert gram(spark.createDataFrame(rows[:0], ", ".join(f"{n} double" for n in names)), names).rows == 0
+
+
+def test_gram_reads_the_table_once(spark):
+    from quarry.operators.gram import _about
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("gram", "gram")
+    _about(df.select("l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"], np.zeros(2))
+    jobs = tracker.getJobIdsForGroup("gram")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert len(jobs) == 1
+
+
+def test_spectrum_and_projections(spark):
+    from quarry.operators.ml import pca_spectrum, projected_variance, standard_scale
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    x[:, 1] += x[:, 0]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x] + [(1.0, None, 2.0)], "a double, b double, c double")
+    r = np.corrcoef(x, rowvar=False)
+    got = {row.power: row.total for row in pca_spectrum(df, ["a", "b", "c"]).collect()}
+    assert [got[p] for p in (1, 2, 3, 4)] == pytest.approx([np.trace(np.linalg.matrix_power(r, p)) for p in (1, 2, 3, 4)], abs=1e-9)
+    w = np.array([0.5, -0.5, 2.0])
+    one = projected_variance(df, ["a", "b", "c"], {"w": list(w)}).first()
+    assert one.variance == pytest.approx(w @ r @ w, abs=1e-9) and one.inertia_share == pytest.approx(one.variance / 3)
+    z = np.array([tuple(row) for row in standard_scale(df, ["a", "b", "c"], []).collect()])
+    assert np.sort(z, axis=0) == pytest.approx(np.sort((x - x.mean(0)) / x.std(0, ddof=1), axis=0), abs=1e-9)
