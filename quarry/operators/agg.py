@@ -6,12 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quarry.functions.formatting import ratio
 from quarry.operators.joins import bounded_broadcast, settled
 
 
+SKETCH_LOG2 = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG2 / 2)   # relative standard error of a HyperLogLog sketch
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -83,21 +88,52 @@ def null_percent(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                     ratio("s.null_count", "__rows", 100.0).alias("null_pct")))
 
 
+def _digest(column: Column, kind: T.DataType) -> Column:
+    """128 bits of a value; NULL for NULL. Equal numbers have equal digests (0.0 and -0.0)."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        column = column + F.lit(0.0)
+    return F.unhex(F.md5(column if isinstance(kind, T.BinaryType) else column.cast("string")))
+
+
 def distinct_counts(df: DataFrame, columns: list[str], include_null: bool = False,
                     approx: bool = False) -> DataFrame:
     """One row: distinct count per column. ``include_null`` adds 1 when the
-    column has a NULL (the ``distinct().count()`` form)."""
-    def one(c: str) -> Column:
-        d = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        if include_null:
-            d = d + F.max(F.col(c).isNull().cast("int"))
-        return d.alias(c)
-    return df.agg(*[one(c) for c in columns])
+    column has a NULL (the ``distinct().count()`` form).
+
+    A row gives a (column number, 128-bit digest) pair per column; equal pairs vanish in
+    the task that reads them and are counted per column after one shuffle of digests.
+    ``approx`` estimates from one HyperLogLog sketch per column instead, which is
+    merged in any order; its relative standard error is ``SKETCH_ERROR``."""
+    if approx:
+        def one(c: str) -> Column:
+            d = F.hll_sketch_estimate(F.hll_sketch_agg(_digest(F.col(c), df.schema[c].dataType), SKETCH_LOG2))
+            return (d + F.max(F.col(c).isNull().cast("int")) if include_null else d).alias(c)
+        return df.agg(*[one(c) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), _digest(F.col(c), df.schema[c].dataType).alias("d"))
+                      for i, c in enumerate(columns)])
+    seen = df.select(F.explode(pairs).alias("p")).select("p.c", "p.d")
+    if not include_null:
+        seen = seen.where(F.col("d").isNotNull())
+    return seen.distinct().agg(*[F.count_if(F.col("c") == i).alias(c) for i, c in enumerate(columns)])
+
+
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row, NULLs in their places."""
+    parts = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return [F.xxhash64(*parts).alias("__h0"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("__h1")]
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: ``total - distinct rows`` (full-row duplicates), one shuffle."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    """One row: ``total - distinct rows`` (full-row duplicates).
+
+    128-bit digests are counted first and only they are shuffled. Rows whose digest
+    comes more than once are then compared whole, grouped where they are read, so a
+    collision of digests is not counted. Eager: the repeated digests are written."""
+    h0, h1 = row_digest(df)
+    repeated = settled(df.select(h0, h1).groupBy("__h0", "__h1").agg(F.count(F.lit(1)).alias("__n"))
+                       .where("__n > 1").select("__h0", "__h1"), "repeated")
+    rows = df.select(*[F.col(f"`{c}`") for c in df.columns], h0, h1).join(repeated, ["__h0", "__h1"], "left_semi")
+    g = rows.groupBy("__h0", "__h1", *[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
@@ -150,7 +186,8 @@ def count_quantiles(counts: DataFrame, at: dict[str, float], features: int) -> D
     A quantile q lies at position q * (n - 1) of the ordered values. Positions are found
     by radix selection on the values' 64-bit images: counts per 16-bit prefix, then inside
     the prefix that holds the position per further 16 bits, four times. No range of
-    values is ever ordered: a window sees at most 2^16 counts."""
+    values is ever ordered: a window sees at most 2^16 counts. Eager: a small job for each
+    of the four, whose positions (two for each quantile and feature) are collected."""
     spark = counts.sparkSession
     bound = features * 2 * len(at)
     names = spark.createDataFrame([(n, float(q)) for n, q in at.items()], "name string, q double")
@@ -170,13 +207,15 @@ def count_quantiles(counts: DataFrame, at: dict[str, float], features: int) -> D
             keys = ["feature", "prefix"]
             inside = inside.join(bounded_broadcast(targets.select(*keys).distinct(), bound), keys, "left_semi")
         cells = inside.groupBy(*keys, F.shiftright("image", shift).alias("cell")).agg(F.sum("n").alias("n"), F.max("x").alias("x"))
-        wanted = targets.select(*keys, "name", "part", "side", "pos")
-        found = (cells.join(bounded_broadcast(wanted, bound), keys)
+        found = (cells.join(bounded_broadcast(targets, bound), keys)
                  .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
                  .where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("n"))))
-        targets = found.select("feature", "name", "part", "side", (F.col("pos") - F.col("start")).alias("pos"),
-                               F.col("cell").alias("prefix"), "x")
-    ends = targets.groupBy("feature", "name", "part").agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("low"),
+        found = found.select("feature", "name", "part", "side", (F.col("pos") - F.col("start")).alias("pos"),
+                             F.col("cell").alias("prefix"), "x").collect()   # a row per position
+        schema = "feature string, name string, part double, side int, pos long, prefix long, x double"
+        ends = spark.createDataFrame(found, schema)
+        targets = ends.drop("x")
+    ends = ends.groupBy("feature", "name", "part").agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("low"),
                                                           F.max(F.when(F.col("side") == 1, F.col("x"))).alias("high"))
     # equal neighbours as they are: infinities have no difference
     value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))

@@ -75,6 +75,31 @@ def rank_prefix(df: DataFrame, value: str, k: int, kind: str, tiebreak: list[str
     return ranked
 
 
+def dense_rank_all(df: DataFrame, value: str, descending: bool = True, out: str = "rank") -> DataFrame:
+    """``dense_rank`` of every row by ``value`` over the whole table (NULLs last when
+    descending, first when ascending), without a window over it.
+
+    The distinct values are range-partitioned, sorted and written with their position
+    in their range; ranges are counted, and the counts of the ranges before (one number
+    per partition, summed on the driver) turn positions into ranks. The planner joins the
+    ranked values to the rows by their size. Eager."""
+    spark = df.sparkSession
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    values = df.select(value).distinct().repartitionByRange(order).sortWithinPartitions(order)
+    at = F.monotonically_increasing_id()
+    ranged = materialize(values.select(value, F.shiftright(at, 33).alias("__range"), (at.bitwiseAND((1 << 33) - 1)).alias("__at")),
+                         "ranked-values")
+    counts = sorted((r["__range"], r["n"]) for r in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, starts = 0, []
+    for number, n in counts:
+        starts.append((number, before))
+        before += n
+    starts = spark.createDataFrame(starts, "__range long, __before long")
+    ranks = (ranged.join(bounded_broadcast(starts, len(counts)), "__range")   # a row per partition
+             .select(F.col(value).alias("__value"), (F.col("__before") + F.col("__at") + 1).cast("int").alias(out)))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("__value"))).select(*df.columns, out)
+
+
 def moving_average(df: DataFrame, order_col: str, value: str, rows: int = 3,
                    out: str = "moving_avg") -> DataFrame:
     """Mean over the current and ``rows - 1`` preceding rows (a row frame:

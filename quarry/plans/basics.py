@@ -7,27 +7,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from quarry.functions.address import (block_number, direction, sql_block_number, sql_direction,
                                       sql_street_name, sql_street_type, street_name, street_type)
 from quarry.functions.calendar import (derive_calendar, derive_time_features, geo_grid,
                                        weekend_label)
 from quarry.functions.formatting import format_percent, ratio
-from quarry.operators.agg import (conditional_counts, distinct_counts, duplicate_rows,
+from quarry.operators.agg import (SKETCH_ERROR, conditional_counts, distinct_counts, duplicate_rows,
                                   global_aggregate, group_count, group_mean, group_mode,
                                   heatmap_pivot, long_values, null_counts, null_percent)
 from quarry.operators.joins import attach_scalar, lookup_join, semi_join_top, settled
 from quarry.operators.materialize import scratch_table
 from quarry.operators.quality import anomaly_filter, collapse_top_categories
-from quarry.operators.windows import (cumulative_sum, moving_average, rank_prefix,
+from quarry.operators.windows import (cumulative_sum, dense_rank_all, moving_average, rank_prefix,
                                       share_of_partition, top_per_group, topk)
 from quarry.plans import params as P
 from quarry.plans.bindings import (INCIDENTS_SQL, TIMED_SQL, district_counts, incidents, timed_incidents,
                                    with_sql)
 from quarry.plans.preprocess import INJECT
 from quarry.plans.preprocess import raw as raw_incidents
-from quarry.sources.io import rewrite_versioned, scan_csv, sink_csv, sink_parquet
+from quarry.sources.io import VersionedTable, scan_csv, scan_csv_checked, sink_csv, sink_parquet
 from quarry.sources.tables import read_table
 
 INC = with_sql(INCIDENTS_SQL)
@@ -40,6 +39,10 @@ def _scratch(spark, label: str) -> str:
     return scratch_table(spark, label)
 
 
+# Which lines of the 22-field file are broken, by order_key % 50.
+BAD_LINES = {"id": 0, "short": 1, "long": 2, "date": 3}
+
+
 # --- sources and sinks ----------------------------------------------------
 
 ORDERS_SCHEMA = T.StructType([
@@ -75,10 +78,47 @@ def q_sink_csv(spark, sf):
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def q_scan_csv_rejected(spark, sf):
+    """Incidents written in the 22-field layout, some lines broken by a key rule, and read
+    back: lines by part and number of fields, with the sum of the clean IDs."""
+    path = _scratch(spark, "incidents-csv")
+    kind = F.col("order_key") % 50
+    stamp = F.date_format("incident_date", "MM/dd/yyyy hh:mm:ss a")
+    fields = [F.when(kind == BAD_LINES["id"], F.lit("n/a")).otherwise((F.col("order_key") % 1_000_000_000).cast("string")),
+              F.concat(F.lit("C"), F.col("order_key").cast("string")),
+              F.when(kind == BAD_LINES["date"], F.lit("31/31/2020 25:00:00 XM")).otherwise(stamp),
+              F.concat(F.lit('"'), F.col("block"), F.lit('"')), F.lit("0110"), F.col("primary_type"), F.col("description"),
+              F.col("location_description"), F.col("arrest").cast("string"), F.col("domestic").cast("string"),
+              *[F.col(c).cast("int").cast("string") for c in ("beat", "district", "ward", "community_area")], F.col("fbi_code"),
+              F.lit("1"), F.lit("2"), F.year("incident_date").cast("string"), stamp, F.col("latitude").cast("string"),
+              F.col("longitude").cast("string"), F.lit("(1, 2)")]
+    line = (F.when(kind == BAD_LINES["short"], F.concat_ws(";", *fields[:10]))
+            .when(kind == BAD_LINES["long"], F.concat_ws(";", *fields, F.lit("extra"))).otherwise(F.concat_ws(";", *fields)))
+    incidents(spark, sf).select(line.alias("value")).write.text(path)
+    clean, rejected = scan_csv_checked(spark, path, _scratch(spark, "incidents-parsed"), header=False)
+    good = clean.agg(F.lit("clean").alias("part"), F.lit(22).alias("fields"), F.count(F.lit(1)).alias("count"),
+                     F.sum(F.col("ID").cast("long")).alias("id_sum"))
+    bad = rejected.groupBy(F.lit("rejected").alias("part"), F.size(F.split("line", ";")).alias("fields")).agg(
+        F.count(F.lit(1)).alias("count"), F.lit(None).cast("long").alias("id_sum"))
+    return good.unionByName(bad)
+
+
 def q_in_place_update(spark, sf):
-    path = _scratch(spark, "blocks")
-    sink_parquet(incidents(spark, sf, KEYS + ["block"]), path)
-    return rewrite_versioned(spark, path, lambda d: d.withColumn("street_name", street_name("block")), 1)
+    blocks = VersionedTable(spark, _scratch(spark, "blocks"))
+    blocks.commit(incidents(spark, sf, KEYS + ["block"]))
+    blocks.rewrite(lambda d: d.withColumn("street_name", street_name("block")))
+    return blocks.read()
+
+
+def q_in_place_update_twice(spark, sf):
+    """Two rewrites in a row, the first of them still read after the second."""
+    blocks = VersionedTable(spark, _scratch(spark, "blocks"))
+    blocks.commit(incidents(spark, sf, KEYS + ["block"]))
+    first = blocks.rewrite(lambda d: d.withColumn("street_name", street_name("block")))
+    pinned = blocks.read()
+    second = blocks.rewrite(lambda d: d.where("beat % 2 = 0").withColumn("street_name", F.lower("street_name")))
+    return (pinned.withColumn("version", F.lit(first)).unionByName(blocks.read().withColumn("version", F.lit(second)))
+            .select("version", *KEYS, "street_name"))
 
 
 # --- columns and predicates --------------------------------------------------
@@ -284,6 +324,18 @@ def q_distinct_count(spark, sf):
     return distinct_counts(incidents(spark, sf, _STR_COLS), _STR_COLS)
 
 
+def q_distinct_count_sketch(spark, sf):
+    """Estimated distinct counts from mergeable sketches beside the exact ones, with
+    whether the estimate keeps within four standard errors."""
+    df = incidents(spark, sf, _STR_COLS)
+    both = attach_scalar(distinct_counts(df, _STR_COLS),
+                         distinct_counts(df, _STR_COLS, approx=True).select(*[F.col(c).alias(f"e_{c}") for c in _STR_COLS]))
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.col(c).alias("distinct"),
+        (F.abs(F.col(f"e_{c}") - F.col(c)) <= F.ceil(4 * SKETCH_ERROR * F.col(c))).alias("within")) for c in _STR_COLS]))
+    return both.select(rows.alias("r")).select("r.*")
+
+
 _NUM_COLS = ["beat", "district", "ward", "community_area", "latitude", "longitude"]
 
 
@@ -345,8 +397,12 @@ def q_win_rank_top1(spark, sf):
 
 def q_win_dense_rank_global(spark, sf):
     g = group_count(incidents(spark, sf, ["district"]), ["district"])
-    # global window over the aggregated districts only
-    return g.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("count"))).cast("int"))
+    return dense_rank_all(g, "count")
+
+
+def q_win_dense_rank_rows(spark, sf):
+    """The dense rank of every incident by its (near-unique) coordinate."""
+    return dense_rank_all(raw_incidents(spark, sf).select(*KEYS, "latitude"), "latitude")
 
 
 def q_win_rank_global_topk(spark, sf):
@@ -415,6 +471,17 @@ ORACLE = {
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_quantity > 25",
     "sink_parquet": INC + f"SELECT {_K}, incident_date, district FROM incidents",
     "sink_csv": INC + "SELECT district, count(*) AS count FROM incidents WHERE domestic GROUP BY 1",
+    "scan_csv_rejected": INC + f"""SELECT part, CAST(fields AS INTEGER) AS fields, count(*) AS count,
+        CAST(sum(CASE WHEN part = 'clean' THEN order_key % 1000000000 END) AS BIGINT) AS id_sum FROM (
+          SELECT order_key, CASE WHEN order_key % 50 IN ({", ".join(map(str, BAD_LINES.values()))}) THEN 'rejected' ELSE 'clean' END AS part,
+                 CASE order_key % 50 WHEN {BAD_LINES["short"]} THEN 10 WHEN {BAD_LINES["long"]} THEN 23 ELSE 22 END AS fields
+          FROM incidents) GROUP BY 1, 2""",
+    "in_place_update_twice": INC + f"""SELECT CAST(v.version AS INTEGER) AS version, {_K},
+        CASE v.version WHEN 2 THEN {sql_street_name('block')} ELSE lower({sql_street_name('block')}) END AS street_name
+        FROM incidents, (VALUES (2), (3)) AS v(version) WHERE v.version = 2 OR beat % 2 = 0""",
+    "distinct_count_sketch": INC + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(DISTINCT {c}) AS distinct, true AS within FROM incidents" for c in _STR_COLS),
+    "win_dense_rank_rows": _RAW + f"SELECT {_K}, latitude, CAST(dense_rank() OVER (ORDER BY latitude DESC NULLS LAST) AS INTEGER) AS rank FROM raw",
     "in_place_update": INC + f"SELECT {_K}, block, {sql_street_name('block')} AS street_name FROM incidents",
 "drop_columns": INC + f"SELECT {_K}, district, ward FROM incidents",
     "derive_calendar": TIMED + """SELECT incident_id, incident_ts, incident_ts AS ts,

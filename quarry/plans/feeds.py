@@ -79,10 +79,8 @@ def feed_interval_hist(spark, sf):
 
 
 def feed_interval_box(spark, sf):
-    x = _intervals(spark, sf)
-    ends = x.agg(F.min("diff_seconds").alias("min"), F.max("diff_seconds").alias("max"))
-    marks = quantiles(x, "diff_seconds", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return attach_scalar(ends, marks).select("min", "q1", "median", "q3", "max")
+    """Five numbers of the intervals, all positions of one radix selection."""
+    return quantiles(_intervals(spark, sf), "diff_seconds", {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
 
 
 def feed_cumulative_top_groups(spark, sf):

@@ -1,7 +1,8 @@
 from quarry.sources.io import (  # noqa: F401
     INCIDENT_SCHEMA,
-    rewrite_versioned,
+    VersionedTable,
     scan_csv,
+    scan_csv_checked,
     scan_parquet,
     sink_csv,
     sink_parquet,
