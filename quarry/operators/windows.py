@@ -11,18 +11,20 @@ Two regimes:
   (per-partition top-k, then merge) and only those are ranked;
 * windows over the **fact** partitioned by a low-cardinality key (row number
   of an incident inside its District, running totals, lag) use
-  ``sequence_within_groups``: a range-partitioned prefix sum that splits
-  every group over many tasks, so a District holding a third of the rows
-  is not one task.
+  ``sequence_within_groups``: offsets counted from the keys, or a range-partitioned
+  prefix sum; both split every group over many tasks, so a District holding a third
+  of the rows is not one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.operators.joins import bounded_broadcast
+from quarry.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 from quarry.operators.materialize import materialize
 
 
@@ -125,18 +127,63 @@ def share_of_partition(df: DataFrame, keys: list[str], value: str, out: str = "s
 
 
 SLICE_ROWS_LOG2 = 20   # rows of one slice at most: 2 ** SLICE_ROWS_LOG2
+RUN_ROWS_LOG2 = 24     # rows of one run at most, else the frame is numbered by range
+
+
+def _runs(df: DataFrame, group_cols: list[str], order_cols: list[str], lag_cols: list[str], partitions: int) -> DataFrame:
+    """(group, first order column, __n, __before, last values, last values of the run before), written:
+    the rows of equal group and first order column are a run. Read from keys only."""
+    first, rest = order_cols[0], order_cols[1:]
+    last = F.struct(*rest) if rest else F.lit(0)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.max_by(F.struct(F.col(c)), last).alias(f"__last_{c}") for c in lag_cols if c != first]
+    counts = df.groupBy(*group_cols, first).agg(*aggs)
+    counts = counts.withColumns({f"__last_{c}": F.struct(F.col(c)) for c in lag_cols if c == first})
+    w = Window.partitionBy(*group_cols).orderBy(first)
+    out = counts.withColumn("__before", F.sum("__n").over(w) - F.col("__n"))
+    for c in lag_cols:
+        out = out.withColumn(f"__prev_{c}", F.lag(f"__last_{c}").over(w)[c])
+    # where ``repartition`` puts the run
+    out = out.withColumn("__part", F.pmod(F.hash(*group_cols, first), F.lit(partitions)))
+    return materialize(out.drop(*[f"__last_{c}" for c in lag_cols]), "runs")
+
+
+def _numbered_by_runs(df: DataFrame, runs: DataFrame, group_cols: list[str], order_cols: list[str], out: str,
+                      lag_cols: list[str], partitions: int, bound: int) -> DataFrame:
+    """Rows shuffled and sorted once; a row's place in its partition less the rows of the
+    runs that stand before its own there is its place in the run."""
+    first = order_cols[0]
+    keys = [*group_cols, first]
+    at = Window.partitionBy("__part").orderBy(*keys)
+    starts = runs.withColumn("__start", F.sum("__n").over(at) - F.col("__n"))
+    starts = starts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__before", "__start", *[f"__prev_{c}" for c in lag_cols])
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = df.repartition(partitions, *keys).sortWithinPartitions(*keys, *order_cols[1:]).withColumn("__pos", place)
+    for c in lag_cols:  # the rows lie and are sorted as this window asks
+        rows = rows.withColumn(f"__lag_{c}", F.lag(c).over(Window.partitionBy(*keys).orderBy(*order_cols[1:])))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    joined = rows.join(bounded_broadcast(starts, bound), same)
+    nth = F.col("__pos") - F.col("__start")
+    joined = joined.withColumns({out: (nth + F.col("__before") + 1).cast("long"), **{
+        f"lag_{c}": F.when(nth == 0, F.col(f"__prev_{c}")).otherwise(F.col(f"__lag_{c}")) for c in lag_cols}})
+    return joined.select(*df.columns, out, *[f"lag_{c}" for c in lag_cols])
 
 
 def sequence_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                            out: str = "row_num", num_partitions: int | None = None,
                            lag_cols: list[str] | None = None,
-                           slice_rows_log2: int = SLICE_ROWS_LOG2) -> DataFrame:
+                           slice_rows_log2: int = SLICE_ROWS_LOG2, run_rows_log2: int = RUN_ROWS_LOG2) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)`` (and
     optionally ``lag(c)`` for ``lag_cols``) computed without putting a group in
-    one task. NULL groups are groups; ``df`` may have any further columns.
+    one task. NULL groups are groups; ``df`` may have any further columns. Eager.
 
     ``order_cols`` must make the order total (end with a unique key).
 
+    If rows of equal group and first order column (runs) are few enough to be broadcast and
+    none is too large, they are counted from the keys alone, and the counts of the runs
+    before it are a run's offset: rows are shuffled and sorted once, and nothing but the
+    counts is written. Else the order itself is cut:
+
     1. The rows are range-partitioned by (group, order), sorted, numbered
        (``monotonically_increasing_id``: task in the high bits, row in the low
        ones) and written once, so everything below reads the same numbers.
@@ -148,11 +195,16 @@ def sequence_within_groups(df: DataFrame, group_cols: list[str], order_cols: lis
     3. row_number = position - first position in slice + earlier rows + 1.
        ``lag`` inside a slice is the previous row; at a slice start it is the
        last row of the group in the previous slice."""
+    lag_cols = lag_cols or []
+    partitions = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = _runs(df, group_cols, order_cols, lag_cols, partitions)
+    size = runs.agg(F.count(F.lit(1)).alias("runs"), F.max("__n").alias("most")).first()
+    if size["runs"] <= MAX_BROADCAST_ROWS and (size["most"] or 0) <= 1 << run_rows_log2:
+        return _numbered_by_runs(df, runs, group_cols, order_cols, out, lag_cols, partitions, max(1, size["runs"]))
     keys = [*group_cols, *order_cols]
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     sliced = materialize(ranged.sortWithinPartitions(*keys).withColumn("__pos", F.monotonically_increasing_id()), "sliced")
     sliced = sliced.withColumn("__slice", F.shiftright("__pos", slice_rows_log2))
-    lag_cols = lag_cols or []
     stat_aggs = [F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n")]
     stat_aggs += [F.max_by(c, "__pos").alias(f"__last_{c}") for c in lag_cols]
     stats = sliced.groupBy("__slice", *group_cols).agg(*stat_aggs)

@@ -67,3 +67,32 @@ def test_quantiles_are_exact(spark, values):
 
 def test_quantiles_of_nothing(spark):
     assert tuple(quantiles(spark.createDataFrame([], "v double"), "v", {"m": 0.5}).first()) == (None,)
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 8])
+@pytest.mark.parametrize("log2", [24, 5])
+def test_sequence_by_runs_and_by_range(spark, partitions, log2):
+    """Both ways to number rows, with NULLs in group and order, several group columns,
+    strings and times, and a value of ``lag`` that is missing in the last row of a run."""
+    df = _skewed(spark).select(
+        "id", "g", F.when(F.col("id") % 4 != 0, F.concat(F.lit("s"), (F.col("id") % 3).cast("string"))).alias("h"),
+        F.when(F.col("d") != 3, F.timestamp_seconds(F.col("d") * 86400)).alias("t"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("x"), "payload").repartition(6)
+    got = sequence_within_groups(df, ["g", "h"], ["t", "id"], out="rn", num_partitions=partitions, lag_cols=["t", "x"],
+                                 slice_rows_log2=6, run_rows_log2=log2)
+    assert got.columns == [*df.columns, "rn", "lag_t", "lag_x"]
+    w = Window.partitionBy("g", "h").orderBy("t", "id")
+    want = df.withColumns({"rn": F.row_number().over(w).cast("long"), "lag_t": F.lag("t").over(w), "lag_x": F.lag("x").over(w)})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_numbering_by_runs_writes_no_rows(spark):
+    from quarry.operators.materialize import written
+    before = set(written(spark))
+    df = _skewed(spark)
+    out = sequence_within_groups(df, ["g"], ["d", "id"], out="rn")
+    made = [p for p in written(spark) if p not in before]
+    assert len(made) == 1 and "payload" not in spark.read.parquet(made[0]).columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "row_number" not in plan
+    assert sequence_within_groups(df.limit(0), ["g"], ["d", "id"], out="rn", lag_cols=["d"]).collect() == []
