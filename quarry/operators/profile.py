@@ -1,13 +1,15 @@
-"""Table profiling and class-imbalance analysis in one pass per table.
+"""Table profiling and class-imbalance analysis in one pass per column.
 
 The per-column loops of a driver program (a distinct job, a group-by job
-and a top-k job per column) become ONE long ``(feature, value)`` frame read in
-one scan: partial aggregation on the map side, one shuffle of the counts, then
-aggregates over those. Numbers are never turned into strings by the profile.
+and a top-k job per column) become ONE long ``(feature, value)`` frame of the text
+columns: partial aggregation on the map side, one shuffle of the counts, then
+aggregates over those. The profile takes numbers in one wide aggregate instead.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,36 +38,36 @@ def profile_table(df: DataFrame) -> DataFrame:
     (non-NULL), top value and its share of rows (ties -> smallest value); for
     numbers mean, sample stddev and variance, min, max.
 
-    One scan and one shuffle: a row becomes a (feature, value, x) entry per
-    column, where only strings and booleans carry a value, so all of a numeric
-    column is one group that is combined before the shuffle."""
-    cols, dtypes = df.columns, dict(df.dtypes)
-    kinds = {c: df.schema[c].dataType for c in cols}
-    entries = []
-    for c in cols:
-        text = isinstance(kinds[c], (T.StringType, T.BooleanType))
-        number = isinstance(kinds[c], NUMERIC)
-        entries.append(F.struct(
-            F.lit(c).alias("feature"), (F.col(c).cast("string") if text else F.lit(None).cast("string")).alias("value"),
-            (F.col(c).cast("double") if number else F.lit(None).cast("double")).alias("x"),
-            F.col(c).isNull().alias("absent"), F.lit(text).alias("text")))
-    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    counts = long.groupBy("feature", "value", "text").agg(
-        F.count(F.lit(1)).alias("count"), F.count_if("absent").alias("absent"), F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("stddev"), F.var_samp("x").alias("variance"), F.min("x").alias("min"), F.max("x").alias("max"))
-    best = F.struct(-F.col("count"), F.col("value"))
-    per = counts.groupBy("feature", "text").agg(
-        F.sum("count").alias("rows"), F.sum("absent").alias("nulls"), F.count("value").alias("distinct"),
-        F.min_by("value", best).alias("top_value"), F.min_by("count", best).alias("top_count"),
-        *[F.max(c).alias(c) for c in ("mean", "stddev", "variance", "min", "max")])
-    types = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(dtypes[c]))])
-    own = F.col("text")
-    return per.select(
+    Numbers are one wide aggregate that reads only them; strings and booleans are one
+    (feature, value) frame with one shuffle of counts. Each column is read once."""
+    kinds, dtypes = {f.name: f.dataType for f in df.schema.fields}, dict(df.dtypes)
+    text = [c for c in df.columns if isinstance(kinds[c], (T.StringType, T.BooleanType))]
+    other = [c for c in df.columns if c not in text]
+    moments = {"mean": F.avg, "stddev": F.stddev_samp, "variance": F.var_samp, "min": F.min, "max": F.max}
+    parts = []
+    if other:
+        wide = [F.count(F.lit(1)).alias("rows")]
+        for i, c in enumerate(other):
+            x = F.col(f"`{c}`").cast("double") if isinstance(kinds[c], NUMERIC) else F.lit(None).cast("double")
+            wide += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}"), *[f(x).alias(f"{n}_{i}") for n, f in moments.items()]]
+        rows = F.explode(F.array(*[F.struct(
+            F.lit(c).alias("feature"), "rows", F.col(f"nulls_{i}").alias("nulls"), F.lit(None).cast("long").alias("distinct"),
+            F.lit(None).cast("string").alias("top_value"), F.lit(None).cast("long").alias("top_count"),
+            *[F.col(f"{n}_{i}").alias(n) for n in moments]) for i, c in enumerate(other)]))
+        parts.append(df.agg(*wide).select(rows.alias("r")).select("r.*"))
+    if text:
+        counts = value_counts(df, text)
+        best = F.struct(-F.col("count"), F.col("value"))
+        parts.append(counts.groupBy("feature").agg(
+            F.sum("count").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("nulls"),
+            F.count("value").alias("distinct"), F.min_by("value", best).alias("top_value"), F.min_by("count", best).alias("top_count"),
+            *[F.max(F.lit(None).cast("double")).alias(n) for n in moments]))
+    types = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(dtypes[c]))])
+    return reduce(DataFrame.unionByName, parts).select(
         "feature", types[F.col("feature")].alias("dtype"), "rows", "nulls",
-        F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("null_pct"), F.when(own, F.col("distinct")).alias("distinct"),
+        F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("null_pct"), "distinct",
         *[F.round(c, 4).alias(c) for c in ("mean", "stddev", "variance")], "min", "max",
-        "top_value", F.when(own, F.col("top_count")).alias("top_count"),
-        F.when(own, F.round(F.col("top_count") / F.col("rows"), 4)).alias("top_ratio"))
+        "top_value", "top_count", F.round(F.col("top_count") / F.col("rows"), 4).alias("top_ratio"))
 
 
 def imbalance_frame(df: DataFrame, date_col: str | None, lat_col: str | None, lon_col: str | None,

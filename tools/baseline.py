@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window as W  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.plans import params as P  # noqa: E402
 from quarry.plans.bindings import incidents  # noqa: E402
 from quarry.plans.declared import ORDER_KEYS, _grouped  # noqa: E402
 from quarry.plans.preprocess import raw, stage_features  # noqa: E402
@@ -58,7 +57,7 @@ def interval(spark, sf):
 
 
 def top_streets(spark, sf):
-    df = stage_features(spark, sf).filter(F.col("location_description") == P.STREET_LOCATION)
+    df = stage_features(spark, sf)
     return df.groupBy("street_name").count().orderBy(F.desc("count")).limit(10)
 
 
