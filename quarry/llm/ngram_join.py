@@ -11,13 +11,18 @@ sets link when ``100 * shared >= percent * united``. No link is lost:
    link share a token among their first ``n - ceil(percent * n / 100) + 1``.
    Tokens are dealt out by hash; those of a single set vanish, and groups with
    the same members are kept once.
+   Groups with the same smallest (then: largest) member become one wherever
+   their union has no more pairs than they have apart, as a group of near
+   copies shares most of its prefix and would be searched once a token.
 3. In every group, the sets that may link with the group's smallest set
    id are verified, and what links is contracted to components. That leaves a
    group of copies, however large, with one label after linear work.
 4. Groups that still hold several labels are searched by dual traversal of
    signature trees, which opens only node pairs that may hold a link between
    different labels. Large groups are split into blocks by size class and hash;
-   block pairs are separate pieces of work.
+   block pairs are separate pieces of work. The first search passes on a forest
+   of likely links only, fewer than the sets searched; they are verified and
+   contracted. The second search passes on all that may still link.
 5. Candidates are verified on the whole sets, recomputed for the documents
    concerned only, and the components are completed.
 
@@ -179,6 +184,23 @@ def shared_groups(docs: DataFrame, counts: np.ndarray, frequent: dict, tasks: in
     return scratch.save(found.distinct(), "groups")
 
 
+def merged_groups(groups: DataFrame, scratch: Scratch, end: str) -> DataFrame:
+    """``groups`` with those of one smallest (``end`` "min") or largest ("max")
+    member united, where the union has no more pairs than its parts. Sets that
+    share a group still do."""
+    sized = scratch.save(groups.groupBy("gh").agg(getattr(F, end)("sid").alias("a"), F.count(F.lit(1)).alias("members")),
+                         f"{end}-sized")
+    several = (sized.groupBy("a").agg(F.sum(F.col("members") * F.col("members")).alias("pairs"), F.count(F.lit(1)).alias("parts"))
+               .where("parts > 1"))
+    parts = scratch.save(sized.join(several, "a").select("gh", "a", "pairs"), f"{end}-parts")
+    union = scratch.save(groups.join(parts, "gh").select("a", "pairs", "sid").distinct(), f"{end}-union")
+    united = scratch.save(union.groupBy("a", "pairs").agg(F.count(F.lit(1)).alias("members"))
+                          .where("members * members <= pairs").select("a"), f"{end}-united")
+    apart = groups.join(parts.join(united, "a", "left_semi"), "gh", "left_anti")
+    merged = union.join(united, "a", "left_semi").select(F.xxhash64(F.lit(end), "a").alias("gh"), "sid")
+    return scratch.save(apart.unionByName(merged), f"{end}-groups")
+
+
 def star_pairs(groups: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs of a group's smallest set id with its others that may link."""
     first = scratch.save(groups.groupBy("gh").agg(F.min("sid").alias("a")), "centres")
@@ -205,29 +227,21 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
     """The links (u, v) among candidate pairs, decided on the whole sets. Sets
     are recomputed for documents in a size-bounded bitmap of those concerned; what
     else hits the bitmap finds no pair. Both sides of the join read one exchange."""
-    spark = docs.sparkSession
     sids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     needed = scratch.save(nodes.join(sids, "sid", "left_semi").select("sid", "rep"), f"{name}-needed")
-    bitmap = hash_filter(needed.where("rep is not null").select(F.xxhash64("rep")), FILTER_BITS).collect()
-    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for r in bitmap:
-        bits[r["slot"] * 4096:(r["slot"] + 1) * 4096] = np.frombuffer(r["bitmap"], np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
+    bitmap = scratch.save(hash_filter(needed.where("rep is not null").select(F.xxhash64("rep")), FILTER_BITS), f"{name}-bits")
 
     def sets(batches):
-        seen = shared.value
         for batch in batches:
-            at = batch.column("at").to_numpy().astype(np.int64)
-            hit = (seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            hit |= batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            found = [(set_id(t), t.tobytes()) for _, t in _sets(batch.filter(pa.array(hit)), width) if len(t)]
+            found = [(set_id(t), t.tobytes()) for _, t in _sets(batch, width) if len(t)]
             yield pa.RecordBatch.from_pydict({"sid": [s for s, _ in found], "tokens": [t for _, t in found]},
                                              schema=pa.schema([("sid", pa.int64()), ("tokens", pa.binary())]))
 
     doc_id = F.col(id_col).cast("long")
-    source = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(
-        F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)), F.lit(0)).alias("at"))
-    whole = source.mapInArrow(tidy(sets), "sid long, tokens binary")
+    source = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(doc_id).alias("at"))
+    # other texts never reach a Python worker
+    concerned = maybe_in(source, "at", bitmap, "hit", FILTER_BITS).where("hit or doc_id is null").select("doc_id", "text")
+    whole = concerned.mapInArrow(tidy(sets), "sid long, tokens binary")
 
     def decide(batches):
         for batch in batches:
@@ -245,16 +259,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scrat
     return scratch.save(sided.select("a", "b", "ta", "tb").mapInArrow(tidy(decide), "u long, v long").distinct(), f"{name}-links")
 
 
-def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: int, scratch: Scratch,
-               percent: int) -> DataFrame:
+def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: int, scratch: Scratch, name: str,
+               percent: int, forest: bool) -> DataFrame:
     """Candidate pairs of different labels, by dual traversal inside every
-    group that holds more than one label."""
+    group that holds more than one label: all of them, or (``forest``) only
+    likely links that join further labels of a task."""
     labelled = scratch.save(
         groups.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-        .select("gh", "sid", F.coalesce("label", "sid").alias("label")), "labelled")
+        .select("gh", "sid", F.coalesce("label", "sid").alias("label")), f"{name}-labelled")
     mixed = scratch.save(labelled.groupBy("gh").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-        .where("low <> high").select("gh", "members"), "mixed")
+        .where("low <> high").select("gh", "members"), f"{name}-mixed")
     members = labelled.join(mixed, "gh").join(nodes.select("sid", "n"), "sid")
     # sizes of linked sets differ by less than one class
     large = F.col("members") > BLOCK
@@ -262,21 +277,21 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
     blocks = F.ceil(F.col("members") / BLOCK)
     block = F.when(large, F.pmod(F.xxhash64("sid"), blocks)).otherwise(0).cast("int")
     members = scratch.save(members.select("gh", "sid", "label", "n", klass.alias("class"), block.alias("block")),
-                           "members")
+                           f"{name}-members")
     held = members.groupBy("gh", "class", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     other = held.select("gh", *[F.col(c).alias(f"{c}2") for c in ("class", "block", "low", "high")])
     after = (F.col("class2") > F.col("class")) | ((F.col("class2") == F.col("class")) & (F.col("block2") >= F.col("block")))
     work = (held.join(other, "gh").where(after & (F.col("class2") <= F.col("class") + 1))
             .where((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2")) | (F.col("low") != F.col("low2")))
             .withColumn("work", F.xxhash64("gh", "class", "block", "class2", "block2")))
-    work = scratch.save(work.select("gh", "class", "block", "class2", "block2", "work"), "work")
+    work = scratch.save(work.select("gh", "class", "block", "class2", "block2", "work"), f"{name}-work")
     twice = (F.col("class") != F.col("class2")) | (F.col("block") != F.col("block2"))
     second = (work.where(twice).select("gh", F.col("class2").alias("class"), F.col("block2").alias("block"), "work")
               .withColumn("side", F.lit(1)))
     sides = work.select("gh", "class", "block", "work").withColumn("side", F.lit(0)).unionByName(second)
     placed = members.join(sides, ["gh", "class", "block"]).select("work", "side", "sid", "label", "n")
     # signatures come last, so that they are moved once
-    rows = scratch.save(placed, "sides").join(nodes.select("sid", "sig"), "sid").select(
+    rows = scratch.save(placed, f"{name}-sides").join(nodes.select("sid", "sig"), "sid").select(
         "work", "side", "sid", "label", "n", "sig")
 
     def search(batches):
@@ -286,8 +301,9 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
         batch = pa.Table.from_batches(batches)
         work_id, side, sid, label, n = (batch.column(k).to_numpy() for k in ("work", "side", "sid", "label", "n"))
         n = n.astype(np.int64)
-        order = np.lexsort((sid, n, side, work_id))
-        bits = tree.unpack(batch.column("sig").to_pylist())[order]
+        bits = tree.unpack(batch.column("sig").to_pylist())
+        order = tree.arrangement(bits, n, sid, work_id, side)
+        bits = bits[order]
         work_id, side, sid, label, n = (v[order] for v in (work_id, side, sid, label, n))
         new = np.concatenate([[True], (work_id[1:] != work_id[:-1]) | (side[1:] != side[:-1])])
         levels, _ = tree.build(bits, n, label, np.cumsum(new))
@@ -296,12 +312,15 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
         root_work, root_side = work_id[at], side[at]
         two = np.append(root_side[1:] == 1, False)
         a = np.flatnonzero(root_side == 0)
+        likely = tree.Forest(label) if forest else None
         for i, j in tree.dual_traversal(levels, a, np.where(two[a], a + 1, a), percent):
+            if likely:
+                i, j = likely.take(i, j, *tree.bit_jaccard(bits, i, j), percent)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(sid[i], sid[j])), pa.array(np.maximum(sid[i], sid[j]))], names=["a", "b"])
 
     found = rows.repartition(tasks, "work").mapInArrow(tidy(search), "a long, b long")
-    return scratch.save(found.distinct(), "tree-pairs")
+    return scratch.save(found.distinct(), f"{name}-pairs")
 
 
 def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
@@ -320,14 +339,16 @@ def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id"
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(own, -(-(total * (100 - percent) // 100) // ENTRIES_PER_TASK))
     groups = shared_groups(docs, counts, frequent, tasks, scratch, id_col, text_col, width, percent)
+    groups = merged_groups(merged_groups(groups, scratch, "min"), scratch, "max")
     check = (docs, scratch)
     links = verified(star_pairs(groups, nodes, scratch, percent), nodes, *check, "star", id_col, text_col, width, percent)
     labels = components(links, scratch, "star")
-    rest = tree_pairs(groups, nodes, labels, tasks, scratch, percent)
-    more = verified(rest, nodes, *check, "tree", id_col, text_col, width, percent)
-    # contract what is known, then complete it
-    known = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
-    labels = components(known.unionByName(more), scratch, "all")
+    for name, forest in (("forest", True), ("tree", False)):
+        rest = tree_pairs(groups, nodes, labels, tasks, scratch, name, percent, forest)
+        more = verified(rest, nodes, *check, name, id_col, text_col, width, percent)
+        # contract what is known, then go on from there
+        known = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
+        labels = components(known.unionByName(more), scratch, f"{name}-all")
     return scratch.save(
         rows.select("doc_id", "content", "n", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
         .select("doc_id", "content", "n", F.coalesce("label", "sid").alias("label")), "placed")
