@@ -213,8 +213,10 @@ def star_pairs(groups: DataFrame, nodes: DataFrame, scratch: Scratch, percent: i
             c = {k: batch.column(k) for k in batch.schema.names}
             if not len(c["a"]):
                 continue
-            keep = tree.pairs_may_link(tree.unpack(c["sa"].to_pylist()), c["na"].to_numpy().astype(np.int64),
-                                       tree.unpack(c["sb"].to_pylist()), c["nb"].to_numpy().astype(np.int64), percent)
+            sa, sb = c["sa"].to_pylist(), c["sb"].to_pylist()
+            na, nb = c["na"].to_numpy().astype(np.int64), c["nb"].to_numpy().astype(np.int64)
+            keep = tree.pairs_may_link(tree.unpack(sa), na, tree.unpack(sb), nb, percent)
+            keep &= tree.wide_may_link(sa, na, sb, nb, percent)
             yield pa.RecordBatch.from_arrays([c["a"], c["b"]], names=["a", "b"]).filter(pa.array(keep))
 
     sized = (scratch.save(pairs, "star").join(left, "a").join(right, "b")
@@ -301,9 +303,10 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
         batch = pa.Table.from_batches(batches)
         work_id, side, sid, label, n = (batch.column(k).to_numpy() for k in ("work", "side", "sid", "label", "n"))
         n = n.astype(np.int64)
-        bits = tree.unpack(batch.column("sig").to_pylist())
+        own = batch.column("sig").to_pylist()
+        bits = tree.unpack(own)
         order = tree.arrangement(bits, n, sid, work_id, side)
-        bits = bits[order]
+        bits, own = bits[order], [own[k] for k in order]
         work_id, side, sid, label, n = (v[order] for v in (work_id, side, sid, label, n))
         new = np.concatenate([[True], (work_id[1:] != work_id[:-1]) | (side[1:] != side[:-1])])
         levels, _ = tree.build(bits, n, label, np.cumsum(new))
@@ -314,6 +317,8 @@ def tree_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame, tasks: in
         a = np.flatnonzero(root_side == 0)
         likely = tree.Forest(label) if forest else None
         for i, j in tree.dual_traversal(levels, a, np.where(two[a], a + 1, a), percent):
+            keep = tree.wide_may_link([own[k] for k in i], n[i], [own[k] for k in j], n[j], percent)
+            i, j = i[keep], j[keep]
             if likely:
                 i, j = likely.take(i, j, *tree.bit_jaccard(bits, i, j), percent)
             yield pa.RecordBatch.from_arrays(

@@ -18,20 +18,34 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS = 2048
+BITS = 2048  # of a tree's bitmaps
+WIDEST = 1 << 18  # of a set's own bitmap, in bits
 FANOUT = 4
 _PAIRS_AT_ONCE = 1024
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
-    """Bitmap (BITS / 8 bytes) of hashed tokens."""
-    seen = np.zeros(BITS, dtype=bool)
-    seen[(tokens >> np.uint64(20)).astype(np.int64) % BITS] = True
+    """Bitmap of hashed tokens, packed: BITS wide, and doubled while it has fewer
+    than four bits a token, up to WIDEST."""
+    width = BITS
+    while width < min(4 * len(tokens), WIDEST):
+        width *= 2
+    seen = np.zeros(width, dtype=bool)
+    seen[(tokens >> np.uint64(20)).astype(np.int64) % width] = True
     return np.packbits(seen)
 
 
+def folded(signature: bytes, size: int) -> np.ndarray:
+    """A signature as ``size`` bytes: the bitmap of the same tokens at that width."""
+    whole = np.frombuffer(signature, dtype=np.uint8)
+    return whole if len(whole) == size else np.bitwise_or.reduce(whole.reshape(-1, size), axis=0)
+
+
 def unpack(signatures: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), dtype=np.uint64).reshape(-1, BITS // 64)
+    """Signatures at the width of a tree's bitmaps."""
+    size = BITS // 8
+    return np.frombuffer(b"".join(s if len(s) == size else folded(s, size).tobytes() for s in signatures),
+                         dtype=np.uint64).reshape(-1, BITS // 64)
 
 
 def shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,6 +131,18 @@ class Forest:
             self.root = parent[self.root]
 
 
+def wide_may_link(a: list[bytes], size_a, b: list[bytes], size_b, percent: int) -> np.ndarray:
+    """The bound for pairs of single sets at the narrower of their own widths.
+    Pairs of the width of a tree's bitmaps have been decided there."""
+    keep = np.ones(len(a), dtype=bool)
+    for k, (x, y) in enumerate(zip(a, b)):
+        size = min(len(x), len(y))
+        if size > BITS // 8:
+            x, y = folded(x, size).view(np.uint64)[None], folded(y, size).view(np.uint64)[None]
+            keep[k] = pairs_may_link(x, size_a[k:k + 1], y, size_b[k:k + 1], percent)[0]
+    return keep
+
+
 def build(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, trees: np.ndarray) -> tuple[list[Level], np.ndarray]:
     """Levels from the sets (ordered by tree, then ``arrangement``) up to one root per
     tree; and the tree of each root."""
