@@ -8,6 +8,8 @@ its members' signatures, the range of their sizes, their most collisions and
 the range of their labels, so the same formula bounds the overlap of any pair
 of sets below two nodes. Pairs of nodes whose bound is too low for the
 threshold, or whose members all carry one label already, are not opened.
+Sets of a tree are ordered by size class and bitmap, so that similar sets
+share nodes and the OR of a node stays close to its members.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 
 BITS = 2048
-FANOUT = 8
+FANOUT = 4
 _PAIRS_AT_ONCE = 1024
 
 
@@ -67,8 +69,61 @@ def pairs_may_link(bits_a, size_a, bits_b, size_b, percent: int) -> np.ndarray:
     return (100 + percent) * shared >= percent * (size_a + size_b)
 
 
+def bit_jaccard(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shared and united bits of pairs of signatures."""
+    return shared_bits(bits[i], bits[j]), np.bitwise_count(bits[i] | bits[j]).sum(axis=1, dtype=np.int64)
+
+
+def arrangement(bits: np.ndarray, sizes: np.ndarray, ids: np.ndarray, work: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Order of sets within (work, side): size class, then the first words of
+    the bitmap. Their lowest set bits are the set's smallest hashes, which similar
+    sets are likely to have in common."""
+    klass = np.floor(np.log2(np.maximum(sizes, 1)) * 2).astype(np.int64)
+    return np.lexsort((ids, *(bits[:, k].byteswap() for k in (3, 2, 1, 0)), klass, side, work))
+
+
+class Forest:
+    """Picks a forest of pairs over labels, the most similar pairs first within
+    a call; pairs between labels that are joined already are left out. A call
+    costs as much as the pairs it is given, however many labels there are."""
+
+    def __init__(self, labels: np.ndarray):
+        known, self.node = np.unique(labels, return_inverse=True)
+        self.root = np.arange(len(known))
+
+    def _roots(self, nodes: np.ndarray) -> np.ndarray:
+        top = self.root[nodes]
+        while (self.root[top] != top).any():
+            top = self.root[top]
+        self.root[nodes] = top
+        return top
+
+    def take(self, i: np.ndarray, j: np.ndarray, shared: np.ndarray, united: np.ndarray, percent: int):
+        likely = 100 * shared >= percent * united
+        i, j = i[likely], j[likely]
+        order = np.argsort(-(shared[likely] / united[likely]), kind="stable")
+        i, j = i[order], j[order]
+        taken_i, taken_j = [i[:0]], [j[:0]]
+        while True:
+            u, v = self._roots(self.node[i]), self._roots(self.node[j])
+            apart = u != v
+            i, j, u, v = i[apart], j[apart], u[apart], v[apart]
+            if not len(i):
+                return np.concatenate(taken_i), np.concatenate(taken_j)
+            # each root's first pair; a pair picked from both ends counts once
+            ends, first = np.unique(np.stack([u, v], axis=1).reshape(-1), return_index=True)
+            pick = np.unique(first // 2)
+            taken_i.append(i[pick])
+            taken_j.append(j[pick])
+            # a root hangs below the other end of its first pair; of two that
+            # picked each other the smaller stays a root
+            self.root[ends] = u[first // 2] + v[first // 2] - ends
+            tops = ends[(self.root[self.root[ends]] == ends) & (ends < self.root[ends])]
+            self.root[tops] = tops
+
+
 def build(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, trees: np.ndarray) -> tuple[list[Level], np.ndarray]:
-    """Levels from the sets (ordered by tree, then size) up to one root per
+    """Levels from the sets (ordered by tree, then ``arrangement``) up to one root per
     tree; and the tree of each root."""
     n = len(sizes)
     extra = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
