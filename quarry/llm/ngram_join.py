@@ -23,8 +23,9 @@ sets link when ``100 * shared >= percent * united``. No link is lost:
    block pairs are separate pieces of work. The first search passes on a forest
    of likely links only, fewer than the sets searched; they are verified and
    contracted. The second search passes on all that may still link.
-5. Candidates are verified on the whole sets, recomputed for the documents
-   concerned only, and the components are completed.
+5. Candidates of large sets, which fill their signatures, are tested by bitmaps
+   of a width by the set's size. What remains is verified on the whole sets,
+   recomputed for the documents concerned only, and the components are completed.
 
 Set ids are 64-bit digests of the whole sets, compared together with the
 size. Defined results: A-Z is lower-cased; a text with fewer words than the
@@ -58,8 +59,9 @@ FREQUENT_SETS = 1000
 ENTRIES_PER_TASK = 2_000_000
 BLOCK = 512
 
-_PASS1 = "doc_id long, content long, n int, sid long, sig binary, slot int, counts binary, bytes int"
+_PASS1 = "doc_id long, content long, n int, sid long, sig binary, wide binary, slot int, counts binary, bytes int"
 _PASS1_ARROW = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()), ("sig", pa.binary()),
+                          ("wide", pa.binary()),
                           ("slot", pa.int32()), ("counts", pa.binary()), ("bytes", pa.int32())])
 
 
@@ -79,20 +81,22 @@ def describe_sets(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
     def scan(batches):
         counter = Counter()
         for batch in batches:
-            ids, ns, sids, sigs = [], [], [], []
+            ids, ns, sids, sigs, wides = [], [], [], [], []
             for doc_id, tokens in _sets(batch, width):
                 ids.append(doc_id)
                 ns.append(len(tokens))
                 sids.append(set_id(tokens) if len(tokens) else None)
                 sigs.append(tree.signature(tokens).tobytes() if len(tokens) else None)
+                wide = tree.wide_signature(tokens)
+                wides.append(None if wide is None else wide.tobytes())
                 counter.add(tokens)
             blank = [None] * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
-                [ids, batch.column(2), ns, sids, sigs, blank, blank, blank], _PASS1_ARROW)], schema=_PASS1_ARROW)
+                [ids, batch.column(2), ns, sids, sigs, wides, blank, blank, blank], _PASS1_ARROW)], schema=_PASS1_ARROW)
         slots = counter.columns()
         blank = [None] * len(slots[0])
         yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
-            [blank, blank, blank, blank, blank, *slots], _PASS1_ARROW)], schema=_PASS1_ARROW)
+            [blank, blank, blank, blank, blank, blank, *slots], _PASS1_ARROW)], schema=_PASS1_ARROW)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(F.col(text_col)).alias("content"))
@@ -222,13 +226,37 @@ def star_pairs(groups: DataFrame, nodes: DataFrame, scratch: Scratch, percent: i
     return scratch.save(sized.mapInArrow(tidy(bounded), "a long, b long"), "star-bounded")
 
 
+def sharpened(pairs: DataFrame, nodes: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
+    """``pairs`` without those of large sets whose wide bitmaps rule a link out:
+    a byte a token at most is moved for them in place of whole sets. Only
+    bitmaps of sets in ``pairs`` are shuffled."""
+    wide = nodes.where("wide is not null").select("sid", "n", "wide")
+    held = scratch.save(wide.join(_members(pairs), "sid", "left_semi"), f"{name}-wide")
+    left = held.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
+    right = held.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+
+    def bounded(batches):
+        for batch in batches:
+            keep = [x is None or y is None or tree.wide_may_link(np.frombuffer(x, np.uint8), nx, np.frombuffer(y, np.uint8), ny, percent)
+                    for x, nx, y, ny in zip(*(batch.column(k).to_pylist() for k in ("wa", "na", "wb", "nb")))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
+
+    met = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "wa", "na", "wb", "nb")
+    return scratch.save(met.mapInArrow(tidy(bounded), "a long, b long"), f"{name}-sharp")
+
+
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch, name: str, id_col: str,
              text_col: str, width: int, percent: int) -> DataFrame:
     """The links (u, v) among candidate pairs, decided on the whole sets. Sets
     are recomputed for documents in a size-bounded bitmap of those concerned; what
     else hits the bitmap finds no pair. Both sides of the join read one exchange."""
-    sids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    needed = scratch.save(nodes.join(sids, "sid", "left_semi").select("sid", "rep"), f"{name}-needed")
+    pairs = sharpened(pairs, nodes, scratch, name, percent)
+    needed = scratch.save(nodes.join(_members(pairs), "sid", "left_semi").select("sid", "rep"), f"{name}-needed")
     bitmap = scratch.save(hash_filter(needed.where("rep is not null").select(F.xxhash64("rep")), FILTER_BITS), f"{name}-bits")
 
     def sets(batches):
@@ -332,7 +360,8 @@ def labelled_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id"
     counts = rarity_classes(pass1.where("slot is not null"))
     rows = pass1.where("slot is null")
     nodes = scratch.save(rows.where("n > 0").groupBy("sid", "n").agg(
-        F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "nodes")
+        F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.min("wide").alias("wide"),
+        F.count(F.lit(1)).alias("copies")), "nodes")
     top = nodes.where("copies > 1").orderBy(F.desc("copies"), "sid").select("sid", "n", "rep").limit(FREQUENT_SETS)
     frequent = {(r["sid"], r["n"]): r["rep"] for r in top.collect() if r["rep"] is not None}
     total = rows.agg(F.sum("n")).first()[0] or 0

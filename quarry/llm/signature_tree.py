@@ -30,6 +30,27 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(seen)
 
 
+def wide_signature(tokens: np.ndarray) -> np.ndarray | None:
+    """Bitmap of four to eight bits a token for sets that fill BITS; None for others."""
+    if 4 * len(tokens) <= BITS:
+        return None
+    width = 1 << (4 * len(tokens) - 1).bit_length()
+    seen = np.zeros(width, dtype=bool)
+    seen[(tokens >> np.uint64(20)).astype(np.int64) & (width - 1)] = True
+    return np.packbits(seen)
+
+
+def wide_may_link(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, percent: int) -> bool:
+    """The bound for two sets by their wide bitmaps; the wider one is folded to
+    the width of the other (positions are the same hash, modulo the width)."""
+    width = min(len(a), len(b))
+    a = np.bitwise_or.reduce(a.reshape(-1, width), axis=0)
+    b = np.bitwise_or.reduce(b.reshape(-1, width), axis=0)
+    extra = min(size_a - int(np.bitwise_count(a).sum(dtype=np.int64)), size_b - int(np.bitwise_count(b).sum(dtype=np.int64)))
+    shared = min(int(np.bitwise_count(a & b).sum(dtype=np.int64)) + extra, size_a, size_b)
+    return (100 + percent) * shared >= percent * (size_a + size_b)
+
+
 def unpack(signatures: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(signatures), dtype=np.uint64).reshape(-1, BITS // 64)
 
