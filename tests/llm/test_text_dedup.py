@@ -146,6 +146,33 @@ def test_lines_of_odd_rows(spark, odd_docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).collect() == []
 
 
+def test_lines_of_small_sets_and_frequent_tokens(spark, monkeypatch):
+    """Repeated shingles, sets of 1 to 4 tokens, lines past the exact sizes, a passage in many lines, white space."""
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(line_dedup, "MANY", 3)
+    passage = " ".join(f"p{i}" for i in range(12))
+    long = " ".join(f"l{i}" for i in range(400))
+    rows = [(i, f"{' '.join(f'o{i}x{k}' for k in range(i % 7))} {passage} e{i % 5}") for i in range(40)]
+    rows += [(50, "a b c d e f g\n\u00e4 b\tc  d"), (51, "a b c d e f g h\na b c\r\na b c"), (52, "b c d e f g h\n\u00e4 b c d"),
+             (53, "z " * 30 + "\n" + "z " * 9), (54, "q r " * 9), (55, "r q " * 9), (None, f"{long}\na b c d e f g h"),
+             (56, edited(long, 90)), (57, edited(long, 15)), (58, long + " " + passage), (57, edited(long, 15))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in line_dedup.dedup_lines(df).collect()]
+    assert key(got) == key(brute_lines(rows))
+
+
+def test_line_dedup_is_native(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("Python on the executors")
+
+    df = spark.createDataFrame([(1, "a b c d e f g h\nown words"), (2, "a b c d e f g h i")], "doc_id long, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", refuse)
+    out = line_dedup.dedup_lines(df)
+    assert key(tuple(r) for r in out.collect()) == key([(1, "a b c d e f g h\nown words"), (2, "")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "Cartesian" not in plan
+
+
 def brute_exact(rows):
     groups = collections.defaultdict(list)
     for i, t in rows:
